@@ -125,7 +125,7 @@ def _deep_page(
     if ahead + limit <= top_k_rows:
         order = _total_order(trades.columns, reverse)
         return near.orderBy(*order).offset(ahead).limit(limit)
-    placed = with_positions(near, _total_order(trades.columns, reverse))
+    placed, _ = with_positions(near, _total_order(trades.columns, reverse))
     end = F.lit(ahead + limit)
     begin = F.greatest("first_position", F.lit(ahead))
     stop = F.least(F.col("first_position") + F.col("copies"), end)
@@ -138,9 +138,10 @@ def _deep_page(
 
 def with_positions(
     df: DataFrame, order: list[Column], group: tuple[str, ...] = ()
-) -> DataFrame:
+) -> tuple[DataFrame, int]:
     """Each distinct row, its number of ``copies``, and the 0-based position
-    its first copy takes within its group under ``order``.
+    its first copy takes within its group under ``order``; and the largest
+    number of copies there is.
 
     Unlike ``row_number() over (partition by group)`` no group is sorted in one
     task, however large it is:
@@ -151,6 +152,8 @@ def with_positions(
        number;
     3. positions are running sums inside a piece plus the rows of the pieces
        before it, a table of one row per group and piece.
+
+    The columns of ``group`` must not hold NULL.
     """
     counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
     pieces = stage(
@@ -166,57 +169,47 @@ def with_positions(
     )
     offsets = (
         pieces.groupBy(*group, "_piece")
-        .agg(F.sum("copies").alias("_rows"), F.max("copies").alias("most_copies"))
+        .agg(F.sum("copies").alias("_rows"))
         .select(
-            *(F.col(c).alias(f"_of_{c}") for c in group),
-            F.col("_piece").alias("_of_piece"),
+            *group,
+            "_piece",
             F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"),
-            "most_copies",
         )
     )
-    same_piece = F.col("_piece") == F.col("_of_piece")
-    for c in group:
-        same_piece = same_piece & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
     inside = (
         Window.partitionBy(*group, "_piece")
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return pieces.join(offsets, same_piece).select(
-        *df.columns,
-        "copies",
-        "most_copies",
-        (
-            F.col("_offset") + F.coalesce(F.sum("copies").over(inside), F.lit(0))
-        ).alias("first_position"),
+    position = F.col("_offset") + F.coalesce(F.sum("copies").over(inside), F.lit(0))
+    placed = pieces.join(offsets, [*group, "_piece"]).select(
+        *df.columns, "copies", position.alias("first_position")
     )
+    return placed, pieces.agg(F.max("copies")).first()[0] or 0
 
 
-def _one_row_per_copy(placed: DataFrame, names: list[str]) -> DataFrame:
+def _one_row_per_copy(placed: DataFrame, most: int, names: list[str]) -> DataFrame:
     """Positions written out, one row per copy.
 
-    A row with very many copies is first cut into runs that are dealt out to
-    all tasks. Pieces without such a row are left out of that branch before
-    their rows are read.
+    Rows with very many copies, if there are any, are first cut into runs that
+    are dealt out to all tasks.
     """
-    tasks = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    few = placed.filter(F.col("copies") <= COPY_RUN)
-    runs = F.sequence(
-        F.lit(0).cast("bigint"), F.call_function("div", F.col("copies") - 1, F.lit(COPY_RUN))
-    )
-    many = (
-        placed.filter((F.col("most_copies") > COPY_RUN) & (F.col("copies") > COPY_RUN))
-        .withColumn("_run", F.explode(runs))
-        .withColumn("first_position", F.col("first_position") + F.col("_run") * COPY_RUN)
-        .withColumn(
-            "copies",
-            F.least(F.col("copies") - F.col("_run") * COPY_RUN, F.lit(COPY_RUN)),
+    rows = placed
+    if most > COPY_RUN:
+        tasks = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        last_run = F.call_function("div", F.col("copies") - 1, F.lit(COPY_RUN))
+        before = F.col("_run") * COPY_RUN
+        runs = (
+            placed.filter(F.col("copies") > COPY_RUN)
+            .withColumn("_run", F.explode(F.sequence(F.lit(0).cast("bigint"), last_run)))
+            .withColumn("first_position", F.col("first_position") + before)
+            .withColumn("copies", F.least(F.col("copies") - before, F.lit(COPY_RUN)))
+            .drop("_run")
+            .repartition(tasks)
         )
-        .drop("_run")
-        .repartition(tasks)
-    )
+        rows = placed.filter(F.col("copies") <= COPY_RUN).unionByName(runs)
     last = F.col("first_position") + F.col("copies") - 1
-    return few.unionByName(many).select(
+    return rows.select(
         *names, F.explode(F.sequence(F.col("first_position"), last)).alias("position")
     )
 
@@ -230,10 +223,12 @@ def page_assignment(
     instruments together.
     """
     group = ("secid",) if per_symbol else ()
-    keys = trades.select("secid", "trade_ts", "tradeno")
+    # A missing instrument is "" in the data model.
+    secid = F.coalesce("secid", F.lit("")).alias("secid")
+    keys = trades.select(secid, "trade_ts", "tradeno")
     order = _total_order([c for c in keys.columns if c not in group])
-    placed = _one_row_per_copy(with_positions(keys, order, group), keys.columns)
-    return placed.select(
+    placed, most = with_positions(keys, order, group)
+    return _one_row_per_copy(placed, most, keys.columns).select(
         *keys.columns,
         F.call_function("div", F.col("position"), F.lit(size)).alias("page"),
     )

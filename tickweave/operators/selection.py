@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from tickweave.functions.scalars import ntz, whole_second
 
+# Symbols are short, so this many fit well into every executor.
+BROADCAST_SYMBOLS = 200_000
+
 
 def filter_symbol(trades: DataFrame, symbol: str) -> DataFrame:
     return trades.filter(F.col("secid") == symbol)
@@ -21,13 +24,18 @@ def filter_symbols(
     """Trades of the listed instruments; ``None`` keeps them all.
 
     A short list becomes an IN filter that reaches the scan. A table of symbols
-    is a semi-join: Spark broadcasts it when its known size is small and
-    shuffles otherwise. A symbol listed twice counts once.
+    is counted first, up to a limit: below it the table is broadcast, so the
+    trades of a busy instrument stay where they are. Beyond it, it is a
+    shuffled semi-join whose hot keys adaptive execution splits. A symbol
+    listed twice counts once.
     """
     if symbols is None:
         return trades
     if isinstance(symbols, DataFrame):
-        return trades.join(symbols.select("secid"), "secid", "left_semi")
+        wanted = symbols.select("secid").distinct()
+        if wanted.limit(BROADCAST_SYMBOLS + 1).count() <= BROADCAST_SYMBOLS:
+            wanted = F.broadcast(wanted)
+        return trades.join(wanted, "secid", "left_semi")
     return trades.filter(F.col("secid").isin(sorted(set(symbols))))
 
 

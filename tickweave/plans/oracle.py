@@ -24,7 +24,8 @@ lines AS (
          strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS tradetime,
          l_returnflag AS secid,
          l_linestatus AS boardid,
-         CAST(round(l_extendedprice / l_quantity, 6) AS DECIMAL(18,6)) AS price,
+         CAST(floor(l_extendedprice / l_quantity * 1000000 + 0.5) / 1000000
+              AS DECIMAL(18,6)) AS price,
          CAST(l_quantity AS BIGINT) AS quantity,
          CAST(l_extendedprice AS DECIMAL(24,6)) AS value,
          l_shipdate AS trade_ts
@@ -64,7 +65,7 @@ days AS (
   SELECT boardid AS run_id, date_trunc('day', trade_ts) AS day,
          min(trade_ts) AS started, max(trade_ts) AS ended, count(*) AS n,
          count(*) FILTER (trade_ts <= TIMESTAMP '2024-01-12 06:00:00') AS known,
-         max(price) AS top
+         max_by(secid, tradeno) AS closing
   FROM trades GROUP BY 1, 2),
 cycles AS (
   SELECT run_id, date_diff('day', DATE '2024-01-01', CAST(day AS DATE)) AS cycle,
@@ -72,7 +73,7 @@ cycles AS (
               ELSE 'incremental' END AS kind,
          started, ended, CAST(day AS TIMESTAMP) + INTERVAL 1 DAY AS till,
          n - known AS collected, known AS duplicates, n // 5000 + 1 AS api_calls,
-         CASE WHEN top > 250 THEN 'error' ELSE 'ok' END AS status
+         CASE WHEN closing = 'error' THEN 'error' ELSE 'ok' END AS status
   FROM days)"""
 
 BROKEN = """
@@ -127,15 +128,20 @@ WHOLE_WINDOWS = """
   greatest(CAST(ceil(((epoch_us({now}) - epoch_us({start})) // 60000000 - 5) / 5.0)
   AS BIGINT), 0)"""
 
-CURSOR_COLUMNS = """
-  max_by(till, cycle) FILTER (status = 'ok') AS last_trade_time,
+LAST_TRADE_TIME = """
+  coalesce(max_by(till, cycle) FILTER (status = 'ok'), TIMESTAMP '2024-02-01 00:00:00')
+    AS last_trade_time"""
+
+CURSOR_COLUMNS = f"""
+  {LAST_TRADE_TIME},
   bool_or(status = 'ok' AND kind = 'initial') AS initial_load_complete,
   CAST(coalesce(sum(collected) FILTER (status = 'ok'
        AND (kind = 'initial' OR collected > 0)), 0) AS BIGINT)
     AS total_trades_collected,
   count(*) FILTER (status = 'ok' AND (kind = 'initial' OR collected > 0))
     AS total_cycles_completed,
-  max_by(ended, cycle) FILTER (status = 'ok') AS last_update_time"""
+  coalesce(max_by(ended, cycle) FILTER (status = 'ok'),
+           TIMESTAMP '2024-02-01 08:15:30.25') AS last_update_time"""
 
 TOTAL_COLUMNS = """
   CAST(coalesce(sum(collected) FILTER (status = 'ok'), 0) AS BIGINT)
@@ -317,7 +323,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT run_id, true AS enabled, 'SPECIFIC' AS mode,
                    'click,purchase' AS configured_tickers,
                    bool_or(status = 'ok' AND kind = 'initial') AS initial_load_complete,
-                   max_by(till, cycle) FILTER (status = 'ok') AS last_trade_time,
+                   {LAST_TRADE_TIME},
                    CAST(coalesce(sum(collected) FILTER (status = 'ok'), 0) AS BIGINT)
                      AS total_trades_collected,
                    count(*) FILTER (status = 'ok') AS total_cycles_completed,
