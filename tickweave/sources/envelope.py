@@ -77,6 +77,13 @@ def block_rows(envelopes: DataFrame, block: str, positions: dict) -> DataFrame:
         for name, fallback in positions.items()
     ]
     shape = F.schema_of_variant("_data")
+    readable = shape.startswith("ARRAY<ARRAY<") | (shape == "ARRAY<VOID>")
+    rows = F.when(
+        names.isNotNull() & readable,
+        F.try_variant_get("_data", "$", "array<array<variant>>"),
+    )
+    # No filter stands above the parsed text, and the outer explode lets Spark
+    # infer none: pushed down to the scan, it would parse each text again.
     return (
         envelopes.select(
             data.alias("_data"),
@@ -84,19 +91,14 @@ def block_rows(envelopes: DataFrame, block: str, positions: dict) -> DataFrame:
             .otherwise(F.try_variant_get(columns, "$", "array<string>"))
             .alias("_names"),
         )
-        .filter(F.col("_names").isNotNull())
-        .filter(shape.startswith("ARRAY<ARRAY<") | (shape == "ARRAY<VOID>"))
-        .select(
-            F.struct(*places).alias("_place"),
-            F.try_variant_get("_data", "$", "array<array<variant>>").alias("_rows"),
-        )
-        .select("_place", F.explode("_rows").alias("cells"))
+        .select(F.struct(*places).alias("_place"), rows.alias("_rows"))
+        .select("_place", F.explode_outer("_rows").alias("cells"))
         .transform(drop_malformed)
     )
 
 
 def drop_malformed(rows: DataFrame) -> DataFrame:
-    """Drop the rows that cannot be read as a row of cells."""
+    """Drop what cannot be read as a row of cells."""
     return rows.filter(F.col("cells").isNotNull())
 
 
