@@ -90,43 +90,53 @@ def cycle_log(
     collected. No key leaves the seen-set during the run.
 
     Rows are counted per key and window before the first shuffle, so a key that
-    repeats without end arrives as one row per task.
+    repeats without end arrives as one row per task. Seen keys join in as rows
+    of a window before the first; then the least window of a key says where it
+    was collected, without a join and without sorting.
     """
     first, last = whole_second(start), whole_second(now)
     whole = whole_windows(start, now, minutes)
-    width = minutes * 60 * SECOND
-    passed = micros_between(ntz(first), F.col("trade_ts"))
-    border = F.call_function("div", passed, F.lit(width).cast("bigint"))
+    width = F.lit(minutes * 60 * SECOND).cast("bigint")
+    border = F.col("_border")
+    on_border = F.col("_on_border") & border.between(1, whole)
     number = F.least(border, F.lit(whole).cast("bigint"))
-    on_border = (F.pmod(passed, F.lit(width)) == 0) & border.between(1, whole)
-    fetched = (
+    placed = (
         trades.filter(F.col("trade_ts").between(ntz(first), ntz(last)))
+        .select(*TRADE_KEY, micros_between(ntz(first), F.col("trade_ts")).alias("_passed"))
+        .select(
+            *TRADE_KEY,
+            F.call_function("div", F.col("_passed"), width).alias("_border"),
+            (F.pmod("_passed", width) == 0).alias("_on_border"),
+        )
         .select(
             *TRADE_KEY,
             F.explode(
                 F.when(on_border, F.array(border - 1, border)).otherwise(F.array(number))
             ).alias("window_id"),
         )
-        .groupBy(*TRADE_KEY, "window_id")
-        .agg(F.count(F.lit(1)).alias("n"))
     )
-    known = seen.select(*TRADE_KEY).distinct().withColumn("_seen", F.lit(True))
-    first_window = F.min("window_id").over(Window.partitionBy(*TRADE_KEY))
-    fresh = F.col("_seen").isNull() & (F.col("window_id") == F.col("_first"))
-    counts = (
-        fetched.withColumn("_first", first_window)
-        .join(known, TRADE_KEY, "left")
-        .groupBy("window_id")
+    one = F.count(F.lit(1))
+    counts = placed.groupBy("window_id").agg(one.alias("fetched"))
+    per_key = placed.groupBy(*TRADE_KEY, "window_id").agg(one.alias("n"))
+    before = F.lit(-1).cast("bigint")
+    known = seen.select(
+        *TRADE_KEY, before.alias("window_id"), F.lit(0).cast("bigint").alias("n")
+    )
+    fresh = (
+        per_key.unionByName(known)
+        .groupBy(*TRADE_KEY)
         .agg(
-            F.sum(F.when(fresh, F.col("n")).otherwise(0)).alias("collected"),
-            F.sum("n").alias("fetched"),
+            F.min_by("n", "window_id").alias("collected"),
+            F.min("window_id").alias("window_id"),
         )
+        .groupBy("window_id")
+        .agg(F.sum("collected").alias("collected"))
     )
     windows = trades.sparkSession.range(whole + 1).withColumnRenamed("id", "window_id")
     collected = F.coalesce("collected", F.lit(0).cast("bigint"))
     total = F.coalesce("fetched", F.lit(0).cast("bigint"))
     began = ntz(start)
-    return windows.join(counts, "window_id", "left").select(
+    return windows.join(counts, "window_id", "left").join(fresh, "window_id", "left").select(
         "window_id",
         _after(began, F.col("window_id"), minutes).alias("from_ts"),
         F.when(F.col("window_id") == whole, ntz(now))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickweave.schemas import TRADE_KEY
+from tickweave.schemas import SORT_KEY, TRADE_KEY
 from tickweave.settings import SEEN_CAP
 
 
@@ -19,7 +19,8 @@ def filter_new_trades(trades: DataFrame, seen: DataFrame) -> DataFrame:
     Spark compares its actual size with the broadcast threshold. Beyond that
     it is a sort-merge join, whose hot keys adaptive execution splits.
     """
-    return trades.join(seen.select(*TRADE_KEY), TRADE_KEY, "left_anti")
+    known = seen.select(*SORT_KEY)
+    return trades.join(known, SORT_KEY, "left_anti").select(*trades.columns)
 
 
 def dedup_trades(trades: DataFrame) -> DataFrame:
@@ -29,7 +30,7 @@ def dedup_trades(trades: DataFrame) -> DataFrame:
     each task sends at most one row of a key that repeats without end.
     """
     rest = [c for c in trades.columns if c not in (*TRADE_KEY, "trade_ts")]
-    first = Window.partitionBy(*TRADE_KEY).orderBy(
+    first = Window.partitionBy(*SORT_KEY).orderBy(
         F.col("trade_ts").asc_nulls_last(), *(F.col(c).asc_nulls_last() for c in rest)
     )
     return (

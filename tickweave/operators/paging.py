@@ -138,10 +138,10 @@ def _deep_page(
 
 def with_positions(
     df: DataFrame, order: list[Column], group: tuple[str, ...] = ()
-) -> tuple[DataFrame, int]:
+) -> tuple[DataFrame, DataFrame | None]:
     """Each distinct row, its number of ``copies``, and the 0-based position
-    its first copy takes within its group under ``order``; and the largest
-    number of copies there is.
+    its first copy takes within its group under ``order``; and the pieces that
+    hold a row with more than ``COPY_RUN`` copies, if there are any.
 
     Unlike ``row_number() over (partition by group)`` no group is sorted in one
     task, however large it is:
@@ -183,24 +183,29 @@ def with_positions(
     )
     position = F.col("_offset") + F.coalesce(F.sum("copies").over(inside), F.lit(0))
     placed = pieces.join(offsets, [*group, "_piece"]).select(
-        *df.columns, "copies", position.alias("first_position")
+        *df.columns, "_piece", "copies", position.alias("first_position")
     )
-    return placed, pieces.agg(F.max("copies")).first()[0] or 0
+    crowded = pieces.filter(F.col("copies") > COPY_RUN).select("_piece").distinct()
+    return placed, crowded if crowded.head(1) else None
 
 
-def _one_row_per_copy(placed: DataFrame, most: int, names: list[str]) -> DataFrame:
+def _one_row_per_copy(
+    placed: DataFrame, crowded: DataFrame | None, names: list[str]
+) -> DataFrame:
     """Positions written out, one row per copy.
 
     Rows with very many copies, if there are any, are first cut into runs that
-    are dealt out to all tasks.
+    are dealt out to all tasks; only their pieces are worked through for that.
     """
     rows = placed
-    if most > COPY_RUN:
+    if crowded is not None:
         tasks = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         last_run = F.call_function("div", F.col("copies") - 1, F.lit(COPY_RUN))
         before = F.col("_run") * COPY_RUN
         runs = (
-            placed.filter(F.col("copies") > COPY_RUN)
+            placed.join(crowded, "_piece", "left_semi")
+            .select(*placed.columns)
+            .filter(F.col("copies") > COPY_RUN)
             .withColumn("_run", F.explode(F.sequence(F.lit(0).cast("bigint"), last_run)))
             .withColumn("first_position", F.col("first_position") + before)
             .withColumn("copies", F.least(F.col("copies") - before, F.lit(COPY_RUN)))
@@ -227,8 +232,8 @@ def page_assignment(
     secid = F.coalesce("secid", F.lit("")).alias("secid")
     keys = trades.select(secid, "trade_ts", "tradeno")
     order = _total_order([c for c in keys.columns if c not in group])
-    placed, most = with_positions(keys, order, group)
-    return _one_row_per_copy(placed, most, keys.columns).select(
+    placed, crowded = with_positions(keys, order, group)
+    return _one_row_per_copy(placed, crowded, keys.columns).select(
         *keys.columns,
         F.call_function("div", F.col("position"), F.lit(size)).alias("page"),
     )

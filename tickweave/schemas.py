@@ -43,6 +43,10 @@ SECURITY = T.StructType(
 
 TRADE_KEY = ["secid", "tradeno"]
 
+# The same key for joins and windows. Spark's sort compares the first column by
+# a short prefix, which tells rows apart only if that column has many values.
+SORT_KEY = ["tradeno", "secid"]
+
 MESSAGE = T.StructType(
     [
         T.StructField("key", T.StringType()),
