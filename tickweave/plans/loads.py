@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -50,7 +51,7 @@ def incremental_load(
 def commit_cycle(
     state: CollectorState,
     sink: FileSink | KafkaSink,
-    fetched: int,
+    count_fetched: Callable[[], int],
     fresh: DataFrame,
     seen: DataFrame,
     cycle: dict,
@@ -60,16 +61,22 @@ def commit_cycle(
     """Write what one cycle found, then move the state on.
 
     ``fresh`` is computed once, into the table of accepted trades; messages,
-    seen-set and counts are read from there. Every step replaces its own
-    output, and the cursor comes last, so a cycle that breaks off is simply
-    done again.
+    seen-set and counts are read from there, messages and seen-set at the same
+    time. Every step replaces its own output, and the cursor comes last, so a
+    cycle that breaks off is simply done again.
     """
     spark = fresh.sparkSession
     version = cycle["cycle"]
-    accepted = state.write_accepted(fresh, version)
-    collected = accepted.count()
-    sink_trades(accepted, sink, cycle["started"], version)
-    state.write_seen(mark_batch(seen, accepted, settings.seen_cap), version)
+    with ThreadPoolExecutor(2) as side:
+        counted = side.submit(count_fetched)
+        accepted = state.write_accepted(fresh, version)
+        marked = mark_batch(seen, accepted, settings.seen_cap)
+        sent = side.submit(sink_trades, accepted, sink, cycle["started"], version)
+        kept = side.submit(state.write_seen, marked, version)
+        collected = accepted.count()
+        for step in (sent, kept):
+            step.result()
+        fetched = counted.result()
     row = {
         **cycle,
         "run_id": settings.run_id,
@@ -120,7 +127,7 @@ def run_cycle(
         if not initial:
             fresh = filter_new_trades(fresh, seen)
         row = commit_cycle(
-            state, sink, wanted.count(), fresh, seen, cycle, settings, clock
+            state, sink, wanted.count, fresh, seen, cycle, settings, clock
         )
     except Exception:
         state.log_error(spark, {**cycle, "run_id": settings.run_id, "ended": clock()})

@@ -16,12 +16,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickweave.functions.scalars import ntz
 from tickweave.operators.cursor import default_cursor
 from tickweave.schemas import CURSOR, CYCLE, SEEN, TRADE_KEY
 
+VERSIONED_SEEN = T.StructType([*SEEN.fields, T.StructField("version", T.LongType())])
 VERSIONED_CURSOR = T.StructType([T.StructField("version", T.LongType()), *CURSOR.fields])
 
 
+def one_row(spark: SparkSession, schema: T.StructType, values: dict) -> DataFrame:
+    """A single row, as literals; fields without a value are NULL."""
+    columns = []
+    for field in schema.fields:
+        value = values.get(field.name)
+        literal = ntz(value) if isinstance(value, datetime) else F.lit(value)
+        columns.append(literal.cast(field.dataType).alias(field.name))
+    return spark.range(0, 1, 1, 1).select(*columns)
+
+
 @dataclass(frozen=True)
 class CollectorState:
     root: str
@@ -33,8 +45,8 @@ class CollectorState:
         """The seen-set as cycle ``version`` left it; before cycle 0 it is empty."""
         if version < 0:
             return spark.createDataFrame([], SEEN)
-        held = spark.read.parquet(self._slot("seen", version))
-        if held.filter(F.col("version") != version).head(1):
+        held = spark.read.schema(VERSIONED_SEEN).parquet(self._slot("seen", version))
+        if any(f"/version={version}/" not in file for file in held.inputFiles()):
             raise RuntimeError(f"the seen-set below {self.root} is not of cycle {version}")
         return held.select(*TRADE_KEY)
 
@@ -42,6 +54,7 @@ class CollectorState:
         (
             seen.withColumn("version", F.lit(version).cast("bigint"))
             .write.mode("overwrite")
+            .partitionBy("version")
             .parquet(self._slot("seen", version))
         )
 
@@ -73,37 +86,28 @@ class CollectorState:
         except AnalysisException:
             slots = spark.createDataFrame([], schema)
         names = VERSIONED_CURSOR.fieldNames()
-        default = {"version": F.lit(-1).cast("bigint"), **default_cursor(now)}
-        newest = F.max_by(F.struct(*names), "version")
         usable = F.col("_unread").isNull()
         for name in names:
             usable = usable & F.col(name).isNotNull()
-        row = (
-            slots.filter(usable)
-            .agg(newest.alias("cursor"))
-            .select(
-                *(F.coalesce(f"cursor.{n}", default[n]).alias(n) for n in names)
-            )
-            .first()
-        )
-        return row.asDict()
+        # One row per slot, so at most two.
+        found = [r.asDict() for r in slots.filter(usable).select(*names).collect()]
+        if found:
+            return max(found, key=lambda row: row["version"])
+        columns = [v.alias(name) for name, v in default_cursor(now).items()]
+        return {"version": -1, **spark.range(1).select(*columns).first().asDict()}
 
     def write_cursor(self, spark: SparkSession, cursor: dict) -> None:
-        one = spark.createDataFrame([cursor], VERSIONED_CURSOR)
-        one.coalesce(1).write.mode("overwrite").json(
-            self._slot("cursor", cursor["version"])
-        )
+        path = self._slot("cursor", cursor["version"])
+        one_row(spark, VERSIONED_CURSOR, cursor).write.mode("overwrite").json(path)
 
     def write_cycle(self, spark: SparkSession, cycle: dict) -> None:
-        one = spark.createDataFrame([cycle], CYCLE)
-        one.coalesce(1).write.mode("overwrite").parquet(
-            f"{self.root}/cycles/version={cycle['cycle']}"
-        )
+        path = f"{self.root}/cycles/version={cycle['cycle']}"
+        one_row(spark, CYCLE, cycle).write.mode("overwrite").parquet(path)
 
     def log_error(self, spark: SparkSession, cycle: dict) -> None:
         """Failed cycles are kept apart: the one done again has the same number."""
-        one = spark.createDataFrame([{**cycle, "status": "error"}], CYCLE)
-        one.coalesce(1).write.mode("append").parquet(f"{self.root}/errors")
+        failed = one_row(spark, CYCLE, {**cycle, "status": "error"})
+        failed.write.mode("append").parquet(f"{self.root}/errors")
 
     def read_cycles(self, spark: SparkSession) -> DataFrame:
         """The cycle log, completed and failed cycles."""

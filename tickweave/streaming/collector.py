@@ -47,7 +47,7 @@ def collect_batch(
         row = commit_cycle(
             state,
             sink,
-            summary["n"],
+            lambda: summary["n"],
             filter_new_trades(fresh, seen),
             seen,
             {
