@@ -9,6 +9,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tickweave import job
 from tickweave.operators import cycles
 from tickweave.plans import loads, views
 from tickweave.plans.state import CollectorState
@@ -244,6 +245,42 @@ def test_a_batch_delivered_again_replaces_its_output(spark, sf_dir, tmp_path):
     assert (totals.total_trades_collected, totals.total_duplicates_filtered) == (500, 50)
 
 
+def test_the_job_from_landed_responses(spark, tmp_path):
+    rows = [[n, f"2024-01-15 10:00:{n:02d}", "SBER" if n % 2 else "GAZP", "TQBR", 1.5, n, 2]
+            for n in range(20)]
+    header = ["TRADENO", "TRADETIME", "SECID", "BOARDID", "PRICE", "QUANTITY", "VALUE"]
+    base = tmp_path / "landing" / "stock" / "shares"
+    for block in ("trades", "securities"):
+        (base / block).mkdir(parents=True)
+    for i, part in enumerate((rows[:12], rows[8:])):
+        body = {"trades": {"columns": header, "data": part}}
+        (base / "trades" / f"{i}.json").write_text(json.dumps(body))
+    body = {"securities": {"columns": ["SECID", "BOARDID"], "data": [["SBER", "TQBR"]]}}
+    (base / "securities" / "0.json").write_text(json.dumps(body))
+    arguments = ["--landing", str(tmp_path / "landing"), "--state", str(tmp_path / "state")]
+    arguments += ["--topics", str(tmp_path / "topics"), "--once"]
+    job.main([*arguments, "--mode", "ALL"])
+    sent = topic.read_topic(spark, str(tmp_path / "topics"), TRADES_TOPIC)
+    assert sorted(int(r.key.split(":")[1]) for r in sent.collect()) == list(range(20))
+    told = topic.read_topic(spark, str(tmp_path / "topics"), "instruments")
+    assert [r.key for r in told.collect()] == ["SBER"]
+    job.main([*arguments, "--mode", "ALL"])
+    assert sent.count() == 20
+
+
+def test_the_job_for_listed_symbols(spark, tmp_path):
+    base = tmp_path / "landing" / "stock" / "shares" / "trades"
+    base.mkdir(parents=True)
+    data = [[1, "2024-01-15 10:00:00", "SBER"], [2, "2024-01-15 10:00:00", "GAZP"]]
+    body = {"trades": {"columns": ["TRADENO", "TRADETIME", "SECID"], "data": data}}
+    (base / "0.json").write_text(json.dumps(body))
+    arguments = ["--landing", str(tmp_path / "landing"), "--state", str(tmp_path / "state")]
+    arguments += ["--topics", str(tmp_path / "topics"), "--once", "--symbols", "GAZP"]
+    job.main(arguments)
+    sent = topic.read_topic(spark, str(tmp_path / "topics"), TRADES_TOPIC)
+    assert [r.key for r in sent.collect()] == ["GAZP:2"]
+
+
 def test_copies_pass_when_asked(spark, tmp_path):
     rows = [trade("A", 1, 1), trade("A", 1, 2), trade("A", 2, 3)]
     trades = spark.createDataFrame(rows, SCHEMA)
@@ -255,11 +292,12 @@ def test_copies_pass_when_asked(spark, tmp_path):
         assert row["collected"] == count
 
 
-def test_time_bounded_deduplication(spark, sf_dir, tmp_path):
+@pytest.mark.parametrize("slices", [1, 16])
+def test_time_bounded_deduplication(spark, sf_dir, tmp_path, slices):
     folder = tmp_path / "landing"
     events = overlapping_files(spark, sf_dir, folder)
     query = (
-        collector.dedup_stream(stream_of(spark, events, folder))
+        collector.dedup_stream(stream_of(spark, events, folder), slices=slices)
         .writeStream.format("parquet")
         .option("checkpointLocation", str(tmp_path / "checkpoint"))
         .trigger(availableNow=True)

@@ -109,6 +109,12 @@ def test_texts_keep_other_kinds_readable(spark):
     assert (row.secid, row.boardid) == ("42", "true")
 
 
+def test_repeated_field_counts_last(spark):
+    good = json.dumps({"columns": HEADER, "data": [ROW]})
+    (row,) = trades_of(spark, f'{{"trades": {{"data": []}}, "trades": {good}}}')
+    assert row.tradeno == 7
+
+
 def test_null_row_is_dropped(spark):
     assert len(trades_of(spark, block(HEADER, None, ROW, None))) == 1
 

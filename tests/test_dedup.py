@@ -72,6 +72,43 @@ def test_copies_inside_a_batch_stay(spark):
     )
 
 
+def test_a_hot_key_of_the_anti_join_is_split(spark):
+    """Beyond the broadcast threshold, one key with most rows meets many tasks."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        hot = F.col("id") % 10 < 8
+        trades = spark.range(0, 200_000, 1, 16).select(
+            F.when(hot, "HOT").otherwise("A").alias("secid"),
+            F.when(hot, 0).otherwise(F.col("id")).alias("tradeno"),
+            F.sha2(F.col("id").cast("string"), 256).alias("boardid"),
+        )
+        seen = spark.range(0, 200_000, 3).select(
+            F.lit("A").alias("secid"), F.col("id").alias("tradeno")
+        )
+        found = dedup.filter_new_trades(trades, seen)
+        rows = found.collect()
+        assert len(rows) == 160_000 + sum(
+            1 for i in range(200_000) if i % 10 >= 8 and i % 3
+        )
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def test_dedup_keeps_the_earliest(spark):
     rows = [
         ("A", 1, datetime(2024, 1, 2), "x"),

@@ -42,16 +42,22 @@ SECURITY_POSITIONS = {
 
 
 def read_envelope(
-    spark: SparkSession, path: str, layout: str = "file", streaming: bool = False
+    spark: SparkSession,
+    path: str,
+    layout: str = "file",
+    streaming: bool = False,
+    **options: str,
 ) -> DataFrame:
     """Landed responses, one per row, as ``envelope VARIANT``.
 
     ``layout="file"`` takes each file as one response, ``layout="line"`` each
     line, which lets Spark split large landing files. Text that is not JSON
-    becomes NULL and yields no rows later.
+    becomes NULL and yields no rows later. ``options`` go to the reader, such
+    as ``maxFilesPerTrigger`` for a stream that has much to catch up on.
     """
     reader = spark.readStream if streaming else spark.read
-    raw = reader.format("text").option("wholetext", layout == "file").load(path)
+    text = reader.format("text").option("wholetext", layout == "file")
+    raw = text.options(**options).load(path)
     return raw.select(F.try_parse_json("value").alias("envelope"))
 
 
@@ -194,6 +200,11 @@ def decode_report(trades: DataFrame) -> DataFrame:
     )
 
 
+def landed(landing: str, engine: str, market: str, block: str) -> str:
+    """Where the responses of one engine and market are landed."""
+    return f"{landing}/{engine}/{market}/{block}"
+
+
 def list_securities(
     spark: SparkSession,
     landing: str,
@@ -202,5 +213,19 @@ def list_securities(
     layout: str = "file",
 ) -> DataFrame:
     """All instruments landed for one engine and market."""
-    path = f"{landing}/{engine}/{market}/securities"
+    path = landed(landing, engine, market, "securities")
     return decode_securities(read_envelope(spark, path, layout))
+
+
+def list_trades(
+    spark: SparkSession,
+    landing: str,
+    engine: str = "stock",
+    market: str = "shares",
+    layout: str = "file",
+    streaming: bool = False,
+    **options: str,
+) -> DataFrame:
+    """All trades landed for one engine and market, as a table or a stream."""
+    path = landed(landing, engine, market, "trades")
+    return decode_trades(read_envelope(spark, path, layout, streaming, **options))
