@@ -149,6 +149,27 @@ def test_a_broken_cycle_is_done_again(spark, tmp_path):
     assert errors.total_errors == 1
 
 
+def test_cursor_keeps_microseconds(spark, tmp_path):
+    state = CollectorState(str(tmp_path))
+    cursor = {
+        "version": 3,
+        "last_trade_time": datetime(2024, 3, 10, 2, 30, 0, 123_456),
+        "initial_load_complete": True,
+        "total_trades_collected": 5,
+        "total_cycles_completed": 2,
+        "last_update_time": datetime(2024, 3, 10, 2, 30, 1, 1),
+    }
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        state.write_cursor(spark, cursor)
+        assert state.read_cursor(spark, OPEN) == cursor
+        state.write_cursor(spark, {**cursor, "version": 4})
+        assert state.read_cursor(spark, OPEN)["version"] == 4
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_switched_off(spark, tmp_path):
     state = CollectorState(str(tmp_path / "state"))
     job = Settings(enabled=False)

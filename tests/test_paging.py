@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tickweave.functions import scalars as fn
 from tickweave.operators import paging
 
 DAY = datetime(2024, 1, 1)
@@ -120,3 +121,19 @@ def test_latest_of_one_symbol(spark):
     found = paging.latest_trades_symbol(make(spark, rows), "HOT", 7).collect()
     own = [r for r in in_order(rows, reverse=True) if r[0] == "HOT"]
     assert [tuple(r) for r in found] == own[:7]
+
+
+def test_pages_do_not_depend_on_the_session_zone(spark):
+    """02:30 of that day does not exist in that zone."""
+    start = datetime(2024, 3, 10, 1)
+    rows = [("A", i, start + timedelta(minutes=10 * i), "x") for i in range(18)]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        trades = make(spark, rows)
+        page = paging.trades_page(trades, 6, 7, reverse=False, top_k_rows=0)
+        assert sorted(r.tradeno for r in page.collect()) == list(range(7, 13))
+        texts = trades.select(fn.format_time(F.col("trade_ts")).alias("t")).collect()
+        assert [r.t for r in texts] == [str(r[2]) for r in rows]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -7,9 +7,6 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
-
-
 def ntz(value: datetime | str | Column) -> Column:
     """A zone-less timestamp literal.
 
@@ -67,8 +64,12 @@ def message_key(secid: str = "secid", tradeno: str = "tradeno") -> Column:
 
 
 def format_time(moment: Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss``; the fraction is cut, not rounded."""
-    return F.date_format(moment, TIME_FORMAT)
+    """``yyyy-MM-dd HH:mm:ss``; the fraction is cut, not rounded.
+
+    Taken from the text of the time, as ``date_format`` would read a zone-less
+    time in the session zone, where an hour may be missing.
+    """
+    return F.substring(moment.cast("string"), 1, 19)
 
 
 def start_of_day(moment: Column) -> Column:

@@ -6,13 +6,13 @@ so rows that still tie are copies of each other.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickweave.functions.scalars import ntz
+from tickweave.functions.scalars import floor_div, micros_between, ntz
 from tickweave.operators.selection import (
     filter_symbol,
     filter_symbol_time_range,
@@ -25,6 +25,10 @@ from tickweave.storage import stage
 # per task. Deeper pages are located by counts instead.
 TOP_K_ROWS = 100_000
 
+# Hours are counted from here, in microseconds.
+EPOCH = datetime(1970, 1, 1)
+HOUR = 3_600_000_000
+
 # Copies of one row are spread over tasks in runs of this length.
 COPY_RUN = 1_000_000
 
@@ -91,7 +95,7 @@ def _deep_page(
     again. The counts are one row per hour of history, and a single row with
     the bounds comes back to the driver.
     """
-    hour = F.date_trunc("hour", "trade_ts").cast("timestamp_ntz")
+    hour = floor_div(micros_between(ntz(EPOCH), F.col("trade_ts")), HOUR)
     running = Window.orderBy(
         F.col("hour").desc_nulls_last() if reverse else F.col("hour").asc_nulls_last()
     ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -105,7 +109,7 @@ def _deep_page(
         hours.filter((F.col("after") > start) & (F.col("before") < start + limit))
         .agg(
             F.min("hour").alias("first"),
-            (F.max("hour") + F.expr("interval 1 hour")).alias("last"),
+            F.max("hour").alias("last"),
             F.count_if(F.col("hour").isNull()).alias("timeless"),
             F.min("before").alias("skipped"),
         )
@@ -115,9 +119,9 @@ def _deep_page(
         return trades.limit(0)
     inside = F.lit(False)
     if touched["first"] is not None:
-        inside = (F.col("trade_ts") >= ntz(touched["first"])) & (
-            F.col("trade_ts") < ntz(touched["last"])
-        )
+        first = EPOCH + timedelta(hours=touched["first"])
+        after = EPOCH + timedelta(hours=touched["last"] + 1)
+        inside = (F.col("trade_ts") >= ntz(first)) & (F.col("trade_ts") < ntz(after))
     if touched["timeless"]:
         inside = inside | F.col("trade_ts").isNull()
     near = trades.filter(inside)

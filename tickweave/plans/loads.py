@@ -25,9 +25,12 @@ def initial_load(
     start: datetime,
     till: datetime,
     symbols: Sequence[str] | None = None,
-    dedupe: bool = True,
+    dedupe: bool = False,
 ) -> DataFrame:
-    """The whole range from the cursor to now, not checked against the seen-set."""
+    """The whole range from the cursor to now, not checked against the seen-set.
+
+    As it stands it is a filter, which moves no row between tasks.
+    """
     wanted = filter_time_range(filter_symbols(trades, symbols), start, till)
     return dedup_trades(wanted) if dedupe else wanted
 

@@ -23,6 +23,8 @@ from tickweave.schemas import CURSOR, CYCLE, SEEN, TRADE_KEY
 VERSIONED_SEEN = T.StructType([*SEEN.fields, T.StructField("version", T.LongType())])
 VERSIONED_CURSOR = T.StructType([T.StructField("version", T.LongType()), *CURSOR.fields])
 
+CURSOR_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
 
 def one_row(spark: SparkSession, schema: T.StructType, values: dict) -> DataFrame:
     """A single row, as literals; fields without a value are NULL."""
@@ -81,6 +83,7 @@ class CollectorState:
             slots = (
                 spark.read.schema(schema)
                 .option("columnNameOfCorruptRecord", "_unread")
+                .option("timestampNTZFormat", CURSOR_TIME)
                 .json(f"{self.root}/cursor")
             )
         except AnalysisException:
@@ -98,7 +101,12 @@ class CollectorState:
 
     def write_cursor(self, spark: SparkSession, cursor: dict) -> None:
         path = self._slot("cursor", cursor["version"])
-        one_row(spark, VERSIONED_CURSOR, cursor).write.mode("overwrite").json(path)
+        (
+            one_row(spark, VERSIONED_CURSOR, cursor)
+            .write.mode("overwrite")
+            .option("timestampNTZFormat", CURSOR_TIME)
+            .json(path)
+        )
 
     def write_cycle(self, spark: SparkSession, cycle: dict) -> None:
         path = f"{self.root}/cycles/version={cycle['cycle']}"

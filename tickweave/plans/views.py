@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.functions.scalars import format_time, ntz
+from tickweave.functions.scalars import format_time, ntz, start_of_day
 from tickweave.schemas import PRICE, VALUE
 from tickweave.settings import PAGE_SIZE
 
@@ -97,7 +97,7 @@ def daily_cycles(trades: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     Trades up to the restart count as duplicates; a day that closes with an
     ``error`` trade counts as failed.
     """
-    day = F.date_trunc("day", "trade_ts").cast("timestamp_ntz")
+    day = start_of_day(F.col("trade_ts"))
     known = F.count_if(F.col("trade_ts") <= ntz(RESTART))
     n = F.count(F.lit(1))
     return (
@@ -110,7 +110,7 @@ def daily_cycles(trades: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
             (F.call_function("div", n, F.lit(page_size).cast("bigint")) + 1).alias(
                 "api_calls"
             ),
-            F.max_by("secid", "tradeno").alias("closing"),
+            F.max_by(F.col("secid") == "error", "tradeno").alias("failed"),
         )
         .select(
             "run_id",
@@ -124,7 +124,7 @@ def daily_cycles(trades: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
             "collected",
             "duplicates",
             "api_calls",
-            F.when(F.col("closing") == "error", "error").otherwise("ok").alias("status"),
+            F.when(F.col("failed"), "error").otherwise("ok").alias("status"),
         )
     )
 
