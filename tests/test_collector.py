@@ -144,11 +144,28 @@ def test_a_broken_cycle_is_done_again(spark, tmp_path):
     assert state.read_cursor(spark, OPEN) == before
     loads.run_cycle(trades, state, good, job, Clock(1900))
     keys = [r.key for r in topic.read_topic(spark, good.path, TRADES_TOPIC).collect()]
-    assert len(keys) == len(set(keys)) == state.read_accepted(spark).count()
+    totals = cycles.metrics_totals(state.read_cycles(spark)).first()
+    assert len(keys) == len(set(keys)) == totals.total_trades_collected
+    early = trades.filter(F.col("trade_ts") <= F.lit(str(OPEN + timedelta(seconds=1900))))
+    assert len(keys) == early.select("secid", "tradeno").distinct().count()
     (errors,) = cycles.error_count(state.read_cycles(spark)).collect()
     assert errors.total_errors == 1
 
 
+@pytest.mark.parametrize("block", [1, 3, 1000])
+def test_log_in_blocks(spark, tmp_path, block):
+    state = CollectorState(str(tmp_path), log_block=block)
+    assert state.read_cycles(spark).count() == 0
+    for n in [0, 1, 2, 2, 3, 4, 5, 5, 6]:  # some cycles are done again
+        state.write_cycle(spark, {"cycle": n, "status": "ok", "collected": n})
+        rows = state.read_cycles(spark).select("cycle", "collected").collect()
+        assert sorted(tuple(r) for r in rows) == [(i, i) for i in range(n + 1)]
+    state.log_error(spark, {"cycle": 7})
+    assert state.read_cycles(spark).filter("status = 'error'").count() == 1
+    closed = list((tmp_path / "cycles").glob("block=*")) if block < 1000 else []
+    assert len(closed) == {1: 7, 3: 2, 1000: 0}[block]
+
+
 def test_cursor_keeps_microseconds(spark, tmp_path):
     state = CollectorState(str(tmp_path))
     cursor = {
@@ -182,7 +199,9 @@ def test_unreadable_cursor_means_a_new_initial_load(spark, tmp_path):
     state = CollectorState(str(tmp_path / "state"))
     sink = FileSink(str(tmp_path / "topic"))
     job = Settings(mode=ALL)
-    loads.run_cycle(trades, state, sink, job, Clock(1800))
+    for tick in (1800, 1803):
+        loads.run_cycle(trades, state, sink, job, Clock(tick))
+    assert state.read_cycles(spark).count() == 2
     for file in (tmp_path / "state" / "cursor").rglob("*.json"):
         file.write_text('{"last_trade_time": "2024-')
         crc = file.parent / f".{file.name}.crc"
@@ -191,6 +210,7 @@ def test_unreadable_cursor_means_a_new_initial_load(spark, tmp_path):
     assert cursor["version"] == -1 and not cursor["initial_load_complete"]
     assert cursor["last_trade_time"] == OPEN
     assert loads.run_cycle(trades, state, sink, job, Clock(1900))["kind"] == "initial"
+    assert [r.kind for r in state.read_cycles(spark).collect()] == ["initial"]
 
 
 def test_seen_set_of_another_cycle_is_refused(spark, tmp_path):
@@ -355,6 +375,11 @@ def test_message_values(spark):
     assert body["tradetime"] == "2024-01-15 10:30:45" and body["price"] == Decimal("258.5")
     assert body["totalVolume"] == 25850 and body["value"] == 25850
     assert body["timestamp"] == 1705314645000 and body["period"] is None
+    sent = trade_messages(trades, datetime(2024, 1, 15, 10, 30, 45))
+    (back,) = topic.message_trades(sent).collect()
+    (first,) = trades.collect()
+    assert {n: back[n] for n in trades.columns} == first.asDict()
+    assert back.totalVolume == 25850 and back.timestamp == 1705314645000
 
 
 def test_both_topics_below_one_path(spark, sf_dir, tmp_path):

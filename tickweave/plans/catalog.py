@@ -501,13 +501,14 @@ def sink_securities_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as a stream through the collector; what it accepted."""
+    """``events`` as a stream through the collector; what it sent."""
     state = CollectorState(scratch(spark, "collector"))
     sink = FileSink(f"{state.root}/topic")
     trades = views.event_trades(views.stream_table(spark, sf_dir, "events"))
     job = Settings(mode=SPECIFIC, symbols=SYMBOLS)
     collector.stream_trades(trades, state, sink, job, once=True).awaitTermination()
-    return _loaded(state.read_accepted(spark))
+    sent = topic.read_topic(spark, sink.path, TRADES_TOPIC)
+    return _loaded(topic.message_trades(sent))
 
 
 @query

@@ -406,6 +406,7 @@ def oracle_sql() -> dict[str, str]:
                    'instruments' AS topic
             FROM securities""",
         "stream_incremental": f"""WITH {TRADES}
-            SELECT {LOADED} FROM trades WHERE {SYMBOLS}""",
+            SELECT {LOADED.replace("trade_ts", "date_trunc('second', trade_ts) AS trade_ts")}
+            FROM trades WHERE {SYMBOLS}""",
         "stream_watermark": f"WITH {TRADES} SELECT {SHOWN} FROM trades",
     }

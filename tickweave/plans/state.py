@@ -1,13 +1,15 @@
 """State tables of a collector, kept by version below one folder.
 
-Version ``n`` is what cycle ``n`` left behind. Seen-set and cursor are written
-in full each time, into one of two slots by turns: cycle ``n`` reads the slot
-of ``n - 1`` and replaces the one of ``n - 2``. A cycle that is done again
-finds its input untouched, and nothing has to be cleared away.
+Version ``n`` is what cycle ``n`` left behind. Each table is written in full,
+into one of two slots by turns: cycle ``n`` reads the slot of ``n - 1`` and
+replaces the one of ``n - 2``. A cycle that is done again finds its input
+untouched, the folder does not grow, and nothing has to be cleared away. Only
+the cycle log grows, by one file per block of cycles.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -18,9 +20,12 @@ from pyspark.sql import types as T
 
 from tickweave.functions.scalars import ntz
 from tickweave.operators.cursor import default_cursor
-from tickweave.schemas import CURSOR, CYCLE, SEEN, TRADE_KEY
+from tickweave.schemas import CURSOR, CYCLE, SEEN
 
-VERSIONED_SEEN = T.StructType([*SEEN.fields, T.StructField("version", T.LongType())])
+VERSIONED = {
+    name: T.StructType([*table.fields, T.StructField("version", T.LongType())])
+    for name, table in {"seen": SEEN, "log": CYCLE}.items()
+}
 VERSIONED_CURSOR = T.StructType([T.StructField("version", T.LongType()), *CURSOR.fields])
 
 CURSOR_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -39,40 +44,46 @@ def one_row(spark: SparkSession, schema: T.StructType, values: dict) -> DataFram
 @dataclass(frozen=True)
 class CollectorState:
     root: str
+    log_block: int = 1000  # cycles per file of the closed log
 
     def _slot(self, name: str, version: int) -> str:
         return f"{self.root}/{name}/slot={version % 2}"
 
-    def read_seen(self, spark: SparkSession, version: int) -> DataFrame:
-        """The seen-set as cycle ``version`` left it; before cycle 0 it is empty."""
-        if version < 0:
-            return spark.createDataFrame([], SEEN)
-        held = spark.read.schema(VERSIONED_SEEN).parquet(self._slot("seen", version))
+    def _read(self, spark: SparkSession, name: str, version: int) -> DataFrame:
+        held = spark.read.schema(VERSIONED[name]).parquet(self._slot(name, version))
         if any(f"/version={version}/" not in file for file in held.inputFiles()):
-            raise RuntimeError(f"the seen-set below {self.root} is not of cycle {version}")
-        return held.select(*TRADE_KEY)
+            raise RuntimeError(f"{name} below {self.root} is not of cycle {version}")
+        return held.drop("version")
 
-    def write_seen(self, seen: DataFrame, version: int) -> None:
+    def _write(self, table: DataFrame, name: str, version: int) -> None:
         (
-            seen.withColumn("version", F.lit(version).cast("bigint"))
+            table.withColumn("version", F.lit(version).cast("bigint"))
             .write.mode("overwrite")
             .partitionBy("version")
-            .parquet(self._slot("seen", version))
+            .parquet(self._slot(name, version))
         )
 
-    def write_accepted(self, fresh: DataFrame, version: int) -> DataFrame:
-        path = f"{self.root}/accepted/version={version}"
-        fresh.write.mode("overwrite").parquet(path)
-        return fresh.sparkSession.read.schema(fresh.schema).parquet(path)
+    def read_seen(self, spark: SparkSession, version: int) -> DataFrame:
+        """The seen-set as cycle ``version`` left it; before cycle 0 it is empty."""
+        if version < 0:
+            return spark.createDataFrame([], SEEN)
+        return self._read(spark, "seen", version)
+
+    def write_seen(self, seen: DataFrame, version: int) -> None:
+        self._write(seen, "seen", version)
 
-    def read_accepted(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(f"{self.root}/accepted")
+    def write_accepted(self, fresh: DataFrame, version: int) -> DataFrame:
+        """The new trades of a cycle written down, so they are computed once."""
+        return self._keep(fresh, "accepted", version)
 
     def stage_fetched(self, fetched: DataFrame, version: int) -> DataFrame:
         """The rows of a micro-batch written down, so they are decoded once."""
-        path = self._slot("fetched", version)
-        fetched.write.mode("overwrite").parquet(path)
-        return fetched.sparkSession.read.schema(fetched.schema).parquet(path)
+        return self._keep(fetched, "fetched", version)
+
+    def _keep(self, table: DataFrame, name: str, version: int) -> DataFrame:
+        path = self._slot(name, version)
+        table.write.mode("overwrite").parquet(path)
+        return table.sparkSession.read.schema(table.schema).parquet(path)
 
     def read_cursor(self, spark: SparkSession, now: datetime) -> dict:
         """The newest readable cursor; the default one if there is none."""
@@ -109,8 +120,18 @@ class CollectorState:
         )
 
     def write_cycle(self, spark: SparkSession, cycle: dict) -> None:
-        path = f"{self.root}/cycles/version={cycle['cycle']}"
-        one_row(spark, CYCLE, cycle).write.mode("overwrite").parquet(path)
+        """Add a cycle to the open block of the log; a full block is closed."""
+        version = cycle["cycle"]
+        block, place = divmod(version, self.log_block)
+        rows = one_row(spark, CYCLE, cycle)
+        if place:
+            rows = self._read(spark, "log", version - 1).unionByName(rows)
+        if version == 0:  # the other slot may be left from before a lost cursor
+            self._write(rows.limit(0), "log", 1)
+        self._write(rows.coalesce(1), "log", version)
+        if place == self.log_block - 1:
+            closed = self._read(spark, "log", version).coalesce(1)
+            closed.write.mode("overwrite").parquet(f"{self.root}/cycles/block={block}")
 
     def log_error(self, spark: SparkSession, cycle: dict) -> None:
         """Failed cycles are kept apart: the one done again has the same number."""
@@ -119,11 +140,20 @@ class CollectorState:
 
     def read_cycles(self, spark: SparkSession) -> DataFrame:
         """The cycle log, completed and failed cycles."""
+        names = CYCLE.fieldNames()
         log = spark.createDataFrame([], CYCLE)
         for part in ("cycles", "errors"):
             try:
                 held = spark.read.schema(CYCLE).parquet(f"{self.root}/{part}")
             except AnalysisException:
                 continue
-            log = log.unionByName(held.select(*CYCLE.fieldNames()))
-        return log
+            log = log.unionByName(held.select(*names))
+        try:
+            held = spark.read.schema(VERSIONED["log"]).parquet(f"{self.root}/log")
+        except AnalysisException:
+            return log
+        found = [re.search(r"/version=(\d+)/", f) for f in held.inputFiles()]
+        newest = max((int(m[1]) for m in found if m), default=None)
+        if newest is None or (newest + 1) % self.log_block == 0:
+            return log
+        return log.unionByName(held.filter(F.col("version") == newest).select(*names))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tickweave.schemas import MESSAGE
+from tickweave.schemas import MESSAGE, TRADE, VOLUME
 
 
 def read_kafka(
@@ -36,6 +37,20 @@ def read_topic(
     return reader.schema(MESSAGE).parquet(path).filter(F.col("topic") == topic)
 
 
+def message_trades(messages: DataFrame) -> DataFrame:
+    """Messages of the trades topic read back as trades."""
+    sent = [f for f in TRADE.fields if f.name != "trade_ts"]
+    derived = [
+        T.StructField("totalVolume", VOLUME),
+        T.StructField("timestamp", T.LongType()),
+    ]
+    return (
+        messages.select(F.from_json("value", T.StructType(sent + derived)).alias("t"))
+        .select("t.*")
+        .withColumn("trade_ts", F.col("tradetime").try_cast("timestamp_ntz"))
+    )
+
+
 def scan_topic(messages: DataFrame) -> DataFrame:
     """Messages as ``key | value`` lines."""
     return messages.select(
