@@ -52,14 +52,15 @@ def test_page(spark, reverse, start, limit):
     wanted = Counter(in_order(rows, reverse)[start : start + limit])
     shallow = paging.trades_page(trades, limit, start, reverse)
     assert Counter(tuple(r) for r in shallow.collect()) == wanted
-    for top_k_rows in (0, 120):
-        deep = paging.trades_page(trades, limit, start, reverse, top_k_rows)
+    for sort_rows in (0, 40, 10_000):
+        deep = paging.trades_page(trades, limit, start, reverse, 0, sort_rows)
         assert Counter(tuple(r) for r in deep.collect()) == wanted
 
 
-def test_shallow_page_is_in_order(spark):
+@pytest.mark.parametrize("top_k_rows", [0, 200])
+def test_page_is_in_order(spark, top_k_rows):
     rows = some_trades(2, 100)
-    page = paging.trades_page(make(spark, rows), 50, 10).collect()
+    page = paging.trades_page(make(spark, rows), 50, 10, True, top_k_rows).collect()
     assert [tuple(r) for r in page] == in_order(rows, reverse=True)[10:60]
 
 
@@ -131,7 +132,7 @@ def test_pages_do_not_depend_on_the_session_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
         trades = make(spark, rows)
-        page = paging.trades_page(trades, 6, 7, reverse=False, top_k_rows=0)
+        page = paging.trades_page(trades, 6, 7, False, 0, 0)
         assert sorted(r.tradeno for r in page.collect()) == list(range(7, 13))
         texts = trades.select(fn.format_time(F.col("trade_ts")).alias("t")).collect()
         assert [r.t for r in texts] == [str(r[2]) for r in rows]

@@ -58,6 +58,15 @@ def test_incremental_load_moves_the_trades_once(spark, sf_dir):
     assert "SortMergeJoin" in plan and plan.count("Exchange") == 2
 
 
-def test_pages_are_a_top_k(spark, sf_dir):
+# Large enough that the pages are not empty.
+PAGED = "/root/testdata/sf0.01"
+
+
+def test_pages_are_a_top_k(spark):
     for name in ("latest_trades", "latest_trades_symbol", "trades_range_page"):
-        assert "TakeOrderedAndProject" in plan_of(spark, sf_dir, name)
+        assert "TakeOrderedAndProject" in plan_of(spark, PAGED, name)
+
+
+def test_a_located_page_reads_its_hours_only(spark):
+    plan = plan_of(spark, PAGED, "trades_page")
+    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in plan

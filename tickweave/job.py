@@ -1,8 +1,8 @@
 """The collector as a job for spark-submit.
 
-    spark-submit job.py --landing DIR --state DIR --topics DIR --mode ALL --once
+    spark-submit tickweave/job.py --landing DIR --state DIR --topics DIR --mode ALL --once
 
-Responses land below ``DIR/<engine>/<market>/{trades,securities}``. All folders
+The package must be on the Python path of the driver. Responses land below ``DIR/<engine>/<market>/{trades,securities}``. All folders
 must be ones that every executor reaches.
 """
 

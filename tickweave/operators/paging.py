@@ -21,13 +21,17 @@ from tickweave.operators.selection import (
 from tickweave.settings import LATEST_LIMIT, PAGE_SIZE
 from tickweave.storage import stage
 
-# Up to this many leading rows a page is a top-k, which keeps that many rows
-# per task. Deeper pages are located by counts instead.
-TOP_K_ROWS = 100_000
+# Up to this many leading rows a page is a plain top-k. Every task keeps that
+# many and one task merges them, so the number must be small where tasks are
+# many. Longer pages are located by counts first.
+TOP_K_ROWS = 200
 
-# Hours are counted from here, in microseconds.
+# Among at most this many rows, a top-k of any length is fine.
+SORT_ROWS = 10_000_000
+
+# Widths of the time slots that locate a page, in microseconds.
 EPOCH = datetime(1970, 1, 1)
-HOUR = 3_600_000_000
+SLOTS = (3_600_000_000, 1_000_000, 1)
 
 # Copies of one row are spread over tasks in runs of this length.
 COPY_RUN = 1_000_000
@@ -61,12 +65,32 @@ def trades_page(
     start: int = 0,
     reverse: bool = True,
     top_k_rows: int = TOP_K_ROWS,
+    sort_rows: int = SORT_ROWS,
 ) -> DataFrame:
-    """One page of all trades, newest first unless ``reverse`` is off."""
+    """One page of all trades, newest first unless ``reverse`` is off.
+
+    A page beyond the first rows is located by time: counts per hour tell which
+    hours it touches, and only those are read again, which the scan can tell
+    from its statistics. Busy hours are narrowed down to seconds and then to
+    single moments. Where one moment holds more rows than should be sorted in
+    one place, its rows get positions.
+    """
+    order = _total_order(trades.columns, reverse)
     if start + limit <= top_k_rows:
-        order = _total_order(trades.columns, reverse)
         return trades.orderBy(*order).offset(start).limit(limit)
-    return _deep_page(trades, limit, start, reverse, top_k_rows)
+    near, ahead = trades, start
+    for width in SLOTS:
+        near, ahead, rows = _narrow(near, limit, ahead, reverse, width)
+        if rows <= sort_rows:
+            return near.orderBy(*order).offset(ahead).limit(limit)
+    placed, _ = with_positions(near, order)
+    begin = F.greatest("first_position", F.lit(ahead))
+    stop = F.least(F.col("first_position") + F.col("copies"), F.lit(ahead + limit))
+    return (
+        placed.filter(begin < stop)
+        .withColumn("_copy", F.explode(F.sequence(begin, stop - 1)))
+        .select(*trades.columns)
+    )
 
 
 def trades_range_page(
@@ -86,58 +110,45 @@ def trades_range_page(
     return trades_page(inside, limit, start, reverse)
 
 
-def _deep_page(
-    trades: DataFrame, limit: int, start: int, reverse: bool, top_k_rows: int
-) -> DataFrame:
-    """A page far from the end of the order.
+def _narrow(
+    trades: DataFrame, limit: int, start: int, reverse: bool, width: int
+) -> tuple[DataFrame, int, int]:
+    """The trades of the time slots a page touches, how many of them stand
+    ahead of the page, and how many there are.
 
-    Counts per hour tell which hours the page touches; only those are read
-    again. The counts are one row per hour of history, and a single row with
-    the bounds comes back to the driver.
+    Only times are read for the counts, one row per slot is ordered, and a
+    single row with the bounds comes back to the driver.
     """
-    hour = floor_div(micros_between(ntz(EPOCH), F.col("trade_ts")), HOUR)
-    running = Window.orderBy(
-        F.col("hour").desc_nulls_last() if reverse else F.col("hour").asc_nulls_last()
-    ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hours = (
-        trades.groupBy(hour.alias("hour"))
+    slot = floor_div(micros_between(ntz(EPOCH), F.col("trade_ts")), width)
+    along = F.col("slot").desc_nulls_last() if reverse else F.col("slot").asc_nulls_last()
+    running = Window.orderBy(along).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    touched = (
+        trades.groupBy(slot.alias("slot"))
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("after", F.sum("n").over(running))
         .withColumn("before", F.col("after") - F.col("n"))
-    )
-    touched = (
-        hours.filter((F.col("after") > start) & (F.col("before") < start + limit))
+        .filter((F.col("after") > start) & (F.col("before") < start + limit))
         .agg(
-            F.min("hour").alias("first"),
-            F.max("hour").alias("last"),
-            F.count_if(F.col("hour").isNull()).alias("timeless"),
-            F.min("before").alias("skipped"),
+            F.min("slot").alias("first"),
+            F.max("slot").alias("last"),
+            F.count_if(F.col("slot").isNull()).alias("timeless"),
+            F.min("before").alias("ahead"),
+            F.sum("n").alias("rows"),
         )
         .first()
     )
-    if touched["skipped"] is None:
-        return trades.limit(0)
+    if touched["rows"] is None:
+        return trades.limit(0), 0, 0
     inside = F.lit(False)
     if touched["first"] is not None:
-        first = EPOCH + timedelta(hours=touched["first"])
-        after = EPOCH + timedelta(hours=touched["last"] + 1)
+        first = EPOCH + timedelta(microseconds=touched["first"] * width)
+        after = EPOCH + timedelta(microseconds=(touched["last"] + 1) * width)
         inside = (F.col("trade_ts") >= ntz(first)) & (F.col("trade_ts") < ntz(after))
     if touched["timeless"]:
         inside = inside | F.col("trade_ts").isNull()
-    near = trades.filter(inside)
-    ahead = start - touched["skipped"]
-    if ahead + limit <= top_k_rows:
-        order = _total_order(trades.columns, reverse)
-        return near.orderBy(*order).offset(ahead).limit(limit)
-    placed, _ = with_positions(near, _total_order(trades.columns, reverse))
-    end = F.lit(ahead + limit)
-    begin = F.greatest("first_position", F.lit(ahead))
-    stop = F.least(F.col("first_position") + F.col("copies"), end)
-    return (
-        placed.filter(begin < stop)
-        .withColumn("_copy", F.explode(F.sequence(begin, stop - 1)))
-        .select(*trades.columns)
-    )
+    return trades.filter(inside), start - touched["ahead"], touched["rows"]
 
 
 def with_positions(

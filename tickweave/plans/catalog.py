@@ -273,9 +273,9 @@ def trades_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def trades_page_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A page located by counts, over trades with repeated keys and times."""
+    """A page found by positions, over trades with repeated keys and times."""
     return paging.trades_page(
-        _lines(spark, sf_dir), limit=5000, start=20_000, reverse=False, top_k_rows=0
+        _lines(spark, sf_dir), limit=5000, start=20_000, reverse=False, sort_rows=0
     )
 
 
