@@ -70,3 +70,23 @@ def test_pages_are_a_top_k(spark):
 def test_a_located_page_reads_its_hours_only(spark):
     plan = plan_of(spark, PAGED, "trades_page")
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in plan
+
+
+def test_seen_set_is_pruned_before_both_shuffles(spark, sf_dir):
+    plan = plan_of(spark, sf_dir, "bounded_seen_set")
+    assert plan.count("row_number(), 10000, Partial") == 2
+
+
+def test_no_instrument_is_numbered_in_one_task(spark, sf_dir):
+    plan = plan_of(spark, sf_dir, "page_assignment")
+    assert "row_number()" not in plan
+    assert "hashpartitioning(secid" in plan and "_piece" in plan
+
+
+def test_each_response_is_parsed_once(spark, sf_dir):
+    plan = plan_of(spark, sf_dir, "list_securities")
+    assert plan.count("parseJson") == 1
+
+
+def test_initial_load_moves_nothing(spark, sf_dir):
+    assert "Exchange" not in plan_of(spark, sf_dir, "initial_load")
