@@ -187,6 +187,29 @@ def test_cursor_keeps_microseconds(spark, tmp_path):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
+def test_cycles_without_trades_move_on(spark, tmp_path):
+    state = CollectorState(str(tmp_path / "state"))
+    sink = FileSink(str(tmp_path / "topic"))
+    none = spark.createDataFrame([], SCHEMA)
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for tick in (60, 120, 180):
+            row = loads.run_cycle(none, state, sink, Settings(mode=ALL), Clock(tick))
+            assert (row["collected"], row["api_calls"]) == (0, 1)
+        some = spark.createDataFrame([trade("A", 1, 200)], SCHEMA)
+        for tick, count in ((240, 1), (300, 0), (360, 0)):
+            row = loads.run_cycle(some, state, sink, Settings(mode=ALL), Clock(tick))
+            assert row["collected"] == count
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    cursor = state.read_cursor(spark, OPEN)
+    assert cursor["last_trade_time"] == OPEN + timedelta(seconds=360)
+    # The initial cycle counts, and the one that brought something.
+    assert cursor["total_cycles_completed"] == 2
+    assert state.read_seen(spark, 5).count() == 1
+
+
 def test_switched_off(spark, tmp_path):
     state = CollectorState(str(tmp_path / "state"))
     job = Settings(enabled=False)

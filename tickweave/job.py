@@ -2,8 +2,9 @@
 
     spark-submit tickweave/job.py --landing DIR --state DIR --topics DIR --mode ALL --once
 
-The package must be on the Python path of the driver. Responses land below ``DIR/<engine>/<market>/{trades,securities}``. All folders
-must be ones that every executor reaches.
+The package must be on the Python path of the driver. Responses land below
+``DIR/<engine>/<market>/{trades,securities}``. All folders must be ones that
+every executor reaches.
 """
 
 from __future__ import annotations

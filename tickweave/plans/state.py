@@ -59,6 +59,7 @@ class CollectorState:
         (
             table.withColumn("version", F.lit(version).cast("bigint"))
             .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
             .partitionBy("version")
             .parquet(self._slot(name, version))
         )
