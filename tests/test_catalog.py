@@ -4,9 +4,10 @@ import pytest
 from compare import connect, spark_rows, spark_types, sql_rows, sql_types
 
 import __spark_entry__ as driver
+from tickweave.plans import catalog, oracle
 
-QUERIES = driver.queries()
-SQL = driver.oracle_sql()
+QUERIES = catalog.queries()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -30,3 +31,8 @@ def test_query_matches_sql(name, spark, sf_dir, con):
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
+
+
+def test_entry_offers_every_query():
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
