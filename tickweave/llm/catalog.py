@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickweave.llm import pii, secrets, sql
+from tickweave.llm import pii, secrets, simhash, sql
 from tickweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,12 +16,16 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_spans(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_secret_scan, op7_pii)}
+    return {q.__name__: q for q in (op1_secret_scan, op3_simhash_dedup, op7_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
