@@ -80,3 +80,12 @@ PII = _spans(
     ],
     4,
 )
+
+WARC = """
+    WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+    d AS (SELECT page_id, octet_length(payload) AS n, sha256(payload) AS digest FROM p),
+    f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY digest) END AS first FROM d)
+    SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+           CASE WHEN first IS NULL OR page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+    FROM f"""
