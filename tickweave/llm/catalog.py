@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickweave.llm import pii, secrets, simhash, sql, warc
+from tickweave.llm import decontam, pii, secrets, simhash, sql, warc
 from tickweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,9 +28,13 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_spans(table(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_secret_scan, op3_simhash_dedup, op5_warc, op7_pii)}
+    return {q.__name__: q for q in (op1_secret_scan, op3_simhash_dedup, op5_warc, op7_pii, op8_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secret_scan": sql.SECRETS, "op5_warc": sql.WARC, "op7_pii": sql.PII}
+    return {"op1_secret_scan": sql.SECRETS, "op5_warc": sql.WARC, "op7_pii": sql.PII, "op8_decontamination": sql.DECONTAMINATION}

@@ -89,3 +89,22 @@ WARC = """
            CASE WHEN first IS NULL OR page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
            CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
     FROM f"""
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+DECONTAMINATION = f"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
+    b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+    windows AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 9], ' ') AS gram, least(len(w), 10) AS n
+                FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+    grams AS (SELECT rid, i, n, array_to_string(w[i:i + n - 1], ' ') AS gram
+              FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i
+                    FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+    m AS (SELECT rid, i, grams.n, item_id FROM grams JOIN windows USING (gram)),
+    hits AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM m) GROUP BY rid),
+    items AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+              FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM m WHERE item_id IS NOT NULL) GROUP BY rid)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+           sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hits USING (rid) LEFT JOIN items USING (rid)"""
