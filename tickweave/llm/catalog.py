@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickweave.llm import decontam, pii, secrets, simhash, sql, warc
+from tickweave.llm import decontam, packing, pii, secrets, simhash, sql, warc
 from tickweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,8 +33,12 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_secret_scan, op3_simhash_dedup, op5_warc, op7_pii, op8_decontamination)}
+    return {q.__name__: q for q in (op1_secret_scan, op3_simhash_dedup, op5_warc, op7_pii, op8_decontamination, op9_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
