@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickweave.llm import decontam, packing, pii, secrets, simhash, sql, warc
+from tickweave.llm import decontam, packing, pii, secrets, sharding, simhash, sql, warc
 from tickweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,8 +37,12 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_secret_scan, op3_simhash_dedup, op5_warc, op7_pii, op8_decontamination, op9_packing)}
+    return {q.__name__: q for q in (op1_secret_scan, op3_simhash_dedup, op5_warc, op7_pii, op8_decontamination, op9_packing, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
