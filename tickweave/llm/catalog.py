@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickweave.llm import ann, decontam, packing, pii, secrets, sharding, simhash, sql, warc
+from tickweave.llm import ann, decontam, packing, pii, quality, secrets, sharding, simhash, sql, warc
 from tickweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -46,7 +50,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_secret_scan, op3_simhash_dedup, op5_warc, op6_nearest_neighbours, op7_pii, op8_decontamination, op9_packing, op10_sharding)}
+    return {q.__name__: q for q in (op1_secret_scan, op2_quality, op3_simhash_dedup, op5_warc, op6_nearest_neighbours, op7_pii, op8_decontamination, op9_packing, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
