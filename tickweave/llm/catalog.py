@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickweave.llm import ann, decontam, packing, pii, quality, secrets, sharding, simhash, sql, warc
+from tickweave.llm import ann, decontam, packing, pii, quality, secrets, sharding, simhash, sql, toxicity, warc
 from tickweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages"))
 
@@ -50,7 +54,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_secret_scan, op2_quality, op3_simhash_dedup, op5_warc, op6_nearest_neighbours, op7_pii, op8_decontamination, op9_packing, op10_sharding)}
+    return {q.__name__: q for q in (op1_secret_scan, op2_quality, op3_simhash_dedup, op4_toxicity, op5_warc, op6_nearest_neighbours, op7_pii, op8_decontamination, op9_packing, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
