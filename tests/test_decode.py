@@ -1,6 +1,9 @@
 """Column-block responses, case by case."""
 
 import json
+import os
+import subprocess
+import sys
 from datetime import datetime
 from decimal import Decimal
 
@@ -10,6 +13,7 @@ from pyspark.sql import functions as F
 from tickweave.schemas import SECURITY, TRADE
 from tickweave.sources import envelope
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 HEADER = ["TRADENO", "TRADETIME", "SECID", "BOARDID", "PRICE", "QUANTITY", "VALUE"]
 ROW = [7, "2024-01-15 10:30:45", "SBER", "TQBR", 258.5, 100, 25850.25]
 
@@ -210,3 +214,85 @@ def test_streamed_responses(spark, tmp_path):
     query.awaitTermination()
     found = sorted(r.tradeno for r in spark.table("decoded").collect())
     assert found == [i * 10 + j for i in range(3) for j in range(4)]
+
+
+def test_texts_are_read_like_variants(spark):
+    good = json.dumps({"columns": HEADER, "data": [ROW]})
+    texts = [
+        f'{{"trades": {{"data": []}}, "trades": {good}}}',
+        block(HEADER, None, [*ROW[:4], "1.5", 2.9, 1e3], [None] * 7, [5]),
+        block([*HEADER, "PRICE"], [*ROW, 1.25]),
+        '{"trades": null}',
+        '{"trades": {"columns": null, "data": [[1]]}}',
+    ]
+    raw = spark.createDataFrame([(t,) for t in texts], "value string")
+    envelopes = raw.select(F.try_parse_json("value").alias("envelope"))
+    found = envelope.decode_trades(raw).collect()
+    assert len(found) == 5 and found == envelope.decode_trades(envelopes).collect()
+
+
+def test_unreadable_responses_are_named(spark, tmp_path):
+    whole = block(HEADER, ROW)
+    bad = {
+        "cut.json": whole[:-9],
+        "empty.json": "",
+        "text.json": "no json",
+        "list.json": "[1, 2]",
+        "row.json": block(HEADER, ROW, 5),
+        "shape.json": '{"trades": 5}',
+    }
+    fine = {"good.json": whole, "none.json": "{}", "other.json": '{"securities": {"data": [["A"]]}}'}
+    for name, text in {**bad, **fine}.items():
+        (tmp_path / name).write_text(text)
+    responses = envelope.read_envelope(spark, str(tmp_path))
+    named = {r.file.rsplit("/", 1)[1]: r.fault for r in envelope.unreadable_responses(responses).collect()}
+    assert set(named) == set(bad) - {"empty.json"} or set(named) == set(bad)
+    assert named["cut.json"] == "broken JSON or block" and named["text.json"] == "no JSON object"
+    assert envelope.decode_trades(responses).count() == 1
+    report = envelope.decode_report(envelope.decode_all_trades(responses)).first()
+    assert (report.n_rows, report.unreadable, report.out_of_range) == (1, len(named), 0)
+
+
+@pytest.mark.parametrize("at, sent", [(4, 1234567890123.5), (4, 1e-7), (6, 1e30), (0, 2**70), (5, 1e25)])
+def test_no_number_that_was_sent_becomes_zero(spark, at, sent):
+    text = block(HEADER, [*ROW[:at], sent, *ROW[at + 1 :]], ROW)
+    raw = spark.createDataFrame([(text,)], "value string")
+    assert [r.tradeno for r in envelope.decode_trades(raw).collect()] == [7]
+    (out,) = envelope.decode_all_trades(raw).filter("fault is not null").collect()
+    assert out.fault == "number out of range" and json.loads(out.sent)[2] == "SBER"
+    zero = block(HEADER, [*ROW[:at], 0, *ROW[at + 1 :]])
+    assert len(trades_of(spark, zero)) == 1
+
+
+LONG = """
+import sys
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from tickweave.sources import envelope
+spark = (
+    SparkSession.builder.master("local[2]").config("spark.driver.memory", "6g")
+    .config("spark.ui.enabled", "false").getOrCreate()
+)
+responses = envelope.read_envelope(spark, sys.argv[1])
+trades = envelope.decode_trades(responses)
+print(trades.agg(F.countDistinct("tradeno")).first()[0], envelope.unreadable_responses(responses).count())
+"""
+
+
+def test_a_long_response_keeps_all_rows(tmp_path):
+    """Far beyond what one VARIANT holds; in a process with the memory for it."""
+    n = 2_700_000
+    (tmp_path / "landing").mkdir()
+    path = tmp_path / "landing" / "long.json"
+    with path.open("w") as file:
+        file.write(json.dumps({"trades": {"columns": HEADER}})[:-2] + ', "data": [')
+        file.writelines(
+            f'{"," if i else ""}[{i},"2024-01-15 10:30:45","S{i % 7}","B",1.5,2,3.0]' for i in range(n)
+        )
+        file.write("]}}")
+    assert path.stat().st_size > 128 << 20
+    env = os.environ | {"PYTHONPATH": ROOT}
+    run = subprocess.run(
+        [sys.executable, "-c", LONG, str(path.parent)], env=env, capture_output=True, text=True, timeout=600
+    )
+    assert run.stdout.split() == [str(n), "0"], run.stderr[-2000:]

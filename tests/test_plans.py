@@ -2,9 +2,9 @@
 
 import pytest
 
-import __spark_entry__ as driver
+from tickweave.plans import catalog
 
-QUERIES = driver.queries()
+QUERIES = catalog.queries()
 
 
 def plan_of(spark, sf_dir, name):

@@ -51,16 +51,23 @@ def _slices(partitions: int) -> int:
     return max(fitting) if max(fitting) >= 4 else 16
 
 
-def bounded_seen_set(keys: DataFrame, cap: int = SEEN_CAP) -> DataFrame:
-    """The ``cap`` largest distinct trade numbers of each instrument.
+def bounded_seen_set(keys: DataFrame, cap: int | None = SEEN_CAP) -> DataFrame:
+    """The ``cap`` largest distinct trade numbers of each instrument; all of them
+    without a cap.
 
     The same set as adding numbers one by one and evicting the smallest above
     the cap, in any order. A few instruments hold most trades, so the top-k
     runs twice: per slice of an instrument, then over at most slices x cap
     survivors. Any of the ``cap`` largest is also among the ``cap`` largest of
-    its slice, so nothing is lost.
+    its slice, so nothing is lost. Group limits prune before the shuffles up to
+    a threshold of the session, which is raised to the cap in use.
     """
+    if cap is None:
+        return keys.select(*TRADE_KEY).distinct()
     spark = keys.sparkSession
+    limit = "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(spark.conf.get(limit)) < cap:
+        spark.conf.set(limit, str(cap))
     slices = _slices(int(spark.conf.get("spark.sql.shuffle.partitions")))
     newest = F.col("tradeno").desc()
     in_slice = Window.partitionBy("secid", "_slice").orderBy(newest)
@@ -78,7 +85,9 @@ def bounded_seen_set(keys: DataFrame, cap: int = SEEN_CAP) -> DataFrame:
     )
 
 
-def mark_batch(seen: DataFrame, batch: DataFrame, cap: int = SEEN_CAP) -> DataFrame:
+def mark_batch(
+    seen: DataFrame, batch: DataFrame, cap: int | None = SEEN_CAP
+) -> DataFrame:
     """The seen-set after a whole batch was added to it."""
     return bounded_seen_set(
         seen.select(*TRADE_KEY).unionByName(batch.select(*TRADE_KEY)), cap

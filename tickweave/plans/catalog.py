@@ -80,7 +80,7 @@ def _cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _envelopes(responses: DataFrame) -> DataFrame:
-    return responses.select(F.try_parse_json("value").alias("envelope"))
+    return responses.select("value")
 
 
 # Sources and decoding

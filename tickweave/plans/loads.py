@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import suppress
+from dataclasses import replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickweave.operators.cycles import next_till
 from tickweave.operators.dedup import dedup_trades, filter_new_trades, mark_batch
@@ -16,8 +20,9 @@ from tickweave.operators.selection import (
     filter_time_range,
 )
 from tickweave.plans.state import CollectorState
-from tickweave.settings import Settings
+from tickweave.settings import FAIL, Settings
 from tickweave.sinks.messages import FileSink, KafkaSink, sink_securities, sink_trades
+from tickweave.sources.envelope import sound
 
 
 def initial_load(
@@ -70,12 +75,15 @@ def commit_cycle(
     """
     spark = fresh.sparkSession
     version = cycle["cycle"]
+    # Side threads work under the job group and the properties of this one.
+    here = inheritable_thread_target(spark)
+    sink = replace(sink, generation=state.generation or sink.generation)
     with ThreadPoolExecutor(2) as side:
-        counted = side.submit(count_fetched)
+        counted = side.submit(here(count_fetched))
         accepted = state.write_accepted(fresh, version)
         marked = mark_batch(seen, accepted, settings.seen_cap)
-        sent = side.submit(sink_trades, accepted, sink, cycle["started"], version)
-        kept = side.submit(state.write_seen, marked, version)
+        sent = side.submit(here(sink_trades), accepted, sink, cycle["started"], version)
+        kept = side.submit(here(state.write_seen), marked, version)
         collected = accepted.count()
         for step in (sent, kept):
             step.result()
@@ -93,6 +101,37 @@ def commit_cycle(
     return row
 
 
+class UnreadableInput(RuntimeError):
+    """Responses, or numbers in them, that a cycle must not pass over."""
+
+
+def set_faults_aside(
+    state: CollectorState, decoded: DataFrame, version: int, settings: Settings
+) -> DataFrame:
+    """The sound trades among rows of ``decode_all_trades``.
+
+    What could not be read fails the cycle, which then commits nothing; or it goes
+    to the quarantine of the state, if the settings say so.
+    """
+    if "fault" not in decoded.columns:
+        return decoded
+    faults = decoded.filter(F.col("fault").isNotNull()).select("file", "fault", "sent")
+    first = faults.limit(5).collect()
+    if first and settings.on_fault == FAIL:
+        named = "; ".join(f"{row.fault} in {row.file}" for row in first)
+        raise UnreadableInput(f"{faults.count()} unreadable, such as: {named}")
+    if first:
+        state.write_quarantine(faults, version)
+    return sound(decoded)
+
+
+def failed(state: CollectorState, spark: SparkSession, cycle: dict) -> None:
+    """Log a failed cycle. Called while its error is on its way, which must not be
+    hidden by the log's own."""
+    with suppress(Exception):
+        state.log_error(spark, cycle)
+
+
 def run_cycle(
     trades: DataFrame,
     state: CollectorState,
@@ -104,7 +143,8 @@ def run_cycle(
     """One tick of the collector over a table of trades.
 
     Returns the row it added to the cycle log, or None when it is switched
-    off. A failure is logged and raised; the cursor stays where it was.
+    off. A failure is logged and raised; the cursor stays where it was, and the
+    next tick does the same window again.
     """
     if not settings.enabled:
         return None
@@ -112,31 +152,37 @@ def run_cycle(
     started = clock()
     cursor = state.read_cursor(spark, started)
     initial = not cursor["initial_load_complete"]
-    start = cursor["last_trade_time"]
     till = started
     if not initial:
-        till = next_till(start, started, settings.catch_up_minutes)
+        till = next_till(cursor["last_trade_time"], started, settings.catch_up_minutes)
+    own, plan = state.begin(
+        spark,
+        cursor["version"] + 1,
+        "initial" if initial else "incremental",
+        cursor["last_trade_time"],
+        till,
+    )
+    start, till = plan["start"], plan["till"]
     cycle = {
-        "cycle": cursor["version"] + 1,
-        "kind": "initial" if initial else "incremental",
+        "cycle": plan["version"],
+        "kind": plan["kind"],
         "started": started,
         "till": till,
     }
     try:
-        seen = state.read_seen(spark, cursor["version"])
+        seen = own.read_seen(spark, cursor["version"])
         symbols = settings.selection()
-        wanted = filter_time_range(filter_symbols(trades, symbols), start, till)
+        fetched = set_faults_aside(own, trades, plan["version"], settings)
+        wanted = filter_time_range(filter_symbols(fetched, symbols), start, till)
         fresh = dedup_trades(wanted) if dedupe else wanted
         if not initial:
             fresh = filter_new_trades(fresh, seen)
-        row = commit_cycle(
-            state, sink, wanted.count, fresh, seen, cycle, settings, clock
-        )
+        row = commit_cycle(own, sink, wanted.count, fresh, seen, cycle, settings, clock)
     except Exception:
-        state.log_error(spark, {**cycle, "run_id": settings.run_id, "ended": clock()})
+        failed(own, spark, {**cycle, "run_id": settings.run_id, "ended": clock()})
         raise
     gained = initial or row["collected"] > 0
-    state.write_cursor(
+    own.write_cursor(
         spark,
         {
             "version": cycle["cycle"],

@@ -1,16 +1,24 @@
-"""State tables of a collector, kept by version below one folder.
+"""State tables of a collector, kept by generation and version below one folder.
 
 Version ``n`` is what cycle ``n`` left behind. Each table is written in full,
 into one of two slots by turns: cycle ``n`` reads the slot of ``n - 1`` and
 replaces the one of ``n - 2``. A cycle that is done again finds its input
 untouched, the folder does not grow, and nothing has to be cleared away. Only
-the cycle log grows, by one file per block of cycles.
+the cycle log and the quarantine grow, by one file per block of cycles and by
+what could not be read.
+
+Before a cycle works, its plan is written down: its window, and the generation.
+Done again, it takes the window of its first attempt. A generation begins with
+the first cycle, and again when cycle 0 comes back after later ones, as after a
+lost cursor; its tables and messages stand apart from those of the ones before,
+so a new start sends again and replaces nothing.
 """
 
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -28,6 +36,17 @@ VERSIONED = {
 }
 VERSIONED_CURSOR = T.StructType([T.StructField("version", T.LongType()), *CURSOR.fields])
 
+PLAN = T.StructType(
+    [
+        T.StructField("seq", T.LongType()),
+        T.StructField("generation", T.StringType()),
+        T.StructField("version", T.LongType()),
+        T.StructField("kind", T.StringType()),
+        T.StructField("start", T.TimestampNTZType()),
+        T.StructField("till", T.TimestampNTZType()),
+    ]
+)
+
 CURSOR_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -43,14 +62,27 @@ def one_row(spark: SparkSession, schema: T.StructType, values: dict) -> DataFram
 
 @dataclass(frozen=True)
 class CollectorState:
+    """The tables below ``root``: those of one ``generation``, or of the newest."""
+
     root: str
     log_block: int = 1000  # cycles per file of the closed log
+    generation: str | None = None
+
+    def _home(self, spark: SparkSession) -> str:
+        generation = self.generation
+        if generation is None:
+            generation = (self.read_plan(spark) or {}).get("generation")
+        return f"{self.root}/generation={generation}" if generation else self.root
+
+    def _slot(self, spark: SparkSession, name: str, version: int) -> str:
+        return f"{self._home(spark)}/{name}/slot={version % 2}"
 
-    def _slot(self, name: str, version: int) -> str:
-        return f"{self.root}/{name}/slot={version % 2}"
+    def _cursors(self, spark: SparkSession) -> str:
+        generation = self._home(spark)[len(self.root) :]
+        return f"{self.root}/cursor{generation}"
 
     def _read(self, spark: SparkSession, name: str, version: int) -> DataFrame:
-        held = spark.read.schema(VERSIONED[name]).parquet(self._slot(name, version))
+        held = spark.read.schema(VERSIONED[name]).parquet(self._slot(spark, name, version))
         if any(f"/version={version}/" not in file for file in held.inputFiles()):
             raise RuntimeError(f"{name} below {self.root} is not of cycle {version}")
         return held.drop("version")
@@ -61,8 +93,63 @@ class CollectorState:
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .partitionBy("version")
-            .parquet(self._slot(name, version))
+            .parquet(self._slot(table.sparkSession, name, version))
+        )
+
+    def _rows(self, spark: SparkSession, path: str, schema: T.StructType, may_lack=()) -> list:
+        """The readable rows of a small table in two slots, so at most two."""
+        unread = T.StructField("_unread", T.StringType())
+        try:
+            slots = (
+                spark.read.schema(T.StructType([*schema.fields, unread]))
+                .option("columnNameOfCorruptRecord", "_unread")
+                .option("timestampNTZFormat", CURSOR_TIME)
+                .json(path)
+            )
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+        usable = F.col("_unread").isNull()
+        for name in schema.fieldNames():
+            if name not in may_lack:
+                usable = usable & F.col(name).isNotNull()
+        return [r.asDict() for r in slots.filter(usable).select(*schema.fieldNames()).collect()]
+
+    def read_plan(self, spark: SparkSession) -> dict | None:
+        """The plan of the newest cycle that was begun."""
+        found = self._rows(spark, f"{self.root}/plan", PLAN, may_lack=("start", "till"))
+        return max(found, key=lambda row: row["seq"], default=None)
+
+    def begin(
+        self,
+        spark: SparkSession,
+        version: int,
+        kind: str,
+        start: datetime | None = None,
+        till: datetime | None = None,
+    ) -> tuple[CollectorState, dict]:
+        """Write the plan of a cycle down, or find the one its first attempt left;
+        return the state of its generation, and the plan."""
+        last = self.read_plan(spark)
+        fresh = last is None or (version == 0 and last["version"] > 0)
+        if not fresh and last["version"] == version:
+            return replace(self, generation=last["generation"]), last
+        plan = {
+            "seq": 0 if last is None else last["seq"] + 1,
+            "generation": uuid.uuid4().hex if fresh else last["generation"],
+            "version": version,
+            "kind": kind,
+            "start": start,
+            "till": till,
+        }
+        (
+            one_row(spark, PLAN, plan)
+            .write.mode("overwrite")
+            .option("timestampNTZFormat", CURSOR_TIME)
+            .json(f"{self.root}/plan/slot={plan['seq'] % 2}")
         )
+        return replace(self, generation=plan["generation"]), plan
 
     def read_seen(self, spark: SparkSession, version: int) -> DataFrame:
         """The seen-set as cycle ``version`` left it; before cycle 0 it is empty."""
@@ -82,37 +169,38 @@ class CollectorState:
         return self._keep(fetched, "fetched", version)
 
     def _keep(self, table: DataFrame, name: str, version: int) -> DataFrame:
-        path = self._slot(name, version)
-        table.write.mode("overwrite").parquet(path)
+        path = self._slot(table.sparkSession, name, version)
+        table.write.mode("overwrite").option(
+            "partitionOverwriteMode", "static"
+        ).parquet(path)
         return table.sparkSession.read.schema(table.schema).parquet(path)
 
+    def write_quarantine(self, faults: DataFrame, version: int) -> None:
+        """What a cycle could not read, kept for good."""
+        path = f"{self._home(faults.sparkSession)}/quarantine/version={version}"
+        faults.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+    def read_quarantine(self, spark: SparkSession) -> DataFrame:
+        """Unreadable responses and trades out of range: (version, file, fault, sent)."""
+        schema = "file string, fault string, sent string, version bigint"
+        try:
+            path = f"{self._home(spark)}/quarantine"
+            return spark.read.schema(schema).parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], schema)
+
     def read_cursor(self, spark: SparkSession, now: datetime) -> dict:
         """The newest readable cursor; the default one if there is none."""
-        schema = T.StructType(
-            [*VERSIONED_CURSOR.fields, T.StructField("_unread", T.StringType())]
-        )
-        try:
-            slots = (
-                spark.read.schema(schema)
-                .option("columnNameOfCorruptRecord", "_unread")
-                .option("timestampNTZFormat", CURSOR_TIME)
-                .json(f"{self.root}/cursor")
-            )
-        except AnalysisException:
-            slots = spark.createDataFrame([], schema)
-        names = VERSIONED_CURSOR.fieldNames()
-        usable = F.col("_unread").isNull()
-        for name in names:
-            usable = usable & F.col(name).isNotNull()
-        # One row per slot, so at most two.
-        found = [r.asDict() for r in slots.filter(usable).select(*names).collect()]
+        found = self._rows(spark, self._cursors(spark), VERSIONED_CURSOR)
         if found:
             return max(found, key=lambda row: row["version"])
         columns = [v.alias(name) for name, v in default_cursor(now).items()]
         return {"version": -1, **spark.range(1).select(*columns).first().asDict()}
 
     def write_cursor(self, spark: SparkSession, cursor: dict) -> None:
-        path = self._slot("cursor", cursor["version"])
+        path = f"{self._cursors(spark)}/slot={cursor['version'] % 2}"
         (
             one_row(spark, VERSIONED_CURSOR, cursor)
             .write.mode("overwrite")
@@ -132,25 +220,25 @@ class CollectorState:
         self._write(rows.coalesce(1), "log", version)
         if place == self.log_block - 1:
             closed = self._read(spark, "log", version).coalesce(1)
-            closed.write.mode("overwrite").parquet(f"{self.root}/cycles/block={block}")
+            closed.write.mode("overwrite").parquet(f"{self._home(spark)}/cycles/block={block}")
 
     def log_error(self, spark: SparkSession, cycle: dict) -> None:
         """Failed cycles are kept apart: the one done again has the same number."""
         failed = one_row(spark, CYCLE, {**cycle, "status": "error"})
-        failed.write.mode("append").parquet(f"{self.root}/errors")
+        failed.write.mode("append").parquet(f"{self._home(spark)}/errors")
 
     def read_cycles(self, spark: SparkSession) -> DataFrame:
         """The cycle log, completed and failed cycles."""
-        names = CYCLE.fieldNames()
+        names, home = CYCLE.fieldNames(), self._home(spark)
         log = spark.createDataFrame([], CYCLE)
         for part in ("cycles", "errors"):
             try:
-                held = spark.read.schema(CYCLE).parquet(f"{self.root}/{part}")
+                held = spark.read.schema(CYCLE).parquet(f"{home}/{part}")
             except AnalysisException:
                 continue
             log = log.unionByName(held.select(*names))
         try:
-            held = spark.read.schema(VERSIONED["log"]).parquet(f"{self.root}/log")
+            held = spark.read.schema(VERSIONED["log"]).parquet(f"{home}/log")
         except AnalysisException:
             return log
         found = [re.search(r"/version=(\d+)/", f) for f in held.inputFiles()]

@@ -17,6 +17,10 @@ TRADES_TOPIC = "trades"
 INSTRUMENTS_TOPIC = "instruments"
 TOPIC_PARTITIONS = {TRADES_TOPIC: 3, INSTRUMENTS_TOPIC: 1}
 
+# What a cycle does with responses and numbers it cannot read.
+FAIL = "fail"
+QUARANTINE = "quarantine"
+
 ALL = "ALL"
 SPECIFIC = "SPECIFIC"
 
@@ -27,7 +31,8 @@ class Settings:
     mode: str = SPECIFIC
     symbols: list[str] = field(default_factory=list)
     page_size: int = PAGE_SIZE
-    seen_cap: int = SEEN_CAP
+    seen_cap: int | None = SEEN_CAP  # None keeps every trade number
+    on_fault: str = FAIL
     catch_up_minutes: int = CATCH_UP_MINUTES
     run_id: str = "collector"
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -43,29 +43,48 @@ def key_partition(key: Column, partitions: Column) -> Column:
 
 @dataclass(frozen=True)
 class FileSink:
-    """Messages as Parquet, one folder per topic and batch.
+    """Messages as Parquet, one folder per topic, generation and batch.
 
-    A batch that is written again replaces its own folder, so a replay leaves
-    no second copy.
+    A batch that is written again replaces its own folder, also when it has
+    nothing left to say, so a replay leaves no second copy. Batches of another
+    generation, such as those of a new start, are other folders.
     """
 
     path: str
     partitions: dict[str, int] = field(default_factory=lambda: dict(TOPIC_PARTITIONS))
+    generation: str = "none"
+    topic: str | None = None
+
+    def to(self, topic: str) -> FileSink:
+        """The same place, for messages of one topic."""
+        return replace(self, topic=topic)
 
     def write(self, messages: DataFrame, batch_id: int = 0) -> None:
+        """Without a single ``topic`` the folders of all topics that the messages
+        name are replaced."""
         count = F.lit(1)
         for topic, n in self.partitions.items():
             count = F.when(F.col("topic") == topic, F.lit(n)).otherwise(count)
+        dealt = messages.withColumn("partition", key_partition(F.col("key"), count))
+        if self.topic is not None:
+            place = f"topic={self.topic}/generation={self.generation}/batch_id={batch_id}"
+            (
+                dealt.drop("topic")
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "static")
+                .parquet(f"{self.path}/{place}")
+            )
+            return
         (
-            messages.withColumns(
+            dealt.withColumns(
                 {
-                    "partition": key_partition(F.col("key"), count),
+                    "generation": F.lit(self.generation),
                     "batch_id": F.lit(batch_id).cast("bigint"),
                 }
             )
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("topic", "batch_id")
+            .partitionBy("topic", "generation", "batch_id")
             .parquet(self.path)
         )
 
@@ -78,6 +97,10 @@ class KafkaSink:
     options: dict[str, str] = field(
         default_factory=lambda: {"kafka.acks": "all", "kafka.retries": "3"}
     )
+    generation: str = "none"
+
+    def to(self, topic: str) -> KafkaSink:
+        return self
 
     def write(self, messages: DataFrame, batch_id: int = 0) -> None:
         (
@@ -95,10 +118,10 @@ def sink_trades(
     ingest_ts: datetime | None = None,
     batch_id: int = 0,
 ) -> None:
-    sink.write(trade_messages(trades, ingest_ts), batch_id)
+    sink.to(TRADES_TOPIC).write(trade_messages(trades, ingest_ts), batch_id)
 
 
 def sink_securities(
     securities: DataFrame, sink: FileSink | KafkaSink, batch_id: int = 0
 ) -> None:
-    sink.write(security_messages(securities), batch_id)
+    sink.to(INSTRUMENTS_TOPIC).write(security_messages(securities), batch_id)

@@ -10,20 +10,30 @@ from tickweave.schemas import MESSAGE, TRADE, VOLUME
 
 
 def read_kafka(
-    spark: SparkSession, servers: str, topic: str, streaming: bool = False
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    streaming: bool = False,
+    **options: str,
 ) -> DataFrame:
-    """A broker topic from its beginning. Needs the Kafka connector JAR."""
+    """A broker topic from its beginning. Needs the Kafka connector JAR.
+
+    ``options`` go to the reader, such as ``maxOffsetsPerTrigger`` or other
+    ``startingOffsets``.
+    """
     reader = spark.readStream if streaming else spark.read
     return (
         reader.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
+        .options(**options)
         .load()
         .select(
             F.col("key").cast("string"),
             F.col("value").cast("string"),
             "partition",
+            "offset",
             "topic",
         )
     )
@@ -34,7 +44,8 @@ def read_topic(
 ) -> DataFrame:
     """A topic kept as files; only its own folders are listed into the scan."""
     reader = spark.readStream if streaming else spark.read
-    return reader.schema(MESSAGE).parquet(path).filter(F.col("topic") == topic)
+    held = reader.schema(MESSAGE).parquet(path).filter(F.col("topic") == topic)
+    return held.select(*MESSAGE.fieldNames())
 
 
 def message_trades(messages: DataFrame) -> DataFrame:

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickweave.operators.dedup import dedup_trades, filter_new_trades
 from tickweave.operators.selection import filter_symbols
-from tickweave.plans.loads import commit_cycle
+from tickweave.plans.loads import commit_cycle, failed, set_faults_aside
 from tickweave.plans.state import CollectorState
 from tickweave.settings import TRIGGER_SECONDS, Settings
 from tickweave.sinks.messages import FileSink, KafkaSink
@@ -27,57 +29,73 @@ def collect_batch(
     """The work on one micro-batch, for ``foreachBatch``.
 
     The batch id is the state version, so a batch delivered again reads the
-    state its first attempt read and replaces what that attempt wrote.
+    state its first attempt read and replaces what that attempt wrote. A failure
+    is logged and raised, and the batch stays to be delivered again.
     """
 
     def work(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        started = clock()
-        fetched = state.stage_fetched(batch, batch_id)
-        seen = state.read_seen(spark, batch_id - 1)
-        fresh = dedup_trades(fetched) if dedupe else fetched
-        summary = fetched.agg(
-            F.count(F.lit(1)).alias("n"), F.max("trade_ts").alias("newest")
-        ).first()
-        cursor = state.read_cursor(spark, started)
-        before = cursor if cursor["version"] < batch_id else None
-        till = summary["newest"] or cursor["last_trade_time"]
-        if cursor["initial_load_complete"]:
-            till = max(till, cursor["last_trade_time"])
-        row = commit_cycle(
-            state,
-            sink,
-            lambda: summary["n"],
-            filter_new_trades(fresh, seen),
-            seen,
-            {
-                "cycle": batch_id,
-                "kind": "initial" if batch_id == 0 else "incremental",
-                "started": started,
-                "till": till,
-            },
-            settings,
-            clock,
-        )
-        if before is None:
-            return
-        gained = batch_id == 0 or row["collected"] > 0
-        state.write_cursor(
-            spark,
-            {
-                "version": batch_id,
-                "last_trade_time": till,
-                "initial_load_complete": True,
-                "total_trades_collected": before["total_trades_collected"]
-                + row["collected"],
-                "total_cycles_completed": before["total_cycles_completed"] + int(gained),
-                "last_update_time": row["ended"],
-            },
-        )
+        kind = "initial" if batch_id == 0 else "incremental"
+        cycle = {"cycle": batch_id, "kind": kind, "started": clock()}
+        own, _ = state.begin(spark, batch_id, kind)
+        try:
+            _collect(own, sink, settings, clock, dedupe, batch, cycle)
+        except Exception:
+            failed(own, spark, {**cycle, "run_id": settings.run_id, "ended": clock()})
+            raise
 
     return work
 
 
+def _collect(
+    state: CollectorState,
+    sink: FileSink | KafkaSink,
+    settings: Settings,
+    clock: Callable[[], datetime],
+    dedupe: bool,
+    batch: DataFrame,
+    cycle: dict,
+) -> None:
+    spark, batch_id = batch.sparkSession, cycle["cycle"]
+    staged = state.stage_fetched(batch, batch_id)
+    fetched = set_faults_aside(state, staged, batch_id, settings)
+    seen = state.read_seen(spark, batch_id - 1)
+    fresh = dedup_trades(fetched) if dedupe else fetched
+    summary = fetched.agg(
+        F.count(F.lit(1)).alias("n"), F.max("trade_ts").alias("newest")
+    ).first()
+    cursor = state.read_cursor(spark, cycle["started"])
+    before = cursor if cursor["version"] < batch_id else None
+    till = summary["newest"] or cursor["last_trade_time"]
+    if cursor["initial_load_complete"]:
+        till = max(till, cursor["last_trade_time"])
+    cycle["till"] = till
+    row = commit_cycle(
+        state,
+        sink,
+        lambda: summary["n"],
+        filter_new_trades(fresh, seen),
+        seen,
+        cycle,
+        settings,
+        clock,
+    )
+    if before is None:
+        return
+    gained = batch_id == 0 or row["collected"] > 0
+    state.write_cursor(
+        spark,
+        {
+            "version": batch_id,
+            "last_trade_time": till,
+            "initial_load_complete": True,
+            "total_trades_collected": before["total_trades_collected"] + row["collected"],
+            "total_cycles_completed": before["total_cycles_completed"] + int(gained),
+            "last_update_time": row["ended"],
+        },
+    )
+
+
 def stream_trades(
     trades: DataFrame,
     state: CollectorState,
@@ -86,8 +104,10 @@ def stream_trades(
     once: bool = False,
     clock: Callable[[], datetime] = datetime.now,
     dedupe: bool = True,
+    interval: float = TRIGGER_SECONDS,
 ) -> StreamingQuery:
-    """Start collecting a stream of trades.
+    """Start collecting a stream of trades, or of rows of ``decode_all_trades``,
+    whose faults are then counted as the settings say.
 
     ``once`` takes all that is there and stops, which is the initial load; the
     same call later goes on from the checkpoint. Otherwise a batch starts every
@@ -95,32 +115,55 @@ def stream_trades(
     (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``).
     """
     pause = {"availableNow": True} if once else {
-        "processingTime": f"{TRIGGER_SECONDS} seconds"
+        "processingTime": f"{interval} seconds"
     }
+    wanted = filter_symbols(trades, settings.selection())
+    if "fault" in trades.columns and settings.selection() is not None:
+        named = F.col("secid").isin(sorted(set(settings.selection())))
+        wanted = trades.filter(named | F.col("fault").isNotNull())
     return (
-        filter_symbols(trades, settings.selection())
-        .writeStream.foreachBatch(collect_batch(state, sink, settings, clock, dedupe))
+        wanted.writeStream.foreachBatch(collect_batch(state, sink, settings, clock, dedupe))
         .option("checkpointLocation", f"{state.root}/checkpoint")
         .trigger(**pause)
         .start()
     )
 
 
+def keep_collecting(
+    start: Callable[[], StreamingQuery], tries: int, pause: float
+) -> None:
+    """Run a collector until it ends; after a failure start it again, from where it
+    stopped, up to ``tries`` failures without a batch done between them."""
+    failures = 0
+    while True:
+        query = start()
+        try:
+            query.awaitTermination()
+            return
+        except StreamingQueryException:
+            failures = 1 if query.recentProgress else failures + 1
+            if failures >= tries:
+                raise
+        time.sleep(pause)
+
+
 def dedup_stream(
     trades: DataFrame, delay: str = "30 days", slices: int = 16
 ) -> DataFrame:
-    """First arrival per key, with state bounded by time instead of by count.
+    """First arrival per key; a key is forgotten ``delay`` after it arrived.
 
-    For key spaces too wide for a seen-set. Watermarks need TIMESTAMP, so the
-    session zone must not change between runs.
+    For key spaces too wide for a seen-set. Time is that of arrival, not of the
+    trade: a late trade, or one without a time, is a row like any other and never
+    dropped for its time. A copy that arrives more than ``delay`` after the first
+    is delivered again.
 
     A streaming de-duplication moves every row to the task of its key. So that
     a key which repeats without end does not meet one task, its copies are
     first reduced per slice of the input, then per key. ``slices=1`` saves the
     first step and its state where keys repeat little.
     """
-    timed = trades.withColumn("event_time", F.col("trade_ts").cast("timestamp"))
-    first = timed.withWatermark("event_time", delay)
+    timed = trades.withColumn("_arrived", F.current_timestamp())
+    first = timed.withWatermark("_arrived", delay)
     if slices > 1:
         part = F.pmod(F.spark_partition_id(), F.lit(slices))
         first = (
@@ -128,4 +171,4 @@ def dedup_stream(
             .dropDuplicatesWithinWatermark(["secid", "tradeno", "_slice"])
             .drop("_slice")
         )
-    return first.dropDuplicatesWithinWatermark(["secid", "tradeno"]).drop("event_time")
+    return first.dropDuplicatesWithinWatermark(["secid", "tradeno"]).drop("_arrived")
