@@ -420,3 +420,162 @@ def test_both_topics_below_one_path(spark, sf_dir, tmp_path):
     assert len(lines) == 1 and lines[0].line.startswith('A:1 | {"tradeno":1,')
     counts = topic.topic_counts(topic.read_topic(spark, sink.path, TRADES_TOPIC), 3)
     assert sorted(r.messages for r in counts.collect()) == [0, 0, 1]
+
+
+def sent_keys(spark, path):
+    return Counter(r.key for r in topic.read_topic(spark, str(path), TRADES_TOPIC).collect())
+
+
+def lose_cursor(root):
+    for file in (root / "cursor").rglob("*.json"):
+        file.write_text('{"last_trade_time": "2024-')
+        (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+
+
+def test_a_lost_cursor_sends_again_and_deletes_nothing(spark, tmp_path):
+    trades = spark.createDataFrame([trade("A", 1, 10), trade("A", 2, 1000)], SCHEMA)
+    state = CollectorState(str(tmp_path / "state"), log_block=2)
+    sink, job = FileSink(str(tmp_path / "topic")), Settings(mode=ALL)
+    for tick in (60, 120):
+        loads.run_cycle(trades, state, sink, job, Clock(tick))
+    lose_cursor(tmp_path / "state")
+    assert loads.run_cycle(trades, state, sink, job, Clock(1200))["kind"] == "initial"
+    assert sent_keys(spark, sink.path) == {"A:1": 2, "A:2": 1}
+    loads.run_cycle(trades, state, sink, job, Clock(1260))
+    assert [r.cycle for r in state.read_cycles(spark).orderBy("cycle").collect()] == [0, 1]
+    assert cycles.metrics_totals(state.read_cycles(spark)).first().total_trades_collected == 2
+    # A state of its own below the same topic: the same again.
+    loads.run_cycle(trades, CollectorState(str(tmp_path / "new")), sink, job, Clock(1200))
+    assert sent_keys(spark, sink.path) == {"A:1": 3, "A:2": 2}
+
+
+def test_a_retried_cycle_keeps_its_window(spark, tmp_path):
+    trades = spark.createDataFrame([trade("A", 1, 355)], SCHEMA)
+    state, job = CollectorState(str(tmp_path / "state")), Settings(mode=ALL)
+    good = FileSink(str(tmp_path / "topic"))
+
+    class Broken(FileSink):
+        def write(self, messages, batch_id=0):
+            super().write(messages, batch_id)
+            raise OSError("lost")
+
+    loads.run_cycle(trades, state, good, job, Clock(0))
+    with pytest.raises(OSError):
+        loads.run_cycle(trades, state, Broken(good.path), job, Clock(359))
+    assert sent_keys(spark, good.path) == {"A:1": 1}
+    row = loads.run_cycle(trades, state, good, job, Clock(700))
+    assert (row["cycle"], row["till"]) == (1, OPEN + timedelta(seconds=359))
+    while loads.run_cycle(trades, state, good, job, Clock(700))["till"] < OPEN + timedelta(seconds=700):
+        pass
+    assert sent_keys(spark, good.path) == {"A:1": 1}
+
+
+def test_a_replay_without_rows_replaces_too(spark, tmp_path):
+    sink = FileSink(str(tmp_path))
+    some = spark.createDataFrame([trade("A", 1, 1)], SCHEMA)
+    sink_trades(some, sink, OPEN, 3)
+    sink_trades(some.limit(0), sink, OPEN, 3)
+    sink_trades(some, sink, OPEN, 4)
+    assert sent_keys(spark, tmp_path) == {"A:1": 1}
+
+
+def land(folder, name, numbers, cut=0):
+    rows = [[n, "2024-01-15 10:00:00", "SBER", "TQBR", 1.5, 1, 1.5] for n in numbers]
+    header = ["TRADENO", "TRADETIME", "SECID", "BOARDID", "PRICE", "QUANTITY", "VALUE"]
+    text = json.dumps({"trades": {"columns": header, "data": rows}})
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(text[: len(text) - cut])
+
+
+def test_the_job_does_not_pass_over_a_cut_off_file(spark, tmp_path, capsys):
+    folder = tmp_path / "landing" / "stock" / "shares" / "trades"
+    land(folder, "good.json", range(10))
+    land(folder, "cut.json", range(10, 20), cut=5)
+    arguments = ["--landing", str(tmp_path / "landing"), "--state", str(tmp_path / "state")]
+    arguments += ["--topics", str(tmp_path / "topics"), "--once", "--symbols", "SBER"]
+    arguments += ["--tries", "2", "--interval", "0.1"]
+    with pytest.raises(Exception, match="cut.json"):
+        job.main(arguments)
+    state = CollectorState(str(tmp_path / "state"))
+    assert cycles.error_count(state.read_cycles(spark)).first().total_errors == 2
+    assert state.read_cursor(spark, OPEN)["version"] == -1
+    assert not (tmp_path / "topics").exists()
+    job.main([*arguments, "--on-fault", "quarantine"])
+    assert sorted(sent_keys(spark, tmp_path / "topics")) == [f"SBER:{n}" for n in range(10)]
+    (kept,) = state.read_quarantine(spark).collect()
+    assert kept.file.endswith("cut.json") and kept.fault == "broken JSON or block"
+    capsys.readouterr()
+    job.main(["--state", str(tmp_path / "state"), "--status", "--symbols", "SBER"])
+    report = json.loads(capsys.readouterr().out)
+    assert (report["total_trades_collected"], report["total_errors"], report["quarantined"]) == (10, 2, 1)
+
+
+def test_a_sink_that_fails_once_delays_and_loses_nothing(spark, tmp_path):
+    folder = tmp_path / "landing"
+    rows = [trade("A", n, n) for n in range(30)]
+    for i in range(3):
+        spark.createDataFrame(rows[i * 10 :][:15], SCHEMA).coalesce(1).write.parquet(f"{folder}/{i}")
+    failures = [2]
+
+    class Shaky(FileSink):
+        def write(self, messages, batch_id=0):
+            if batch_id == failures[0]:
+                failures[0] = None
+                raise OSError("away")
+            super().write(messages, batch_id)
+
+    state, sink = CollectorState(str(tmp_path / "state")), Shaky(str(tmp_path / "topic"))
+    schema = spark.createDataFrame(rows, SCHEMA)
+    collector.keep_collecting(
+        lambda: collector.stream_trades(stream_of(spark, schema, folder), state, sink, Settings(mode=ALL), once=True),
+        tries=2,
+        pause=0.1,
+    )
+    assert sent_keys(spark, sink.path) == {f"A:{n}": 1 for n in range(30)}
+    assert cycles.error_count(state.read_cycles(spark)).first().total_errors == 1
+
+
+def test_the_job_in_cycles_with_times_of_day(spark, tmp_path):
+    folder = tmp_path / "landing" / "stock" / "shares" / "trades"
+    folder.mkdir(parents=True)
+    today = datetime.now().strftime("%Y-%m-%d")
+    body = {"trades": {"columns": ["TRADENO", "TRADETIME", "SECID"], "data": [[1, "00:00:00", "A"]]}}
+    (folder / "0.json").write_text(json.dumps(body))
+    arguments = ["--landing", str(tmp_path / "landing"), "--state", str(tmp_path / "state"), "--topics", str(tmp_path / "topics")]
+    arguments += ["--mode", "ALL", "--cycle", "--once", "--trade-date", today, "--interval", "0.1"]
+    job.main([*arguments, "--disabled"])
+    assert not (tmp_path / "topics").exists()
+    job.main(arguments)
+    job.main(arguments)
+    assert sent_keys(spark, tmp_path / "topics") == {"A:1": 1}
+    log = CollectorState(str(tmp_path / "state")).read_cycles(spark).orderBy("cycle").collect()
+    assert [r.kind for r in log] == ["initial", "incremental"]
+
+
+def test_every_number_is_kept_without_a_cap(spark, tmp_path):
+    rows = [trade("A", n, n) for n in range(25)]
+    trades = spark.createDataFrame(rows, SCHEMA)
+    for cap, copies in [(10, 40), (None, 25)]:
+        state, sink = CollectorState(str(tmp_path / f"s{cap}")), FileSink(str(tmp_path / f"t{cap}"))
+        work = collector.collect_batch(state, sink, Settings(mode=ALL, seen_cap=cap), Clock(60))
+        work(trades, 0)
+        work(trades, 1)
+        assert sum(sent_keys(spark, sink.path).values()) == copies
+
+
+def test_rows_late_or_without_time_are_delivered_once(spark, tmp_path):
+    folder = tmp_path / "landing"
+    days = [0, 200, 90, 5, 200]
+    for i, day in enumerate(days):
+        rows = [trade("A", day, day * 86_400), (*trade("B", 1, 0)[:12], None), trade("A", 200, 200 * 86_400)]
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{folder}/{i}")
+    query = (
+        collector.dedup_stream(stream_of(spark, spark.createDataFrame([], SCHEMA), folder))
+        .writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(availableNow=True)
+        .start(str(tmp_path / "out"))
+    )
+    query.awaitTermination()
+    found = Counter((r.secid, r.tradeno) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert found == {("A", 0): 1, ("A", 5): 1, ("A", 90): 1, ("A", 200): 1, ("B", 1): 1}

@@ -1,0 +1,18 @@
+"""The plan of the seen-set beyond the default cap."""
+
+from tickweave.operators import dedup
+from tickweave.settings import tune
+
+
+def test_a_larger_cap_is_pruned_before_the_shuffles(spark):
+    try:
+        keys = spark.range(100_000).selectExpr("string(id % 3) AS secid", "id AS tradeno")
+        plan = dedup.bounded_seen_set(keys, 20_000)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("row_number(), 20000, Partial") == 2
+    finally:
+        tune(spark)
+
+
+def test_no_cap_keeps_all(spark):
+    keys = spark.range(50).selectExpr("'A' AS secid", "id % 30 AS tradeno")
+    assert dedup.bounded_seen_set(keys, None).count() == 30

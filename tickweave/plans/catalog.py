@@ -18,7 +18,14 @@ from tickweave.functions import scalars as fn
 from tickweave.operators import cursor, cycles, dedup, paging, selection
 from tickweave.plans import loads, views
 from tickweave.plans.state import CollectorState
-from tickweave.settings import INSTRUMENTS_TOPIC, SPECIFIC, TRADES_TOPIC, Settings, tune
+from tickweave.settings import (
+    ALL,
+    INSTRUMENTS_TOPIC,
+    SPECIFIC,
+    TRADES_TOPIC,
+    Settings,
+    tune,
+)
 from tickweave.sinks.messages import FileSink, sink_securities, sink_trades
 from tickweave.sources import envelope, topic
 from tickweave.storage import scratch
@@ -33,6 +40,9 @@ TILL = datetime(2024, 1, 19, 12, 30, 45, 500_000)
 INGEST = datetime(2024, 2, 1, 0, 0, 0, 123_000)
 NOW = datetime(2024, 2, 1, 8, 15, 30, 250_000)
 LINE_RESTART = datetime(1996, 1, 1)
+CYCLES_START = datetime(2024, 1, 1)
+CYCLES_NOW = datetime(2024, 1, 31)
+CYCLE_MINUTES = 5 * 24 * 60
 RUN_START = datetime(2024, 1, 1, 0, 0, 0, 700_000)
 RUN_NOW = datetime(2024, 1, 30, 23, 59, 58, 900_000)
 
@@ -139,8 +149,34 @@ def default_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def decode_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    responses = views.broken_responses(_trades(spark, sf_dir))
-    return envelope.decode_report(envelope.decode_trades(_envelopes(responses)))
+    trades = _trades(spark, sf_dir)
+    responses = views.broken_responses(trades).union(views.faulty_responses(trades))
+    return envelope.decode_report(envelope.decode_all_trades(_envelopes(responses)))
+
+
+@query
+def unreadable_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed responses of which some cannot be read: rows, and responses lost."""
+    path = scratch(spark, "landing")
+    views.faulty_responses(_trades(spark, sf_dir)).write.text(path)
+    landed = envelope.read_envelope(spark, path, layout="line")
+    return (
+        envelope.decode_all_trades(landed)
+        .groupBy(F.coalesce("fault", F.lit("none")).alias("fault"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+@query
+def decode_out_of_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every trade sent, with its price, or as one whose number does not fit."""
+    responses = views.outsized_responses(_trades(spark, sf_dir))
+    sent = F.from_json("sent", "array<string>")
+    return envelope.decode_all_trades(_envelopes(responses)).select(
+        F.coalesce(sent[0].cast("bigint"), "tradeno").alias("tradeno"),
+        F.coalesce("fault", F.lit("none")).alias("fault"),
+        F.when(F.col("fault").isNull(), F.col("price")).alias("price"),
+    )
 
 
 @query
@@ -455,15 +491,44 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def collector_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The job itself: an initial load, then one incremental cycle, and the log
-    it keeps. The clock is set so that both fall on the data."""
+    """The job itself over the whole table: an initial load at the first midnight,
+    then cycles of five days. The log it keeps, and what it sent in each cycle."""
     state = CollectorState(scratch(spark, "collector"))
     sink = FileSink(f"{state.root}/topic")
+    job = Settings(mode=ALL, seen_cap=None, catch_up_minutes=CYCLE_MINUTES)
     trades = _trades(spark, sf_dir)
-    job = Settings(mode=SPECIFIC, symbols=SYMBOLS)
-    for moment in (datetime(2024, 1, 20, 18, 30), datetime(2024, 1, 20, 18, 34, 59)):
+    for moment in (CYCLES_START, *[CYCLES_NOW] * 6):
         loads.run_cycle(trades, state, sink, job, clock=lambda moment=moment: moment)
-    return state.read_cycles(spark)
+    key = F.split("key", ":")
+    sent = (
+        topic.read_topic(spark, sink.path, TRADES_TOPIC)
+        .groupBy(F.col("batch_id").alias("cycle"))
+        .agg(
+            F.count_distinct("key").alias("sent"),
+            F.sum(key[1].cast("bigint")).alias("sum_tradeno"),
+        )
+    )
+    nothing = F.lit(0).cast("bigint")
+    return (
+        state.read_cycles(spark)
+        .join(sent, "cycle", "left")
+        .withColumns({c: F.coalesce(c, nothing) for c in ("sent", "sum_tradeno")})
+    )
+
+
+@query
+def collector_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A loaded topic after a second start with a state of its own: how often each
+    message is there. A start sends again, and replaces nothing."""
+    sink = FileSink(scratch(spark, "topic"))
+    job = Settings(mode=ALL, seen_cap=None, catch_up_minutes=10 * CYCLE_MINUTES)
+    trades = _trades(spark, sf_dir)
+    for start in ("first", "second"):
+        state = CollectorState(scratch(spark, start))
+        for moment in (CYCLES_START, CYCLES_NOW):
+            loads.run_cycle(trades, state, sink, job, clock=lambda moment=moment: moment)
+    sent = topic.read_topic(spark, sink.path, TRADES_TOPIC)
+    return sent.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
 
 
 @query
@@ -501,30 +566,38 @@ def sink_securities_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as a stream through the collector; what it sent."""
+    """``lineitem``, whose keys repeat, in three overlapping parts, a micro-batch
+    each, through the collector; what it sent."""
     state = CollectorState(scratch(spark, "collector"))
     sink = FileSink(f"{state.root}/topic")
-    trades = views.event_trades(views.stream_table(spark, sf_dir, "events"))
-    job = Settings(mode=SPECIFIC, symbols=SYMBOLS)
-    collector.stream_trades(trades, state, sink, job, once=True).awaitTermination()
+    landing = scratch(spark, "landing")
+    trades = views.full_trades(_lines(spark, sf_dir))
+    views.overlapping_files(trades, landing)
+    stream = views.landed_stream(spark, trades.schema, landing)
+    job = Settings(mode=ALL, seen_cap=None)
+    collector.stream_trades(stream, state, sink, job, once=True).awaitTermination()
     sent = topic.read_topic(spark, sink.path, TRADES_TOPIC)
     return _loaded(topic.message_trades(sent))
 
 
 @query
 def stream_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as a stream through time-bounded de-duplication."""
+    """The same files through time-bounded de-duplication: late and repeated rows,
+    and every seventh key without a time. Each key arrives once."""
     root = scratch(spark, "watermark")
-    trades = views.event_trades(views.stream_table(spark, sf_dir, "events"))
+    timeless = F.col("tradeno") % 7 != 0
+    trades = _lines(spark, sf_dir).withColumn("trade_ts", F.when(timeless, F.col("trade_ts")))
+    views.overlapping_files(trades, f"{root}/landing")
+    stream = views.landed_stream(spark, trades.schema, f"{root}/landing")
     (
-        collector.dedup_stream(trades)
+        collector.dedup_stream(stream)
         .writeStream.format("parquet")
         .option("checkpointLocation", f"{root}/checkpoint")
         .trigger(availableNow=True)
         .start(f"{root}/trades")
         .awaitTermination()
     )
-    return _shown(spark.read.parquet(f"{root}/trades"))
+    return spark.read.parquet(f"{root}/trades").select("secid", "tradeno")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

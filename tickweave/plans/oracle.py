@@ -176,8 +176,31 @@ def oracle_sql() -> dict[str, str]:
         "default_fill": f"WITH {TRADES}, {BROKEN} SELECT * FROM broken",
         "decode_report": f"""WITH {TRADES}, {BROKEN}
             SELECT count(*) AS n_rows, count(*) FILTER (is_defaulted) AS defaulted,
-                   CAST(0 AS BIGINT) AS without_time
-            FROM broken""",
+                   without_time, unreadable, CAST(0 AS BIGINT) AS out_of_range
+            FROM (SELECT is_defaulted, 0 AS extra FROM broken
+                  UNION ALL SELECT true, 1 FROM trades
+                  WHERE (tradeno // 500) % 10 NOT IN (3, 5, 7, 9)),
+              (SELECT CAST(0 AS BIGINT) AS without_time,
+                      count(DISTINCT tradeno // 500)
+                        FILTER ((tradeno // 500) % 10 IN (3, 5, 7, 9)) AS unreadable
+               FROM trades)
+            GROUP BY without_time, unreadable""",
+        "unreadable_responses": f"""WITH {TRADES}, placed AS (
+              SELECT tradeno // 500 AS number,
+                     CASE (tradeno // 500) % 10 WHEN 3 THEN 'broken JSON or block'
+                       WHEN 5 THEN 'empty response' WHEN 7 THEN 'broken JSON or block'
+                       WHEN 9 THEN 'no JSON object' ELSE 'none' END AS fault
+              FROM trades)
+            SELECT fault, CASE WHEN fault = 'none' THEN count(*)
+                               ELSE count(DISTINCT number) END AS n
+            FROM placed GROUP BY fault""",
+        "decode_out_of_range": f"""WITH {TRADES}
+            SELECT tradeno,
+                   CASE WHEN tradeno % 10 IN (1, 2, 3) THEN 'number out of range'
+                        ELSE 'none' END AS fault,
+                   CASE WHEN tradeno % 10 NOT IN (1, 2, 3)
+                        THEN CAST(price AS DOUBLE) END AS price
+            FROM trades""",
         "list_securities": f"""WITH {SECURITIES}
             SELECT {SHOWN_SECURITIES} FROM securities""",
         "scan_topic": f"""WITH {TRADES}, {MESSAGES}
@@ -367,21 +390,26 @@ def oracle_sql() -> dict[str, str]:
               AND NOT EXISTS (SELECT 1 FROM seen s
                               WHERE s.secid = t.secid AND s.tradeno = t.tradeno)""",
         "collector_cycles": f"""WITH {TRADES}, bounds AS (
-              SELECT * FROM (VALUES
-                (0, 'initial', TIMESTAMP '2024-01-20 00:00:00',
-                 TIMESTAMP '2024-01-20 18:30:00'),
-                (1, 'incremental', TIMESTAMP '2024-01-20 18:30:00',
-                 TIMESTAMP '2024-01-20 18:34:59')) AS v(cycle, kind, start, till)),
+              SELECT 0 AS cycle, 'initial' AS kind, TIMESTAMP '2024-01-01' AS start,
+                     TIMESTAMP '2024-01-01' AS till, TIMESTAMP '2024-01-01' AS now
+              UNION ALL SELECT w, 'incremental', TIMESTAMP '2024-01-01' + to_days(5 * w - 5),
+                     TIMESTAMP '2024-01-01' + to_days(5 * w), TIMESTAMP '2024-01-31'
+              FROM (SELECT CAST(unnest(generate_series(1, 6)) AS INTEGER) AS w)),
             fetched AS (
-              SELECT cycle, kind, till, tradeno, trade_ts, start
-              FROM bounds LEFT JOIN trades
-                ON {SYMBOLS} AND trade_ts BETWEEN start AND till)
+              SELECT bounds.*, tradeno, cycle = 0 OR trade_ts > start AS fresh
+              FROM bounds LEFT JOIN trades ON trade_ts BETWEEN start AND till)
             SELECT 'collector' AS run_id, CAST(cycle AS BIGINT) AS cycle, kind,
-                   till AS started, till AS ended, till,
-                   count(tradeno) FILTER (cycle = 0 OR trade_ts > start) AS collected,
-                   count(tradeno) FILTER (cycle = 1 AND trade_ts = start) AS duplicates,
-                   count(tradeno) // 5000 + 1 AS api_calls, 'ok' AS status
-            FROM fetched GROUP BY cycle, kind, till""",
+                   now AS started, now AS ended, till,
+                   count(tradeno) FILTER (fresh) AS collected,
+                   count(tradeno) FILTER (NOT fresh) AS duplicates,
+                   count(tradeno) // 5000 + 1 AS api_calls, 'ok' AS status,
+                   count(tradeno) FILTER (fresh) AS sent,
+                   CAST(coalesce(sum(tradeno) FILTER (fresh), 0) AS BIGINT) AS sum_tradeno
+            FROM fetched GROUP BY cycle, kind, now, till""",
+        "collector_restart": f"""WITH {TRADES}
+            SELECT secid || ':' || tradeno AS key, CAST(2 AS BIGINT) AS copies
+            FROM trades
+            WHERE trade_ts BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-31'""",
         "catchup_windows": f"""WITH {TRADES}, bounds AS (
               SELECT secid,
                      max(trade_ts) FILTER (
@@ -405,8 +433,12 @@ def oracle_sql() -> dict[str, str]:
                    CAST(0 AS INTEGER) AS "partition", CAST(0 AS BIGINT) AS batch_id,
                    'instruments' AS topic
             FROM securities""",
-        "stream_incremental": f"""WITH {TRADES}
-            SELECT {LOADED.replace("trade_ts", "date_trunc('second', trade_ts) AS trade_ts")}
-            FROM trades WHERE {SYMBOLS}""",
-        "stream_watermark": f"WITH {TRADES} SELECT {SHOWN} FROM trades",
+        "stream_incremental": f"""WITH {LINES}
+            SELECT {LOADED} FROM (
+              SELECT *, row_number() OVER (
+                PARTITION BY secid, tradeno
+                ORDER BY trade_ts, tradetime, boardid, price, quantity, value) AS r
+              FROM lines)
+            WHERE r = 1""",
+        "stream_watermark": f"WITH {LINES} SELECT DISTINCT secid, tradeno FROM lines",
     }

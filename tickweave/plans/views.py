@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tickweave.functions.scalars import format_time, ntz, start_of_day
-from tickweave.schemas import PRICE, VALUE
+from tickweave.functions.scalars import floor_div, format_time, ntz, start_of_day
+from tickweave.schemas import PRICE, TRADE, VALUE
 from tickweave.settings import PAGE_SIZE
 
 # When the collector of the example restarts: trades up to here were seen.
@@ -71,6 +72,13 @@ def lineitem_trades(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def full_trades(trades: DataFrame) -> DataFrame:
+    """Trades with every column of the data model, those they lack being NULL."""
+    lacking = [f for f in TRADE.fields if f.name not in trades.columns]
+    empty = {f.name: F.lit(None).cast(f.dataType) for f in lacking}
+    return trades.withColumns(empty).select(*TRADE.fieldNames())
+
+
 def part_securities(part: DataFrame) -> DataFrame:
     return part.select(
         F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("secid"),
@@ -182,6 +190,68 @@ def broken_responses(trades: DataFrame, rows: int = PAGE_SIZE) -> DataFrame:
     return _blocks(trades.select(row.alias("cells")), "trades", names, rows)
 
 
+def faulty_responses(trades: DataFrame, rows: int = 500) -> DataFrame:
+    """Trades as response texts by ranges of numbers, four of ten kinds unreadable:
+    cut off, empty, with a row that is no array, and no object at all."""
+    names = ["TRADENO", "TRADETIME", "SECID"]
+    cells = F.array(*(F.col(n.lower()).cast("variant") for n in names))
+    number = floor_div(F.col("tradeno"), rows)
+    header = F.array(*(F.lit(name) for name in names))
+    block = F.struct(header.alias("columns"), F.col("data"))
+    text = F.to_json(F.struct(block.alias("trades")))
+    kind = F.pmod("number", F.lit(10))
+    return (
+        trades.groupBy(number.alias("number"))
+        .agg(F.collect_list(cells).alias("data"))
+        .select(
+            F.when(kind == 3, F.substring(text, 1, F.length(text) - 3))
+            .when(kind == 5, "")
+            .when(kind == 7, F.replace(text, F.lit('"data":['), F.lit('"data":[5,')))
+            .when(kind == 9, "[1]")
+            .otherwise(text)
+            .alias("value")
+        )
+    )
+
+
+def outsized_responses(trades: DataFrame, rows: int = PAGE_SIZE) -> DataFrame:
+    """Responses in which some prices and values do not fit their types."""
+    names = ["TRADENO", "TRADETIME", "SECID", "BOARDID", "PRICE", "QUANTITY", "VALUE"]
+    whole = {n: F.col(n.lower()).cast("variant") for n in names}
+    part = F.pmod("tradeno", F.lit(10))
+
+    def sent(**changed: float) -> Column:
+        cells = {**whole, **{n: F.lit(v).cast("variant") for n, v in changed.items()}}
+        return F.array(*cells.values())
+
+    cells = (
+        F.when(part == 1, sent(PRICE=1234567890123.5))
+        .when(part == 2, sent(VALUE=1e30))
+        .when(part == 3, sent(PRICE=1e-9))
+        .otherwise(F.array(*whole.values()))
+    )
+    return _blocks(trades.select(cells.alias("cells")), "trades", names, rows)
+
+
+def overlapping_files(trades: DataFrame, folder: str, parts: int = 4) -> None:
+    """Trades landed three times over: each of three folders of ``parts`` files has
+    two thirds of the keys, in no order of time. All copies of a key lie together."""
+    third = F.pmod(F.xxhash64("secid", "tradeno"), F.lit(3))
+    for i in range(3):
+        part = trades.filter((third == i) | (third == (i + 1) % 3))
+        part.repartition(parts, "secid", "tradeno").write.parquet(f"{folder}/{i}")
+
+
+def landed_stream(spark: SparkSession, schema: StructType, folder: str, parts: int = 4) -> DataFrame:
+    """What ``overlapping_files`` landed, a folder per micro-batch."""
+    return (
+        spark.readStream.schema(schema)
+        .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", parts)
+        .parquet(folder)
+    )
+
+
 def security_responses(securities: DataFrame, rows: int = PAGE_SIZE) -> DataFrame:
     names = ["SECID", "BOARDID", "SHORTNAME", "SECNAME", "PREVPRICE", "LOTSIZE"]
     cells = F.array(*(F.col(n.lower()).cast("variant") for n in names))
