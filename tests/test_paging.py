@@ -57,16 +57,14 @@ def test_page(spark, reverse, start, limit):
         assert Counter(tuple(r) for r in deep.collect()) == wanted
 
 
-@pytest.mark.parametrize("top_k_rows", [0, 200])
-def test_page_is_in_order(spark, top_k_rows):
+@pytest.mark.parametrize("top_k_rows, sort_rows", [(0, 10_000), (200, 10_000), (0, 0)])
+def test_page_is_in_order(spark, top_k_rows, sort_rows):
     rows = some_trades(2, 100)
-    page = paging.trades_page(make(spark, rows), 50, 10, True, top_k_rows).collect()
+    page = paging.trades_page(make(spark, rows), 50, 10, True, top_k_rows, sort_rows).collect()
     assert [tuple(r) for r in page] == in_order(rows, reverse=True)[10:60]
 
 
-@pytest.mark.parametrize("run", [1_000_000, 13])
-def test_page_assignment(spark, monkeypatch, run):
-    monkeypatch.setattr(paging, "COPY_RUN", run)
+def test_page_assignment(spark):
     rows = some_trades(3, 400)
     wanted = Counter()
     for secid in {r[0] for r in rows}:
@@ -97,9 +95,8 @@ def test_a_hot_instrument_is_cut_into_pieces(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         order = [F.col("tradeno").asc_nulls_last()]
-        placed, crowded = paging.with_positions(trades, order, ("secid",))
-        assert crowded is None
-        assert placed.filter("first_position != tradeno").count() == 0
+        placed = paging.with_positions(trades, order, ("secid",))
+        assert placed.filter("position != tradeno").count() == 0
         plan = placed._jdf.queryExecution().optimizedPlan().toString()
         assert "_piece" in plan
         pieces = placed.select(F.spark_partition_id().alias("p")).groupBy("p").count()
@@ -138,3 +135,22 @@ def test_pages_do_not_depend_on_the_session_zone(spark):
         assert [r.t for r in texts] == [str(r[2]) for r in rows]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_extreme_dates(spark):
+    ends = [datetime(9999, 12, 31, 23, 59, 59, 999_999), datetime(9999, 12, 31, 23), datetime(1, 1, 1)]
+    rows = [("A", i, ts, "x") for i, ts in enumerate([*ends, *[DAY + timedelta(hours=h) for h in range(30)]])]
+    for reverse in (True, False):
+        for sort_rows in (0, 10_000):
+            page = paging.trades_page(make(spark, rows), 33, 0, reverse, 0, sort_rows).collect()
+            assert [tuple(r) for r in page] == in_order(rows, reverse)
+
+
+def test_copies_of_one_row_are_cut_into_pieces(spark):
+    trades = spark.range(40_000).select(
+        F.lit("HOT").alias("secid"), F.lit(1).alias("tradeno"), F.lit(DAY).cast("timestamp_ntz").alias("trade_ts")
+    )
+    placed = paging.with_positions(trades, [F.col("tradeno").asc()], ("secid",))
+    assert {r.position for r in placed.collect()} == set(range(40_000))
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" not in plan  # the rows were shuffled once, before they were written

@@ -26,16 +26,14 @@ from tickweave.storage import stage
 # many. Longer pages are located by counts first.
 TOP_K_ROWS = 200
 
-# Among at most this many rows, a top-k of any length is fine.
-SORT_ROWS = 10_000_000
+# Among at most this many rows, a top-k of any length is fine: one task merges
+# them, and rows of trades are a few hundred bytes wide.
+SORT_ROWS = 200_000
 
 # Widths of the time slots that locate a page, in microseconds.
 EPOCH = datetime(1970, 1, 1)
 SLOTS = (3_600_000_000, 1_000_000, 1)
 
-# Copies of one row are spread over tasks in runs of this length.
-COPY_RUN = 1_000_000
-
 
 def _total_order(names: list[str], reverse: bool = False) -> list[Column]:
     lead = ["trade_ts", "tradeno"]
@@ -73,7 +71,7 @@ def trades_page(
     hours it touches, and only those are read again, which the scan can tell
     from its statistics. Busy hours are narrowed down to seconds and then to
     single moments. Where one moment holds more rows than should be sorted in
-    one place, its rows get positions.
+    one place, its rows get positions. The page comes in order in any case.
     """
     order = _total_order(trades.columns, reverse)
     if start + limit <= top_k_rows:
@@ -83,14 +81,9 @@ def trades_page(
         near, ahead, rows = _narrow(near, limit, ahead, reverse, width)
         if rows <= sort_rows:
             return near.orderBy(*order).offset(ahead).limit(limit)
-    placed, _ = with_positions(near, order)
-    begin = F.greatest("first_position", F.lit(ahead))
-    stop = F.least(F.col("first_position") + F.col("copies"), F.lit(ahead + limit))
-    return (
-        placed.filter(begin < stop)
-        .withColumn("_copy", F.explode(F.sequence(begin, stop - 1)))
-        .select(*trades.columns)
-    )
+    placed = with_positions(near, order)
+    inside = (F.col("position") >= ahead) & (F.col("position") < ahead + limit)
+    return placed.filter(inside).orderBy("position").select(*trades.columns)
 
 
 def trades_range_page(
@@ -110,6 +103,15 @@ def trades_range_page(
     return trades_page(inside, limit, start, reverse)
 
 
+def _moment(micros: int) -> datetime | None:
+    """A moment by its microseconds; None outside the years 1 to 9999, which as a
+    bound holds for all trades."""
+    try:
+        return EPOCH + timedelta(microseconds=micros)
+    except OverflowError:
+        return None
+
+
 def _narrow(
     trades: DataFrame, limit: int, start: int, reverse: bool, width: int
 ) -> tuple[DataFrame, int, int]:
@@ -143,9 +145,12 @@ def _narrow(
         return trades.limit(0), 0, 0
     inside = F.lit(False)
     if touched["first"] is not None:
-        first = EPOCH + timedelta(microseconds=touched["first"] * width)
-        after = EPOCH + timedelta(microseconds=(touched["last"] + 1) * width)
-        inside = (F.col("trade_ts") >= ntz(first)) & (F.col("trade_ts") < ntz(after))
+        first, after = _moment(touched["first"] * width), _moment((touched["last"] + 1) * width)
+        inside = F.col("trade_ts").isNotNull()
+        if first is not None:
+            inside = inside & (F.col("trade_ts") >= ntz(first))
+        if after is not None:
+            inside = inside & (F.col("trade_ts") < ntz(after))
     if touched["timeless"]:
         inside = inside | F.col("trade_ts").isNull()
     return trades.filter(inside), start - touched["ahead"], touched["rows"]
@@ -153,84 +158,38 @@ def _narrow(
 
 def with_positions(
     df: DataFrame, order: list[Column], group: tuple[str, ...] = ()
-) -> tuple[DataFrame, DataFrame | None]:
-    """Each distinct row, its number of ``copies``, and the 0-based position
-    its first copy takes within its group under ``order``; and the pieces that
-    hold a row with more than ``COPY_RUN`` copies, if there are any.
+) -> DataFrame:
+    """The rows with the 0-based ``position`` of each within its group under ``order``.
 
     Unlike ``row_number() over (partition by group)`` no group is sorted in one
-    task, however large it is:
-
-    1. copies are counted, partly before the shuffle;
-    2. the distinct rows are range-partitioned by group and order, which cuts
-       a large group into many pieces, and written down with their piece
-       number;
-    3. positions are running sums inside a piece plus the rows of the pieces
-       before it, a table of one row per group and piece.
+    task, however large it is, nor are the copies of one row: rows are
+    range-partitioned by group and order, and by a number of their own where these
+    tie, which cuts large groups and many copies into pieces. Each piece is written
+    down in order, numbered; the position is that number, moved by the rows of the
+    group in the pieces before, from a table of one row per group and piece. So the
+    rows are shuffled once.
 
     The columns of ``group`` must not hold NULL.
     """
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
-    pieces = stage(
-        counted.repartitionByRange(
-            *(F.col(c).asc_nulls_last() for c in group), *order
-        ).withColumn("_piece", F.spark_partition_id()),
+    along = [*(F.col(c).asc_nulls_last() for c in group), *order]
+    dealt = df.withColumn("_tie", F.monotonically_increasing_id())
+    dealt = dealt.repartitionByRange(*along, F.col("_tie")).sortWithinPartitions(*along)
+    numbered = stage(
+        dealt.select(*df.columns, F.monotonically_increasing_id().alias("_number")),
         "positions",
+    ).withColumn("_piece", F.shiftright("_number", 33))
+    pieces = numbered.groupBy(*group, "_piece").agg(
+        F.count(F.lit(1)).alias("_rows"), F.min("_number").alias("_first")
     )
     earlier = (
         Window.partitionBy(*group)
         .orderBy("_piece")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = (
-        pieces.groupBy(*group, "_piece")
-        .agg(F.sum("copies").alias("_rows"))
-        .select(
-            *group,
-            "_piece",
-            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"),
-        )
-    )
-    inside = (
-        Window.partitionBy(*group, "_piece")
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    position = F.col("_offset") + F.coalesce(F.sum("copies").over(inside), F.lit(0))
-    placed = pieces.join(offsets, [*group, "_piece"]).select(
-        *df.columns, "_piece", "copies", position.alias("first_position")
-    )
-    crowded = pieces.filter(F.col("copies") > COPY_RUN).select("_piece").distinct()
-    return placed, crowded if crowded.head(1) else None
-
-
-def _one_row_per_copy(
-    placed: DataFrame, crowded: DataFrame | None, names: list[str]
-) -> DataFrame:
-    """Positions written out, one row per copy.
-
-    Rows with very many copies, if there are any, are first cut into runs that
-    are dealt out to all tasks; only their pieces are worked through for that.
-    """
-    rows = placed
-    if crowded is not None:
-        tasks = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        last_run = F.call_function("div", F.col("copies") - 1, F.lit(COPY_RUN))
-        before = F.col("_run") * COPY_RUN
-        runs = (
-            placed.join(crowded, "_piece", "left_semi")
-            .select(*placed.columns)
-            .filter(F.col("copies") > COPY_RUN)
-            .withColumn("_run", F.explode(F.sequence(F.lit(0).cast("bigint"), last_run)))
-            .withColumn("first_position", F.col("first_position") + before)
-            .withColumn("copies", F.least(F.col("copies") - before, F.lit(COPY_RUN)))
-            .drop("_run")
-            .repartition(tasks)
-        )
-        rows = placed.filter(F.col("copies") <= COPY_RUN).unionByName(runs)
-    last = F.col("first_position") + F.col("copies") - 1
-    return rows.select(
-        *names, F.explode(F.sequence(F.col("first_position"), last)).alias("position")
+    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+    moves = pieces.select(*group, "_piece", (before - F.col("_first")).alias("_move"))
+    return numbered.join(moves, [*group, "_piece"]).select(
+        *df.columns, (F.col("_number") + F.col("_move")).alias("position")
     )
 
 
@@ -247,8 +206,7 @@ def page_assignment(
     secid = F.coalesce("secid", F.lit("")).alias("secid")
     keys = trades.select(secid, "trade_ts", "tradeno")
     order = _total_order([c for c in keys.columns if c not in group])
-    placed, crowded = with_positions(keys, order, group)
-    return _one_row_per_copy(placed, crowded, keys.columns).select(
+    return with_positions(keys, order, group).select(
         *keys.columns,
         F.call_function("div", F.col("position"), F.lit(size)).alias("page"),
     )
