@@ -80,7 +80,7 @@ def test_odd_rows(spark, monkeypatch, shard):
 
 
 def test_neighbours_share_windows():
-    docs = [packing.Doc(i, np.arange(100) + 1000 * (i % 5)) for i in range(50)]
+    docs = [packing.Doc(i, np.arange(100) + 1000 * (i % 5), 0, 100) for i in range(50)]
     idf = np.full(6000, 3.0)
     packer = packing.Packer(500, 0)
     packer.pack(docs, packing.Corpus(idf, 100.0))

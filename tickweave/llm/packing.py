@@ -1,10 +1,12 @@
 """Packing documents into training sequences by lexical retrieval.
 
-Every document is cut into token numbers once. Documents are dealt to shards by the
-min-wise hashes of their terms, so that texts with common terms meet. Each shard has an
-inverted index with BM25 weights, whose counts come from the whole corpus. A window
-starts with a seed document and is filled with the seed's best unused neighbours; the
-last one is cut where the window is full, and its rest starts the next window.
+Every document is cut into token numbers once. A long one fills whole windows by itself,
+which need no neighbours; what it has beyond them, and short documents, are dealt to
+shards by the min-wise hashes of the document's terms, so that texts with common terms
+meet. Each shard has an inverted index with BM25 weights, whose counts come from the
+whole corpus. A window starts with a seed document and is filled with the seed's best
+unused neighbours; the last one is cut where the window is full, and its rest starts the
+next window.
 """
 
 from __future__ import annotations
@@ -35,45 +37,59 @@ PIECES = (
 )
 
 
-def _coded(path: str):
-    """Documents to (doc_id, n, route, ids); the last row of a task has in ``ids`` how
-    many of its documents hold each term, and n -1."""
+CODED = "doc_id long, n long, start long, route long, ids binary, crcs array<bigint>"
+
+
+def _coded(path: str, window: int):
+    """Documents to ``CODED``: all tokens ``n``, the CRC-32 of each whole window, and the
+    ``ids`` from ``start`` on, after these windows. The last row of a task has in ``ids``
+    how many of its documents hold each term, and n -1."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(path)
         mix = np.random.default_rng(0).permutation(code.size).astype(np.int64)
-        holders = np.zeros(code.size, np.int64)
+        holders, held = np.zeros(code.size, np.int64), np.zeros(code.size, bool)
         end = np.array([END], code.kind).tobytes()
         for batch in batches:
-            sizes, routes, coded = [], [], []
+            rows = []
             for text in batch.column("text"):
-                ids = code(text.as_py()) + end
-                terms = np.unique(np.frombuffer(ids, code.kind))
+                ids = np.frombuffer(code(text.as_py()) + end, code.kind)
+                held[ids] = True
+                terms = np.flatnonzero(held)
+                held[terms] = False
                 holders[terms] += 1
-                sizes.append(len(ids) // code.kind.itemsize)
-                routes.append(_route(mix[terms], code.size))
-                coded.append(ids)
-            yield _code_batch(batch.column("doc_id"), sizes, routes, coded)
-        yield _code_batch(pa.array([None], pa.int64()), [-1], [0], [holders.astype("<i8").tobytes()])
+                start = len(ids) - len(ids) % window
+                crcs = [_crc32(ids[at : at + window]) for at in range(0, start, window)]
+                rows.append((len(ids), start, _route(terms, mix), ids[start:].tobytes(), crcs))
+            yield _code_batch(batch.column("doc_id"), rows)
+        yield _code_batch(pa.array([None], pa.int64()), [(-1, 0, 0, holders.astype("<i8").tobytes(), [])])
 
     return work
 
 
-def _route(mixed: np.ndarray, size: int) -> int:
-    """Three min-wise hashes in one number; near it are documents with common terms."""
-    route = 0
+def _crc32(ids: np.ndarray) -> int:
+    return zlib.crc32(ids.astype("<u4").tobytes())
+
+
+def _route(terms: np.ndarray, mix: np.ndarray) -> int:
+    """The terms with the least value in three orders, as one number; near it are documents
+    with common terms."""
+    route, mixed, size = 0, mix[terms], len(mix)
     for turn in (0, size // 3, 2 * size // 3):
-        route = route * size + int(((mixed + turn) % size).min())
+        route = route * size + int(mix[terms[((mixed + turn) % size).argmin()]])
     return route
 
 
-def _code_batch(doc_id, sizes, routes, coded) -> pa.RecordBatch:
+def _code_batch(doc_id: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
+    n, start, route, ids, crcs = list(zip(*rows)) or [()] * 5
     return pa.record_batch(
         {
             "doc_id": doc_id.cast(pa.int64()),
-            "n": pa.array(sizes, pa.int64()),
-            "route": pa.array(routes, pa.int64()),
-            "ids": pa.array(coded, pa.binary()),
+            "n": pa.array(n, pa.int64()),
+            "start": pa.array(start, pa.int64()),
+            "route": pa.array(route, pa.int64()),
+            "ids": pa.array(ids, pa.binary()),
+            "crcs": pa.array(crcs, pa.list_(pa.int64())),
         }
     )
 
@@ -99,7 +115,9 @@ class Corpus:
 @dataclass
 class Doc:
     doc_id: int | None
-    ids: np.ndarray
+    ids: np.ndarray  # the document's tokens from ``start`` on
+    start: int
+    tokens: int  # of the whole document
     at: int = 0  # tokens that are already placed
 
 
@@ -113,7 +131,7 @@ class Index:
             idf = corpus.idf[terms]
             keep = idf >= LEAST_IDF
             terms, n, idf = terms[keep], n[keep], idf[keep]
-            norm = K1 * (1 - B + B * len(doc.ids) / corpus.mean)
+            norm = K1 * (1 - B + B * doc.tokens / corpus.mean)
             self.terms.append(terms)
             all_terms.append(terms)
             of.append(np.full(len(terms), i))
@@ -198,8 +216,8 @@ class Packer:
     def _close(self, pieces: list[tuple[Doc, int, int]], padded: int) -> None:
         offset = 0
         for doc, start, length in pieces:
-            crc = zlib.crc32(doc.ids[start : start + length].astype("<u4").tobytes())
-            self.rows.append((doc.doc_id, start, length, crc, len(doc.ids), self.sequence, offset, padded))
+            crc = _crc32(doc.ids[start : start + length])
+            self.rows.append((doc.doc_id, doc.start + start, length, crc, doc.tokens, self.sequence, offset, padded))
             offset += length
         self.sequence += 1
 
@@ -216,8 +234,9 @@ def _packed(path: str, corpus, window: int):
         packer = Packer(window, TaskContext.get().partitionId() << 40)
         shard, tokens = [], 0
         for batch in batches:
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
-                shard.append(Doc(doc_id, np.frombuffer(ids.as_py(), kind)))
+            numbers = (batch.column(c).to_pylist() for c in ("doc_id", "start", "n"))
+            for ids, doc_id, start, n in zip(batch.column("ids"), *numbers):
+                shard.append(Doc(doc_id, np.frombuffer(ids.as_py(), kind), start, n))
                 tokens += len(shard[-1].ids)
                 if tokens >= SHARD_TOKENS:
                     packer.pack(shard, corpus.value)
@@ -242,19 +261,33 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole().alias("text"))
-    coded = stage(texts.mapInArrow(_coded(path), "doc_id long, n long, route long, ids binary"), "token-ids")
+    coded = stage(texts.mapInArrow(_coded(path, window), CODED), "token-ids")
     rows = coded.filter(F.col("n") > 0)
-    n_docs, n_tokens = rows.agg(F.count(F.lit(1)), F.sum("n")).first()
+    n_docs, n_tokens, n_rest = rows.agg(F.count(F.lit(1)), F.sum("n"), F.sum(F.col("n") - F.col("start"))).first()
     holders = np.zeros(encoder(path).size)
     counts = coded.filter(F.col("n") < 0).select("ids").mapInArrow(_summed, "term int, n bigint")
     for row in counts.groupBy("term").agg(F.sum("n").alias("n")).collect():  # one row per term of the vocabulary
         holders[row.term] = row.n
     idf = np.log((n_docs - holders + 0.5) / (holders + 0.5))
     corpus = spark.sparkContext.broadcast(Corpus(idf, (n_tokens or 1) / (n_docs or 1)))
-    order = ["route", F.crc32("ids"), "doc_id"]
-    tasks = max(1, -(-(n_tokens or 0) // TASK_TOKENS))
-    dealt = rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
-    return dealt.select("doc_id", "ids").mapInArrow(_packed(path, corpus, window), PIECES)
+
+    order = ["route", F.crc32("ids"), "doc_id", "start"]
+    tasks = max(1, -(-(n_rest or 0) // TASK_TOKENS))
+    rest = rows.filter(F.col("start") < F.col("n")).select("doc_id", "n", "start", "route", "ids")
+    dealt = rest.repartitionByRange(tasks, *order).sortWithinPartitions(*order).drop("route")
+    pieces = dealt.mapInArrow(_packed(path, corpus, window), PIECES)
+    size = F.lit(window).cast("long")
+    alone = rows.select("doc_id", "n", F.posexplode("crcs").alias("number", "crc")).select(
+        "doc_id",
+        (F.col("number") * size).alias("start"),
+        size.alias("length"),
+        F.col("crc").alias("ids_crc32"),
+        F.col("n").alias("doc_tokens"),
+        F.monotonically_increasing_id().bitwiseOR(F.lit(1 << 62)).alias("sequence_id"),
+        F.lit(0).cast("long").alias("offset"),
+        size.alias("padded"),
+    )
+    return pieces.union(alone)
 
 
 def packed(docs: DataFrame, path: str) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import re
 from array import array
 from functools import lru_cache
 
@@ -12,9 +11,8 @@ import tiktoken
 
 # Fixed value of the vocabulary: how a text is cut before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-KEPT_WORDS = 1_000_000  # words whose numbers a worker remembers
-
-_ODD_SPACE = re.compile(r" \s|\s ")
+KEPT_WORDS = 700_000  # words whose numbers a worker remembers
+STOPS = ".,;:!?|"  # marks that are cut off a word of letters alone
 
 
 def _byte_letters() -> dict[str, int]:
@@ -25,15 +23,25 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+class _OddSpace(Exception):
+    """White space beside a blank, which may be one piece with it."""
+
+
 class _Words(dict):
     """Numbers of words by their text without the leading blank, as bytes."""
 
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
+        self.stops = {mark: encode(mark) for mark in STOPS}
 
     def __missing__(self, word: str) -> bytes:
-        found = self.encode(" " + word)
+        if not word or word[0].isspace() or word[-1].isspace():
+            raise _OddSpace
+        if word[-1] in self.stops and word[:-1].isalpha():
+            found = self[word[:-1]] + self.stops[word[-1]]
+        else:
+            found = self.encode(" " + word)
         if len(self) < KEPT_WORDS:
             self[word] = found
         return found
@@ -65,10 +73,13 @@ class Encoder:
 
     def __call__(self, text: str) -> bytes:
         """The numbers of ``text``, as bytes of the type ``kind``."""
-        if _ODD_SPACE.search(text):
-            return self._whole(text)
         first, *words = text.split(" ")
-        return self._whole(first) + b"".join(map(self._words.__getitem__, words))
+        try:
+            if first[-1:].isspace():
+                raise _OddSpace
+            return self._whole(first) + b"".join(map(self._words.__getitem__, words))
+        except _OddSpace:
+            return self._whole(text)
 
 
 @lru_cache(2)
