@@ -579,3 +579,23 @@ def test_rows_late_or_without_time_are_delivered_once(spark, tmp_path):
     query.awaitTermination()
     found = Counter((r.secid, r.tradeno) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert found == {("A", 0): 1, ("A", 5): 1, ("A", 90): 1, ("A", 200): 1, ("B", 1): 1}
+
+
+def test_a_small_batch_leaves_other_buckets_unwritten(spark, tmp_path):
+    state, sink = CollectorState(str(tmp_path / "state")), FileSink(str(tmp_path / "topic"))
+    work = collector.collect_batch(state, sink, Settings(mode=ALL), Clock(60))
+    first = [trade(f"S{i}", n, n) for i in range(40) for n in range(5)]
+    work(spark.createDataFrame(first, SCHEMA), 0)
+
+    def files():
+        found = (tmp_path / "state").rglob("seen/bucket=*/slot=*/*.parquet")
+        return {str(f.relative_to(tmp_path)): f.stat().st_mtime_ns for f in found}
+
+    before = files()
+    work(spark.createDataFrame([trade("S7", 100, 1), trade("S7", 3, 1)], SCHEMA), 1)
+    after = files()
+    assert before.items() <= after.items() and len(after) == len(before) + 1
+    work(spark.createDataFrame([trade("S7", 100, 1), trade("S8", 4, 1)], SCHEMA), 2)
+    assert files() == after
+    assert sum(sent_keys(spark, sink.path).values()) == 201
+    assert state.read_seen(spark, 2).count() == 201

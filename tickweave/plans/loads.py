@@ -61,7 +61,6 @@ def commit_cycle(
     sink: FileSink | KafkaSink,
     count_fetched: Callable[[], int],
     fresh: DataFrame,
-    seen: DataFrame,
     cycle: dict,
     settings: Settings,
     clock: Callable[[], datetime],
@@ -70,7 +69,8 @@ def commit_cycle(
 
     ``fresh`` is computed once, into the table of accepted trades; messages,
     seen-set and counts are read from there, messages and seen-set at the same
-    time. Every step replaces its own output, and the cursor comes last, so a
+    time; of the seen-set only the buckets of accepted trades are read and
+    written. Every step replaces its own output, and the cursor comes last, so a
     cycle that breaks off is simply done again.
     """
     spark = fresh.sparkSession
@@ -81,9 +81,11 @@ def commit_cycle(
     with ThreadPoolExecutor(2) as side:
         counted = side.submit(here(count_fetched))
         accepted = state.write_accepted(fresh, version)
-        marked = mark_batch(seen, accepted, settings.seen_cap)
         sent = side.submit(here(sink_trades), accepted, sink, cycle["started"], version)
-        kept = side.submit(here(state.write_seen), marked, version)
+        buckets = state.buckets(accepted)
+        held = state.read_seen(spark, version - 1, buckets)
+        marked = mark_batch(held, accepted, settings.seen_cap)
+        kept = side.submit(here(state.write_seen), marked, version, buckets)
         collected = accepted.count()
         for step in (sent, kept):
             step.result()
@@ -177,7 +179,7 @@ def run_cycle(
         fresh = dedup_trades(wanted) if dedupe else wanted
         if not initial:
             fresh = filter_new_trades(fresh, seen)
-        row = commit_cycle(own, sink, wanted.count, fresh, seen, cycle, settings, clock)
+        row = commit_cycle(own, sink, wanted.count, fresh, cycle, settings, clock)
     except Exception:
         failed(own, spark, {**cycle, "run_id": settings.run_id, "ended": clock()})
         raise

@@ -2,8 +2,9 @@
 
 Version ``n`` is what cycle ``n`` left behind. Each table is written in full,
 into one of two slots by turns: cycle ``n`` reads the slot of ``n - 1`` and
-replaces the one of ``n - 2``. A cycle that is done again finds its input
-untouched, the folder does not grow, and nothing has to be cleared away. Only
+replaces the one of ``n - 2``. Of the seen-set only the buckets change slots
+that a cycle adds to. A cycle that is done again finds its input untouched, the
+folder does not grow, and nothing has to be cleared away. Only
 the cycle log and the quarantine grow, by one file per block of cycles and by
 what could not be read.
 
@@ -18,11 +19,13 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Collection
+from contextlib import suppress
 from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,7 +35,7 @@ from tickweave.schemas import CURSOR, CYCLE, SEEN
 
 VERSIONED = {
     name: T.StructType([*table.fields, T.StructField("version", T.LongType())])
-    for name, table in {"seen": SEEN, "log": CYCLE}.items()
+    for name, table in {"log": CYCLE}.items()
 }
 VERSIONED_CURSOR = T.StructType([T.StructField("version", T.LongType()), *CURSOR.fields])
 
@@ -47,6 +50,16 @@ PLAN = T.StructType(
     ]
 )
 
+# The seen-set lies in buckets by instrument; a cycle rewrites those it touches.
+BUCKETS = 64
+PLACES = T.StructType(
+    [
+        T.StructField("bucket", T.IntegerType()),
+        T.StructField("slot", T.IntegerType()),
+        T.StructField("version", T.LongType()),
+    ]
+)
+
 CURSOR_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -60,6 +73,10 @@ def one_row(spark: SparkSession, schema: T.StructType, values: dict) -> DataFram
     return spark.range(0, 1, 1, 1).select(*columns)
 
 
+def _bucket() -> Column:
+    return F.pmod(F.hash("secid"), F.lit(BUCKETS)).alias("bucket")
+
+
 @dataclass(frozen=True)
 class CollectorState:
     """The tables below ``root``: those of one ``generation``, or of the newest."""
@@ -151,14 +168,68 @@ class CollectorState:
         )
         return replace(self, generation=plan["generation"]), plan
 
-    def read_seen(self, spark: SparkSession, version: int) -> DataFrame:
-        """The seen-set as cycle ``version`` left it; before cycle 0 it is empty."""
+    def _places(self, spark: SparkSession, version: int) -> dict[int, int]:
+        """In which slot each bucket of the seen-set lies after cycle ``version``."""
         if version < 0:
+            return {}
+        held = spark.read.schema(PLACES).json(self._slot(spark, "seen-places", version))
+        rows = held.collect()  # one row per bucket, and one for the version
+        if any(row.version != version for row in rows) or not rows:
+            raise RuntimeError(f"seen below {self.root} is not of cycle {version}")
+        return {row.bucket: row.slot for row in rows if row.bucket >= 0}
+
+    def read_seen(
+        self, spark: SparkSession, version: int, buckets: Collection[int] | None = None
+    ) -> DataFrame:
+        """The seen-set as cycle ``version`` left it, or some buckets of it; before
+        cycle 0 it is empty."""
+        paths = [
+            f"{self._home(spark)}/seen/bucket={bucket}/slot={slot}"
+            for bucket, slot in self._places(spark, version).items()
+            if buckets is None or bucket in buckets
+        ]
+        if not paths:
             return spark.createDataFrame([], SEEN)
-        return self._read(spark, "seen", version)
-
-    def write_seen(self, seen: DataFrame, version: int) -> None:
-        self._write(seen, "seen", version)
+        return spark.read.schema(SEEN).parquet(*paths)
+
+    def buckets(self, keys: DataFrame) -> list[int]:
+        """The buckets that hold the instruments of ``keys``."""
+        return [row.bucket for row in keys.select(_bucket()).distinct().collect()]
+
+    def write_seen(
+        self, seen: DataFrame, version: int, buckets: Collection[int] | None = None
+    ) -> None:
+        """Replace the seen-set, or the named buckets of it and no others.
+
+        Each goes to the slot it does not lie in, so the set of the cycle before
+        stays readable until this one is done.
+        """
+        spark = seen.sparkSession
+        places = {} if buckets is None else self._places(spark, version - 1)
+        if buckets is None:
+            buckets = self.buckets(seen)
+            with suppress(RuntimeError, AnalysisException):
+                old = self._places(spark, version - 1)
+                places = {bucket: slot for bucket, slot in old.items() if bucket in buckets}
+        places |= {bucket: 1 - places.get(bucket, 1) for bucket in buckets}
+        slots = F.array(*(F.lit(places.get(bucket, 0)) for bucket in range(BUCKETS)))
+        if buckets:
+            (
+                seen.select("secid", "tradeno", _bucket())
+                .withColumn("slot", slots[F.col("bucket")])
+                .hint("rebalance", "bucket")
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("bucket", "slot")
+                .parquet(f"{self._home(spark)}/seen")
+            )
+        rows = [(bucket, slot, version) for bucket, slot in [(-1, 0), *places.items()]]
+        (
+            spark.createDataFrame(rows, PLACES)
+            .coalesce(1)
+            .write.mode("overwrite")
+            .json(self._slot(spark, "seen-places", version))
+        )
 
     def write_accepted(self, fresh: DataFrame, version: int) -> DataFrame:
         """The new trades of a cycle written down, so they are computed once."""

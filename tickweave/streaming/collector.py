@@ -59,7 +59,7 @@ def _collect(
     spark, batch_id = batch.sparkSession, cycle["cycle"]
     staged = state.stage_fetched(batch, batch_id)
     fetched = set_faults_aside(state, staged, batch_id, settings)
-    seen = state.read_seen(spark, batch_id - 1)
+    seen = state.read_seen(spark, batch_id - 1, state.buckets(fetched))
     fresh = dedup_trades(fetched) if dedupe else fetched
     summary = fetched.agg(
         F.count(F.lit(1)).alias("n"), F.max("trade_ts").alias("newest")
@@ -75,7 +75,6 @@ def _collect(
         sink,
         lambda: summary["n"],
         filter_new_trades(fresh, seen),
-        seen,
         cycle,
         settings,
         clock,
