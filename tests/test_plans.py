@@ -1,7 +1,10 @@
 """What the plans must look like to hold at scale."""
 
+import os
+
 import pytest
 
+from tickweave import storage
 from tickweave.plans import catalog
 
 QUERIES = catalog.queries()
@@ -85,8 +88,26 @@ def test_no_instrument_is_numbered_in_one_task(spark, sf_dir):
 
 def test_each_response_is_parsed_once(spark, sf_dir):
     plan = plan_of(spark, sf_dir, "list_securities")
-    assert plan.count("parseJson") == 1
+    assert plan.count("from_json(") == 1
 
 
 def test_initial_load_moves_nothing(spark, sf_dir):
     assert "Exchange" not in plan_of(spark, sf_dir, "initial_load")
+
+
+def test_cycle_log_reads_each_table_once(spark, sf_dir):
+    plan = plan_of(spark, sf_dir, "cycle_log")
+    assert plan.count("FileScan") == 2  # the trades, and the keys seen before
+
+
+def test_a_table_of_symbols_is_computed_once(spark, sf_dir):
+    plan = plan_of(spark, sf_dir, "filter_symbols_table")
+    assert plan.count("events.parquet") == 1 and "BroadcastHashJoin" in plan
+
+
+def test_staged_tables_are_released(spark):
+    path = storage.scratch(spark, "x").rsplit("/", 1)[0]
+    assert storage.stage(spark.range(3), "x").count() == 3
+    assert os.listdir(path)
+    storage.release(spark)
+    assert not os.path.exists(path)

@@ -92,7 +92,7 @@ def cycle_log(
     Rows are counted per key and window before the first shuffle, so a key that
     repeats without end arrives as one row per task. Seen keys join in as rows
     of a window before the first; then the least window of a key says where it
-    was collected, without a join and without sorting.
+    was collected, without a join.
     """
     first, last = whole_second(start), whole_second(now)
     whole = whole_windows(start, now, minutes)
@@ -115,28 +115,30 @@ def cycle_log(
             ).alias("window_id"),
         )
     )
-    one = F.count(F.lit(1))
-    counts = placed.groupBy("window_id").agg(one.alias("fetched"))
-    per_key = placed.groupBy(*TRADE_KEY, "window_id").agg(one.alias("n"))
+    per_key = placed.groupBy(*TRADE_KEY, "window_id").agg(F.count(F.lit(1)).alias("n"))
     before = F.lit(-1).cast("bigint")
     known = seen.select(
         *TRADE_KEY, before.alias("window_id"), F.lit(0).cast("bigint").alias("n")
     )
-    fresh = (
+    # The windows of a key, the one that collects it first; each table is read once.
+    cells = F.sort_array(F.collect_list(F.struct("window_id", "n"))).alias("cells")
+    fetched = (
         per_key.unionByName(known)
         .groupBy(*TRADE_KEY)
+        .agg(cells)
+        .select(F.col("cells")[0]["window_id"].alias("_first"), F.inline("cells"))
+        .filter(F.col("window_id") >= 0)
+        .groupBy("window_id")
         .agg(
-            F.min_by("n", "window_id").alias("collected"),
-            F.min("window_id").alias("window_id"),
+            F.sum("n").alias("fetched"),
+            F.sum(F.when(F.col("window_id") == F.col("_first"), F.col("n"))).alias("collected"),
         )
-        .groupBy("window_id")
-        .agg(F.sum("collected").alias("collected"))
     )
     windows = trades.sparkSession.range(whole + 1).withColumnRenamed("id", "window_id")
     collected = F.coalesce("collected", F.lit(0).cast("bigint"))
     total = F.coalesce("fetched", F.lit(0).cast("bigint"))
     began = ntz(start)
-    return windows.join(counts, "window_id", "left").join(fresh, "window_id", "left").select(
+    return windows.join(fetched, "window_id", "left").select(
         "window_id",
         _after(began, F.col("window_id"), minutes).alias("from_ts"),
         F.when(F.col("window_id") == whole, ntz(now))

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.functions.scalars import ntz, whole_second
+from tickweave.storage import stage
 
-# Symbols are short, so this many fit well into every executor.
+# So many symbols, and so many bytes of them, fit well into every executor.
 BROADCAST_SYMBOLS = 200_000
+BROADCAST_BYTES = 8 << 20
 
 
 def filter_symbol(trades: DataFrame, symbol: str) -> DataFrame:
@@ -24,7 +26,7 @@ def filter_symbols(
     """Trades of the listed instruments; ``None`` keeps them all.
 
     A short list becomes an IN filter that reaches the scan. A table of symbols
-    is counted first, up to a limit: below it the table is broadcast, so the
+    is written down and measured first: up to a limit it is broadcast, so the
     trades of a busy instrument stay where they are. Beyond it, it is a
     shuffled semi-join whose hot keys adaptive execution splits. A symbol
     listed twice counts once.
@@ -32,8 +34,9 @@ def filter_symbols(
     if symbols is None:
         return trades
     if isinstance(symbols, DataFrame):
-        wanted = symbols.select("secid").distinct()
-        if wanted.limit(BROADCAST_SYMBOLS + 1).count() <= BROADCAST_SYMBOLS:
+        wanted = stage(symbols.select("secid").distinct(), "symbols")
+        size = wanted.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("secid")).alias("bytes")).first()
+        if size["n"] <= BROADCAST_SYMBOLS and (size["bytes"] or 0) <= BROADCAST_BYTES:
             wanted = F.broadcast(wanted)
         return trades.join(wanted, "secid", "left_semi")
     return trades.filter(F.col("secid").isin(sorted(set(symbols))))

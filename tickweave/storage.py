@@ -41,3 +41,11 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application left between its steps. For its end: results
+    that still read staged tables are lost."""
+    app = spark.sparkContext.applicationId
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tickweave/{app}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
