@@ -47,7 +47,7 @@ EXACT = Method()
 # for chance. They agree in none of 9 bands of 3 hashes with a probability of 0.002.
 SIMILAR = Method(shingle=5, budget=46, words=4, repeats=False, bands=9, rows=3)
 
-_ODD = np.uint64(0x9E3779B97F4A7C15)
+_ODD, _WORD = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 
 def shingle_hashes(text: bytes, size: int) -> np.ndarray:
@@ -62,7 +62,7 @@ def shingle_hashes(text: bytes, size: int) -> np.ndarray:
 
 def mixed(values: np.ndarray, seed: int) -> np.ndarray:
     """Further hashes of hashes."""
-    x = values + np.uint64(seed) * _ODD
+    x = values + np.uint64(seed * _ODD & _WORD)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
@@ -79,10 +79,10 @@ def majority(hashes: np.ndarray) -> np.uint64:
 
 
 def _bands(hashes: np.ndarray, method: Method) -> list[int]:
-    found = []
+    found, hashes = [], mixed(hashes, 0)
     for band in range(method.bands):
         least = [
-            (mixed(hashes, 0) * (np.uint64(2 * (band * method.rows + row) + 1) * _ODD)).min()
+            (hashes * np.uint64((2 * (band * method.rows + row) + 1) * _ODD & _WORD)).min()
             if len(hashes)
             else np.uint64(0)
             for row in range(method.rows)
