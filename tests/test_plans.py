@@ -75,9 +75,16 @@ def test_a_located_page_reads_its_hours_only(spark):
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in plan
 
 
-def test_seen_set_is_pruned_before_both_shuffles(spark, sf_dir):
-    plan = plan_of(spark, sf_dir, "bounded_seen_set")
-    assert plan.count("row_number(), 10000, Partial") == 2
+def pruned_before_every_shuffle(plan, cap):
+    """Below the last shuffle and below the first stand group limits."""
+    _, *below = plan.split("Exchange hashpartitioning(")
+    assert len(below) == 3
+    assert "row_number(), %d, Partial" % cap in below[0]
+    assert "dense_rank(tradeno" in below[2] and ", %d, Partial" % cap in below[2]
+
+
+def test_seen_set_is_pruned_before_every_shuffle(spark, sf_dir):
+    pruned_before_every_shuffle(plan_of(spark, sf_dir, "bounded_seen_set"), 10_000)
 
 
 def test_no_instrument_is_numbered_in_one_task(spark, sf_dir):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from math import isqrt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -40,27 +38,17 @@ def dedup_trades(trades: DataFrame) -> DataFrame:
     )
 
 
-def _slices(partitions: int) -> int:
-    """In how many slices to cut an instrument for the first top-k step.
-
-    A divisor of the partition count near its root: the slice number is taken
-    from the hash that also picks the shuffle partition, so every partition of
-    the distinct step then holds a single slice and can prune it fully.
-    """
-    fitting = [d for d in range(1, isqrt(partitions) + 1) if partitions % d == 0]
-    return max(fitting) if max(fitting) >= 4 else 16
-
-
 def bounded_seen_set(keys: DataFrame, cap: int | None = SEEN_CAP) -> DataFrame:
     """The ``cap`` largest distinct trade numbers of each instrument; all of them
     without a cap.
 
     The same set as adding numbers one by one and evicting the smallest above
     the cap, in any order. A few instruments hold most trades, so the top-k
-    runs twice: per slice of an instrument, then over at most slices x cap
-    survivors. Any of the ``cap`` largest is also among the ``cap`` largest of
-    its slice, so nothing is lost. Group limits prune before the shuffles up to
-    a threshold of the session, which is raised to the cap in use.
+    runs twice: per slice of the input, where copies share a rank, then over what
+    is left of the slices. Any of the ``cap`` largest is also among the ``cap``
+    largest of its slice, so nothing is lost. Group limits prune before every
+    shuffle, up to a threshold of the session, which is raised to the cap in use:
+    no task sends more than ``cap`` numbers of an instrument.
     """
     if cap is None:
         return keys.select(*TRADE_KEY).distinct()
@@ -68,17 +56,17 @@ def bounded_seen_set(keys: DataFrame, cap: int | None = SEEN_CAP) -> DataFrame:
     limit = "spark.sql.optimizer.windowGroupLimitThreshold"
     if int(spark.conf.get(limit)) < cap:
         spark.conf.set(limit, str(cap))
-    slices = _slices(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    slices = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     newest = F.col("tradeno").desc()
     in_slice = Window.partitionBy("secid", "_slice").orderBy(newest)
     in_all = Window.partitionBy("secid").orderBy(newest)
     return (
         keys.select(*TRADE_KEY)
-        .distinct()
-        .withColumn("_slice", F.pmod(F.hash(*TRADE_KEY), F.lit(slices)))
-        .withColumn("_rank", F.row_number().over(in_slice))
+        .withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(slices)))
+        .withColumn("_rank", F.dense_rank().over(in_slice))
         .filter(F.col("_rank") <= cap)
         .select(*TRADE_KEY)
+        .distinct()
         .withColumn("_rank", F.row_number().over(in_all))
         .filter(F.col("_rank") <= cap)
         .select(*TRADE_KEY)
