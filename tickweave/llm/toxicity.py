@@ -167,33 +167,43 @@ def _log_odds(y1, y0, every) -> tuple[np.ndarray, np.ndarray]:
 def _weights(docs: DataFrame, chosen: DataFrame) -> dict[bytes, float]:
     context = docs.sparkSession.sparkContext
     toxic = chosen.filter("y = 1").select(whole().alias("text"))
-    counted = stage(toxic.mapInArrow(_toxic_tokens, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n")), "toxic-tokens")
-    # Tokens of at most FIT_ROWS documents.
+    counted = toxic.mapInArrow(_toxic_tokens, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counted = stage(counted, "toxic-tokens")
     empty = F.lit(b"")
-    rows = counted.filter((F.col("n") >= LEAST_COUNT) & (F.col("token") != empty)).orderBy("token").collect()
-    if not rows:
+    # Tokens of at most FIT_ROWS documents.
+    rows = counted.filter((F.col("n") >= LEAST_COUNT) & (F.col("token") != empty)).orderBy("token").toArrow()
+    if not len(rows):
         return {}
-    place = {bytes(r.token): i for i, r in enumerate(rows)}
+    tokens = rows["token"].to_pylist()
+    place = {token: i for i, token in enumerate(tokens)}
     ids = chosen.filter("y = 0").select("doc_id", F.lit(True).alias("is_clean"))
     texts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left")  # no more than FIT_ROWS ids
     texts = texts.select(whole().alias("text"), F.coalesce("is_clean", F.lit(False)).alias("clean"))
     found = texts.mapInArrow(_counted(context.broadcast(place)), "at long, n long, clean long")
+    found = found.groupBy("at").agg(F.sum("n").alias("n"), F.sum("clean").alias("clean")).toArrow()  # one row per token
     words = counted.filter(F.col("token") == empty).first()
-    y1 = np.array([r.n for r in rows] + [words.n], np.float64)
-    y0, every = np.zeros(len(rows) + 1), np.zeros(len(rows) + 1)
-    for r in found.groupBy("at").agg(F.sum("n").alias("n"), F.sum("clean").alias("clean")).collect():  # one row per token
-        y0[r["at"]], every[r["at"]] = r.clean, r.n
+    y1 = np.append(rows["n"].to_numpy(), words.n).astype(np.float64)
+    y0, every = np.zeros(len(y1)), np.zeros(len(y1))
+    y0[found["at"].to_numpy()] = found["clean"].to_numpy()
+    every[found["at"].to_numpy()] = found["n"].to_numpy()
     delta, z = _log_odds(y1, y0, every)
-    return {t: float(min(delta[i], MOST)) for t, i in place.items() if z[i] >= LEAST_Z}
+    return {tokens[i]: float(min(delta[i], MOST)) for i in np.flatnonzero(z >= LEAST_Z)}
+
 
+def _scores(n: int, at: np.ndarray, value: np.ndarray) -> np.ndarray:
+    out = np.full(n, OTHER)
+    out[at] = value
+    return out
 
-def _law(clean: list[np.ndarray]) -> tuple[float, float]:
+
+def _law(clean: list[tuple[int, np.ndarray, np.ndarray]]) -> tuple[float, float]:
     """Lambda and K from the word scores of clean texts."""
-    values = np.concatenate(clean) if clean else np.zeros(0)
-    levels, counts = np.unique(values, return_counts=True)
-    if not len(values) or levels[-1] <= 0:
+    words = sum(n for n, *_ in clean)
+    positive = np.concatenate([v for *_, v in clean]) if clean else np.zeros(0)
+    if not len(positive):
         return 1.0, 0.1
-    shares = counts / counts.sum()
+    levels, counts = np.unique(positive, return_counts=True)
+    levels, shares = np.append(levels, OTHER), np.append(counts, words - len(positive)) / words
     if shares @ levels >= 0:
         return 0.1, 1.0
     low, high = 1e-6, 1.0
@@ -202,9 +212,9 @@ def _law(clean: list[np.ndarray]) -> tuple[float, float]:
     for _ in range(60):
         mid = (low + high) / 2
         low, high = (mid, high) if shares @ np.exp(np.minimum(mid * levels, 700)) < 1 else (low, mid)
-    tops = sorted(s for scores in clean for *_, s in segments(scores))
+    tops = sorted(s for text in clean if len(text[1]) for *_, s in segments(_scores(*text)))
     level = tops[len(tops) // 2]
-    rate = sum(s >= level for s in tops) / (len(values) * exp(-low * level))
+    rate = sum(s >= level for s in tops) / (words * exp(-low * level))
     return low, min(max(rate, 1e-4), 10.0)
 
 
@@ -252,20 +262,17 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
     weights = _weights(docs, chosen)
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     texts = chosen.select("y", whole().alias("text"))
-    hits = texts.mapInArrow(_hits(shared), "y int, n int, at array<int>, value array<double>").collect()
-    if not any(r.y for r in hits):
+    hits = texts.mapInArrow(_hits(shared), "y int, n int, at array<int>, value array<double>").toArrow()
+    y, n = hits["y"].to_numpy(), hits["n"].to_numpy()
+    if not y.any():
         return Model(weights)
-
-    def scores(r):
-        out = np.full(r.n, OTHER)
-        out[r["at"]] = r.value
-        return out
-
-    hits.sort(key=lambda r: (r.y, r.n, r["at"], r.value))  # the order of rows must not matter
-    scale, rate = _law([scores(r) for r in hits if not r.y])
+    words = [(int(k), at.values.to_numpy(), v.values.to_numpy()) for k, at, v in zip(n, hits["at"], hits["value"])]
+    # The order in which rows come must not matter.
+    order = sorted(range(len(words)), key=lambda i: (y[i], n[i], words[i][1].tolist(), words[i][2].tolist()))
+    scale, rate = _law([words[i] for i in order if not y[i]])
     model = Model(weights, scale, rate)
-    x = np.array([evidence(model, segments(scores(r)), r.n) for r in hits])
-    model.curve = _curve(x, np.array([r.y for r in hits], np.float64))
+    x = np.array([evidence(model, segments(_scores(*words[i])), words[i][0]) if len(words[i][1]) else 0.0 for i in order])
+    model.curve = _curve(x, y[order].astype(np.float64))
     return model
 
 
