@@ -12,6 +12,12 @@ def _state(links: DataFrame):
     return links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
 
 
+def _least(links: DataFrame) -> DataFrame:
+    """The least neighbour of each node, written down: a join of two plain tables can be
+    split where one node has many links."""
+    return stage(links.groupBy("a").agg(F.min("b").alias("least")), "least")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(a, b) links to (a, root): the smallest node of the component of every node that
     has a larger one above it; roots and nodes without links are not listed.
@@ -26,7 +32,7 @@ def components(links: DataFrame) -> DataFrame:
     before = _state(links)
     while before[0]:
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("least"))
+        least = _least(both)
         large = (
             both.join(least, "a")
             .filter(F.col("b") > F.col("a"))
@@ -34,7 +40,7 @@ def components(links: DataFrame) -> DataFrame:
             .distinct()
         )
         large = stage(large, "large-star")
-        least = large.groupBy("a").agg(F.min("b").alias("least"))
+        least = _least(large)
         small = large.join(least, "a").filter(F.col("b") != F.col("least"))
         links = stage(
             small.select(F.col("b").alias("a"), F.col("least").alias("b"))
