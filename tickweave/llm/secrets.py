@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.llm.common import scratch, whole
+from tickweave.llm.common import scratch, stage, whole
 from tickweave.llm.spans import SPAN, Rule, digest, propose
 
 RULES = [
@@ -61,7 +61,8 @@ def update_ledger(versions: DataFrame, path: str, text: str = "text", rules: lis
     spark, version = versions.sparkSession, rule_version(rules)
     known = read_ledger(spark, path).filter(F.col("rules") == version)
     blobs = versions.select(whole(text).alias("text")).withColumn("blob", F.sha2("text", 256))
-    unseen = blobs.join(known, "blob", "left_anti").dropDuplicates(["blob"])
+    # Copies go first, mostly before the shuffle; the join then finds its rows in place.
+    unseen = blobs.dropDuplicates(["blob"]).join(known, "blob", "left_anti")
     found = propose(unseen, "text", rules, "proposed")
     found.select(
         "blob", F.lit(version).alias("rules"), F.filter("proposed", _confirmed).alias("spans")
@@ -76,7 +77,9 @@ def scan_secrets(versions: DataFrame, path: str, text: str = "text", rules: list
     as they are; an empty table gives no rows.
     """
     ledger = update_ledger(versions, path, text, rules)
-    found = ledger.groupBy("blob").agg(F.first("spans").alias("secrets"))
+    # Written down, so that the join below has nothing but its two sides and Spark can
+    # split the blob that a third of the paths may hold.
+    found = stage(ledger.groupBy("blob").agg(F.first("spans").alias("secrets")), "blob-findings")
     kept = [F.col(f"`{c}`") for c in versions.columns if c != text]
     paths = versions.select(F.struct(*kept).alias("row"), F.sha2(whole(text), 256).alias("blob"))
     return paths.join(found, "blob", "left").select("row", "blob", "secrets")
