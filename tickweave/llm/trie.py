@@ -16,12 +16,13 @@ LEAF = 32  # pairs of fingerprints below which two nodes are compared outright
 CHUNK = 1 << 17  # node pairs in hand at once
 
 
-def forest(cell: np.ndarray, keys: np.ndarray, group: np.ndarray, budget: int, depth: int = 0):
+def forest(cell: np.ndarray, keys: np.ndarray, group: np.ndarray, budget: int, depth: int = 0, check=None):
     """Edges (two arrays of row numbers) that span the components of each cell.
 
     ``cell``: rows of different cells are never compared. ``keys``: uint64, one row of
     words per fingerprint; inside a cell all share the first ``depth`` bits. ``group``:
-    rows of one cell with one group other than -1 are known to be connected.
+    rows of one cell with one group other than -1 are known to be connected. ``check``:
+    says of pairs within the budget (two arrays of row numbers) which are links; none: all.
     """
     n, width = keys.shape
     if n < 2:
@@ -32,13 +33,22 @@ def forest(cell: np.ndarray, keys: np.ndarray, group: np.ndarray, budget: int, d
     starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
     ends = np.r_[starts[1:], n]
 
+    def linked(root, a, b):
+        close = _apart(keys, a, b) <= budget
+        a, b = a[close], b[close]
+        if check is not None:
+            open_ = root[a] != root[b]
+            a, b = a[open_], b[open_]
+            good = check(order[a], order[b])
+            a, b = a[good], b[good]
+        return _merged(root, a, b)
+
     root = _known(root, cell, group)
     same = np.flatnonzero((cell[1:] == cell[:-1]) & (keys[1:] == keys[:-1]).all(1))
-    root = _merged(root, same, same + 1)
+    root = linked(root, same, same + 1)
     # A hub for each cell: whatever lies within the budget of it is connected.
     hub = np.repeat((starts + ends) // 2, ends - starts)
-    near = np.flatnonzero(_apart(keys, np.arange(n), hub) <= budget)
-    root = _merged(root, near, hub[near])
+    root = linked(root, np.arange(n), hub)
 
     many = ends - starts > 1
     stack = [(depth, starts[many], ends[many], starts[many], ends[many], np.zeros(many.sum(), np.int16))]
@@ -54,9 +64,7 @@ def forest(cell: np.ndarray, keys: np.ndarray, group: np.ndarray, budget: int, d
         pairs = (ha - la) * (hb - lb)
         small = (pairs <= LEAF) | (at >= 64 * width)
         if small.any():
-            a, b = _all_pairs(la[small], ha[small], lb[small], hb[small])
-            close = _apart(keys, a, b) <= budget
-            root = _merged(root, a[close], b[close])
+            root = linked(root, *_all_pairs(la[small], ha[small], lb[small], hb[small]))
         big = ~small
         if big.any():
             stack.append((at + 1, *_children(keys, at, la[big], ha[big], lb[big], hb[big], spent[big], budget)))
