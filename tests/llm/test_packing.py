@@ -88,3 +88,21 @@ def test_neighbours_share_windows():
     for row in packer.rows:
         topics[row[5]].add(row[0] % 5)
     assert len(topics) == 10 and all(len(t) == 1 for t in topics.values())
+
+
+LIBRARY = Tokenizer.from_file(PATH)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext|", "|>", " ", "  ", "\n", "a", " word", "é.", "\t"]), max_size=12))
+def test_added_tokens_are_the_librarys(parts):
+    code, text = encoder(PATH), "".join(parts)
+    assert np.frombuffer(code(text), code.kind).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_pieces_of_texts_with_added_tokens(spark):
+    text = "one <|endoftext|> two<|endoftext|><|endoftext|>"
+    (piece,) = packing.packed(spark.createDataFrame([(1, text)], "doc_id long, text string"), PATH).filter("start = 0").collect()
+    ids = [*LIBRARY.encode(text, add_special_tokens=False).ids, packing.END]
+    assert ids.count(50256) == 3 and piece.doc_tokens == len(ids)
+    assert piece.ids_crc32 == zlib.crc32(np.array(ids[: piece.length], "<u4").tobytes())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from array import array
 from functools import lru_cache
 
@@ -49,7 +50,8 @@ class _Words(dict):
 
 class Encoder:
     """The numbers that the library ``tokenizers`` gives for the vocabulary file at
-    ``path``, without special tokens; strings of special tokens are ordinary text.
+    ``path``, with no special token added; where a text holds the string of an added
+    token, that is one number, and what stands on either side is cut by itself.
 
     No piece of the cut crosses a blank between two characters that are no white space,
     so words are looked up one by one; texts with other runs of white space are
@@ -59,20 +61,32 @@ class Encoder:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
-        special = {t["content"] for t in model["added_tokens"]}
+        self._added = {t["content"]: t["id"] for t in model["added_tokens"]}
+        if any(t[k] for t in model["added_tokens"] for k in ("lstrip", "rstrip", "single_word")):
+            raise ValueError("added tokens that take in what stands beside them")
         letters = _byte_letters()
-        ranks = {bytes(letters[c] for c in w): i for w, i in model["model"]["vocab"].items() if w not in special}
-        self.size = 1 + max(ranks.values())
+        ranks = {bytes(letters[c] for c in w): i for w, i in model["model"]["vocab"].items() if w not in self._added}
+        self.size = 1 + max([*ranks.values(), *self._added.values()])
         self._code = "H" if self.size <= 1 << 16 else "I"
         self.kind = np.dtype(self._code)
         self._coding = tiktoken.Encoding("corpus", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self._words = _Words(self._whole)
+        longest = sorted(self._added, key=len, reverse=True)
+        self._cut = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
 
     def _whole(self, text: str) -> bytes:
         return array(self._code, self._coding.encode_ordinary(text)).tobytes()
 
     def __call__(self, text: str) -> bytes:
         """The numbers of ``text``, as bytes of the type ``kind``."""
+        if not any(token in text for token in self._added):
+            return self._ordinary(text)
+        parts = self._cut.split(text)
+        parts[1::2] = (array(self._code, [self._added[token]]).tobytes() for token in parts[1::2])
+        parts[::2] = map(self._ordinary, parts[::2])
+        return b"".join(parts)
+
+    def _ordinary(self, text: str) -> bytes:
         first, *words = text.split(" ")
         try:
             if first[-1:].isspace():
