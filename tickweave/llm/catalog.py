@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickweave.llm import ann, decontam, packing, pii, quality, secrets, sharding, simhash, sql, toxicity, warc
+from tickweave.llm import ann, decontam, dialogue, langid, packing, pii, quality, secrets, sharding, simhash, sql, toxicity, warc, whitening
 from tickweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,8 +53,20 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.repaired_conversations(table(spark, sf_dir, "conversations"))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_secret_scan, op2_quality, op3_simhash_dedup, op4_toxicity, op5_warc, op6_nearest_neighbours, op7_pii, op8_decontamination, op9_packing, op10_sharding)}
+    return {q.__name__: q for q in (op1_secret_scan, op2_quality, op3_simhash_dedup, op4_toxicity, op5_warc, op6_nearest_neighbours, op7_pii, op8_decontamination, op9_packing, op10_sharding, op11_whitening, op12_conversation_repair, op13_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
