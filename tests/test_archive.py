@@ -1,0 +1,227 @@
+"""The archive of landed responses: each file once, and only the hours that are asked for."""
+
+import json
+import random
+from collections import Counter
+from datetime import datetime, timedelta
+
+import pytest
+
+from tickweave import job
+from tickweave.operators import cycles, paging
+from tickweave.plans import loads
+from tickweave.plans.archive import TradeArchive, UnreadableInput
+from tickweave.plans.state import CollectorState
+from tickweave.settings import ALL, QUARANTINE, Settings
+from tickweave.sinks.messages import FileSink
+from tickweave.sources.envelope import list_trades
+from test_collector import Clock, plain_collector, sent_keys
+
+OPEN = datetime(2024, 1, 15)
+HEADER = ["TRADENO", "TRADETIME", "SECID", "BOARDID", "PRICE", "QUANTITY", "VALUE", "BUYSELL"]
+JOB = Settings(mode=ALL, seen_cap=50)
+
+
+class Feed:
+    """A folder that responses land in, and the archive fed from it."""
+
+    def __init__(self, spark, root, files="2"):
+        self.spark, self.folder = spark, root / "landing" / "stock" / "shares" / "trades"
+        self.folder.mkdir(parents=True, exist_ok=True)
+        self.archive = TradeArchive(str(root / "archive"))
+        self.landed = loads.Landed(
+            spark,
+            self.archive,
+            lambda: list_trades(spark, str(root / "landing"), streaming=True, faults=True, maxFilesPerTrigger=files),
+        )
+
+    def land(self, name, trades, cut=0):
+        rows = [[n, str(at) if at else "never", secid, "TQBR", 1.5, 2, 3.0, "B"] for secid, n, at in trades]
+        text = json.dumps({"trades": {"columns": HEADER, "data": rows}})
+        (self.folder / name).write_text(text[: len(text) - cut])
+
+    def absorb(self, settings=JOB):
+        return self.archive.absorb(self.landed.stream(), settings)
+
+
+def trades_of(seed, n=300, hours=40):
+    pick = random.Random(seed)
+    made = [(pick.choice("AAB"), 1000 * seed + i, OPEN + timedelta(seconds=pick.randrange(hours * 3600))) for i in range(n)]
+    return made + [("C", 1000 * seed + n, None)]
+
+
+def keys(df):
+    return Counter((r.secid, r.tradeno) for r in df.collect())
+
+
+@pytest.fixture(scope="module")
+def filled(spark, tmp_path_factory):
+    feed = Feed(spark, tmp_path_factory.mktemp("archive"))
+    rows = []
+    for i in range(5):
+        made = trades_of(i)
+        feed.land(f"{i}.json", made)
+        rows += made
+        if i == 2:
+            assert len(feed.absorb()) == 2
+    assert len(feed.absorb()) == 1 and feed.absorb() == []
+    return feed, rows
+
+
+def test_all_trades_once(spark, filled):
+    feed, rows = filled
+    assert keys(feed.archive.trades(spark)) == Counter((s, n) for s, n, _ in rows)
+    assert feed.archive.hours(spark) == sorted({feed.archive.hour_of(at) for *_, at in rows if at})
+
+
+@pytest.mark.parametrize("start, till", [(0, 7199), (5000, 90_000), (-9, 10**6), (10**6, 2 * 10**6)])
+def test_a_window_reads_its_hours_alone(spark, filled, start, till):
+    feed, rows = filled
+    start, till = OPEN + timedelta(seconds=start), OPEN + timedelta(seconds=till, microseconds=7)
+    found = feed.archive.window(spark, start, till)
+    assert keys(found) == Counter((s, n) for s, n, at in rows if at and start <= at <= till)
+    read = {int(f.split("hour=")[1].split("/")[0]) for f in found.inputFiles()}
+    assert all(feed.archive.hour_of(start) <= hour <= feed.archive.hour_of(till) for hour in read)
+
+
+@pytest.mark.parametrize("symbol, limit", [(None, 30), (None, 5000), ("A", 1), ("C", 30), ("D", 30)])
+def test_newest_trades(spark, filled, symbol, limit):
+    feed, _ = filled
+    every = feed.archive.trades(spark)
+    wanted = paging.latest_trades(every, limit) if symbol is None else paging.latest_trades_symbol(every, symbol, limit)
+    found = feed.archive.latest(spark, limit, symbol)
+    assert [tuple(r) for r in found.collect()] == [tuple(r) for r in wanted.collect()]
+    if limit == 30 and symbol is None:
+        assert len({f.split("hour=")[1].split("/")[0] for f in found.inputFiles()}) <= 2
+
+
+@pytest.mark.parametrize(
+    "start, limit, reverse", [(0, 10, True), (700, 300, False), (1499, 6, False), (1480, 100, True), (9000, 5, True)]
+)
+def test_pages(spark, filled, start, limit, reverse):
+    feed, _ = filled
+    every = feed.archive.trades(spark)
+    wanted = every.orderBy(*paging.total_order(every.columns, reverse)).offset(start).limit(limit)
+    found = feed.archive.page(spark, limit, start, reverse)
+    assert [tuple(r) for r in found.collect()] == [tuple(r) for r in wanted.collect()]
+
+
+def test_a_page_far_down_reads_few_hours(spark, filled):
+    feed, _ = filled
+    found = feed.archive.page(spark, 20, 900)
+    assert 1 <= len({f.split("hour=")[1].split("/")[0] for f in found.inputFiles()}) <= 3
+
+
+def test_wider_folders(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    feed.land("a.json", trades_of(7))
+    archive = TradeArchive(str(tmp_path / "days"), width=24)
+    archive.absorb(feed.landed.stream(), JOB)
+    assert archive.hours(spark) == [archive.hour_of(OPEN), archive.hour_of(OPEN) + 24]
+    start, till = OPEN + timedelta(hours=3), OPEN + timedelta(hours=5)
+    assert keys(archive.window(spark, start, till)) == Counter((s, n) for s, n, at in trades_of(7) if at and start <= at <= till)
+
+
+def test_an_empty_archive(spark, tmp_path):
+    archive = TradeArchive(str(tmp_path / "archive"))
+    for found in (archive.trades(spark), archive.window(spark, OPEN, OPEN), archive.latest(spark), archive.page(spark)):
+        assert found.count() == 0 and "trade_ts" in found.columns
+
+
+def test_cycles_match_a_plain_collector(spark, tmp_path):
+    """Responses land between the ticks; the cycles are those over one table."""
+    feed, pick = Feed(spark, tmp_path), random.Random(4)
+    made = [(pick.choice("AAB"), i // 2, OPEN + timedelta(seconds=pick.randrange(5400))) for i in range(400)]
+    made += [("A", 10_000 + m, OPEN + timedelta(seconds=300 * m)) for m in range(18)]
+    for i in range(0, len(made), 50):
+        feed.land(f"{i}.json", made[i : i + 50])
+    ticks = [1800, 1805, 2400, 4000, 4001]
+    state, sink = CollectorState(str(tmp_path / "state")), FileSink(str(tmp_path / "topic"))
+    log = [loads.run_cycle(feed.landed, state, sink, JOB, Clock(t)) for t in ticks]
+    rows = [(n, None, s, *[None] * 9, at) for s, n, at in made]
+    wanted = plain_collector(rows, None, ticks, 50)
+    assert wanted is not None
+    table = feed.archive.trades(spark)
+    again, other = CollectorState(str(tmp_path / "again")), FileSink(str(tmp_path / "other"))
+    plain = [loads.run_cycle(table, again, other, JOB, Clock(t)) for t in ticks]
+    same = ("cycle", "kind", "till", "collected", "duplicates", "api_calls", "status")
+    assert [{k: r[k] for k in same} for r in log] == [{k: r[k] for k in same} for r in plain]
+    assert sent_keys(spark, sink.path) == sent_keys(spark, other.path)
+    rows = [{tuple(r) for r in s.read_seen(spark, 4).collect()} for s in (state, again)]
+    assert rows[0] == rows[1]
+
+
+def test_a_tick_reads_no_more_for_a_longer_history(spark, tmp_path):
+    """What a tick reads of trades and seen-set after one hour and after many, with the
+    responses that were decoded gone."""
+    feed = Feed(spark, tmp_path, files="1000")
+    state, sink = CollectorState(str(tmp_path / "state")), FileSink(str(tmp_path / "topic"))
+    read, real = [], TradeArchive.window
+
+    def watched(self, *bounds):
+        found = real(self, *bounds)
+        read.append(len(found.inputFiles()))
+        return found
+
+    TradeArchive.window = watched
+    try:
+        for hour in range(8):
+            for part in range(2):
+                trades = [("A", 100 * hour + i, OPEN + timedelta(hours=hour, minutes=i)) for i in range(part, 60, 2)]
+                feed.land(f"{hour}-{part}.json", trades)
+            row = loads.run_cycle(feed.landed, state, sink, Settings(mode=ALL, catch_up_minutes=60), Clock(3600 * hour + 3540))
+            assert row["collected"] == 60
+            for file in feed.folder.iterdir():
+                file.write_text("no longer a response")
+    finally:
+        TradeArchive.window = real
+    assert read[1] <= 2 and max(read) <= 2
+    assert len(feed.archive.hours(spark)) == 8
+    assert sum(sent_keys(spark, sink.path).values()) == 480
+
+
+def test_unreadable_responses_fail_until_they_may_be_set_aside(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    feed.land("a.json", [("A", 1, OPEN + timedelta(seconds=5))])
+    feed.land("cut.json", [("A", 2, OPEN)], cut=3)
+    state, sink = CollectorState(str(tmp_path / "state")), FileSink(str(tmp_path / "topic"))
+    for _ in range(2):
+        with pytest.raises(UnreadableInput, match="cut.json"):
+            loads.run_cycle(feed.landed, state, sink, JOB, Clock(60))
+    assert state.read_cursor(spark, OPEN)["version"] == -1
+    assert cycles.error_count(state.read_cycles(spark)).first().total_errors == 2
+    aside = Settings(mode=ALL, on_fault=QUARANTINE)
+    assert loads.run_cycle(feed.landed, state, sink, aside, Clock(60))["collected"] == 1
+    assert loads.run_cycle(feed.landed, state, sink, JOB, Clock(90))["collected"] == 0
+    (kept,) = state.read_quarantine(spark).collect()
+    assert kept.file.endswith("cut.json") and kept.version == 0
+
+
+def test_a_batch_that_broke_off_is_done_again(spark, tmp_path, monkeypatch):
+    feed = Feed(spark, tmp_path)
+    feed.land("a.json", trades_of(1))
+    real = TradeArchive._add
+
+    def breaks(self, batch, number, settings):
+        real(self, batch, number, settings)
+        raise OSError("away")
+
+    monkeypatch.setattr(TradeArchive, "_add", breaks)
+    with pytest.raises(Exception, match="away"):
+        feed.absorb()
+    monkeypatch.undo()
+    assert feed.absorb() == [0]
+    assert keys(feed.archive.trades(spark)) == Counter((s, n) for s, n, _ in trades_of(1))
+    assert feed.archive.page(spark, 1000).count() == 301
+
+
+def test_the_job_in_cycles_decodes_a_file_once(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    now = datetime.now().replace(microsecond=0)
+    feed.land("a.json", [("A", 1, now.replace(hour=0, minute=0, second=0))])
+    arguments = ["--landing", str(tmp_path / "landing"), "--state", str(tmp_path / "state"), "--topics", str(tmp_path / "topics")]
+    arguments += ["--mode", "ALL", "--cycle", "--once", "--interval", "0.1"]
+    job.main(arguments)
+    (feed.folder / "a.json").write_text("gone")
+    job.main([*arguments, "--seen-cap", "0"])
+    assert sent_keys(spark, tmp_path / "topics") == {"A:1": 1}

@@ -599,3 +599,102 @@ def test_a_small_batch_leaves_other_buckets_unwritten(spark, tmp_path):
     assert files() == after
     assert sum(sent_keys(spark, sink.path).values()) == 201
     assert state.read_seen(spark, 2).count() == 201
+
+
+def caught_up(spark, tmp_path, trades, name, ticks, most, cap, minutes=5, log_block=1000):
+    state = CollectorState(str(tmp_path / name / "state"), log_block=log_block)
+    sink = FileSink(str(tmp_path / name / "topic"))
+    clock = Clock(0)
+    made = 0
+    for tick in ticks:
+        clock = Clock(tick)
+        while True:
+            row = loads.run_cycle(
+                trades, state, sink, Settings(mode=ALL, seen_cap=cap, catch_up_minutes=minutes), clock, most_windows=most
+            )
+            made += 1
+            if row["till"] == clock():
+                break
+    sent = topic.read_topic(spark, sink.path, TRADES_TOPIC)
+    log = state.read_cycles(spark).orderBy("cycle").collect()
+    cursor = state.read_cursor(spark, OPEN)
+    seen = {tuple(r) for r in state.read_seen(spark, cursor["version"]).collect()}
+    messages = Counter((r.batch_id, r.key, r.value.split('"timestamp"')[0]) for r in sent.collect())
+    return made, log, messages, cursor, seen
+
+
+@pytest.mark.parametrize("cap, log_block", [(None, 7), (10_000, 1000)])
+def test_many_windows_in_one_job(spark, tmp_path, cap, log_block):
+    """The same log, messages, cursor and seen-set as single ticks, in fewer jobs."""
+    trades = spark.createDataFrame(day_of_trades(3, 300), SCHEMA).cache()
+    ticks = [60, 2401]
+    one = caught_up(spark, tmp_path, trades, "one", ticks, 1, cap, log_block=log_block)
+    many = caught_up(spark, tmp_path, trades, "many", ticks, 501, cap, log_block=log_block)
+    assert one[0] > 2 * many[0]
+    drop = ("started", "ended")
+    same = [[{k: v for k, v in r.asDict().items() if k not in drop} for r in found[1]] for found in (one, many)]
+    assert same[0] == same[1] and len(same[0]) == one[0]
+    assert one[2] == many[2]
+    assert {k: v for k, v in one[3].items() if k != "last_update_time"} == {
+        k: v for k, v in many[3].items() if k != "last_update_time"
+    }
+    assert one[4] == many[4]
+
+
+def test_windows_that_broke_off_are_done_again_together(spark, tmp_path):
+    trades = spark.createDataFrame(day_of_trades(5, 200), SCHEMA)
+    state, sink = CollectorState(str(tmp_path / "state")), FileSink(str(tmp_path / "topic"))
+    job = Settings(mode=ALL)
+    loads.run_cycle(trades, state, sink, job, Clock(60))
+
+    class Broken(FileSink):
+        def write(self, messages, batch_id=0):
+            super().write(messages, batch_id)
+            raise OSError("away")
+
+    with pytest.raises(OSError):
+        loads.run_cycle(trades, state, Broken(sink.path), job, Clock(3700), most_windows=501)
+    assert state.read_cursor(spark, OPEN)["version"] == 0
+    # Done again by a tick that would take one window, later: the plan holds.
+    row = loads.run_cycle(trades, state, sink, job, Clock(9000))
+    assert row["cycle"] == 11 and row["till"] == OPEN + timedelta(seconds=60 + 11 * 300)
+    sent = topic.read_topic(spark, sink.path, TRADES_TOPIC).collect()
+    assert max(Counter(r.key for r in sent).values()) == 1
+    assert len(sent) == sum(r.collected for r in state.read_cycles(spark).filter("status = 'ok'").collect())
+
+
+def test_copies_pass_window_by_window(spark, tmp_path):
+    trades = spark.createDataFrame([trade("A", 1, 400), trade("A", 1, 401), trade("A", 1, 900)], SCHEMA)
+    state, sink = CollectorState(str(tmp_path / "state")), FileSink(str(tmp_path / "topic"))
+    for at in (60, 3660):
+        row = loads.run_cycle(trades, state, sink, Settings(mode=ALL), Clock(at), dedupe=False, most_windows=99)
+    assert row["cycle"] == 1 and row["till"] == OPEN + timedelta(seconds=360)
+
+
+def test_a_stream_keeps_each_key_once_in_rocksdb(spark, tmp_path):
+    folder = tmp_path / "landing"
+    for i in range(3):
+        keys = spark.range(0, 30_000, 1, 4).selectExpr(
+            "IF(id % 3 = 0, 'HOT', 'A') AS secid", f"IF(id % 3 = 0, 7, id + {1000 * i}) AS tradeno", "id AS boardid"
+        )
+        keys.write.parquet(f"{folder}/{i}")
+    stream = spark.readStream.schema(keys.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 4)
+    query = (
+        collector.dedup_stream(stream.parquet(str(folder)))
+        .writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(availableNow=True)
+        .start(str(tmp_path / "out"))
+    )
+    query.awaitTermination()
+    found = spark.read.parquet(str(tmp_path / "out"))
+    wanted = {("HOT", 7)} | {("A", n + 1000 * i) for i in range(3) for n in range(30_000) if n % 3}
+    assert found.count() == len(wanted) and {(r.secid, r.tradeno) for r in found.collect()} == wanted
+    progress = query.lastProgress
+    (operator,) = progress["stateOperators"]
+    assert operator["numRowsTotal"] == len(wanted)  # once, not once per step
+    assert "rocksdbCommitFlushLatency" in str(operator["customMetrics"])
+    # Of 30,000 rows a third are copies of one key; of these each batch of rows sends one.
+    assert all(p["stateOperators"][0]["customMetrics"]["numDroppedDuplicateRows"] < 21_000 for p in query.recentProgress)
+    delta = list((tmp_path / "checkpoint" / "state").rglob("*.changelog"))
+    assert delta

@@ -5,6 +5,7 @@ import os
 import pytest
 
 from tickweave import storage
+from tickweave.operators import dedup
 from tickweave.plans import catalog
 
 QUERIES = catalog.queries()
@@ -34,7 +35,7 @@ def test_filters_reach_the_scan(spark, sf_dir, name, pushed):
     [
         ("ingest_millis", "struct<event_id:bigint,event_type:string>"),
         ("page_count", "struct<l_returnflag:string>"),
-        ("bounded_seen_set", "struct<l_orderkey:bigint,l_linenumber:int,l_returnflag:string>"),
+        ("bitmap_counts", "struct<l_orderkey:bigint,l_linenumber:int,l_returnflag:string>"),
         ("distinct_securities", "struct<p_partkey:bigint>"),
         ("cycle_log", "struct<event_id:bigint,ts:timestamp_ntz,event_type:string>"),
     ],
@@ -75,16 +76,17 @@ def test_a_located_page_reads_its_hours_only(spark):
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in plan
 
 
-def pruned_before_every_shuffle(plan, cap):
-    """Below the last shuffle and below the first stand group limits."""
-    _, *below = plan.split("Exchange hashpartitioning(")
-    assert len(below) == 3
-    assert "row_number(), %d, Partial" % cap in below[0]
-    assert "dense_rank(tradeno" in below[2] and ", %d, Partial" % cap in below[2]
+def test_the_seen_set_orders_no_instrument(spark, sf_dir):
+    plan = plan_of(spark, sf_dir, "bounded_seen_set")
+    assert "Window" not in plan and "Exchange hashpartitioning(secid" not in plan
 
 
-def test_seen_set_is_pruned_before_every_shuffle(spark, sf_dir):
-    pruned_before_every_shuffle(plan_of(spark, sf_dir, "bounded_seen_set"), 10_000)
+def test_bitmaps_take_one_shuffle(spark):
+    keys = spark.range(1000).selectExpr("string(id % 3) AS secid", "id AS tradeno")
+    plan = dedup.seen_bitmaps(keys)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    below = plan[plan.index("Exchange") :]
+    assert "partial_collect_set" in below
 
 
 def test_no_instrument_is_numbered_in_one_task(spark, sf_dir):

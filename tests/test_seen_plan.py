@@ -1,20 +1,73 @@
-"""The plan of the seen-set beyond the default cap."""
+"""The seen-set with a cap by selection, and without one as bitmaps."""
 
-from test_plans import pruned_before_every_shuffle
+import random
+
+import pytest
+from pyspark.sql import functions as F
 
 from tickweave.operators import dedup
-from tickweave.settings import tune
 
+KEYS = "secid string, tradeno bigint"
+EDGES = [-(2**63), -(2**63) + 1, -32_769, -32_768, -1, 0, 1, 32_767, 32_768, 2**62, 2**63 - 1]
+
+
+def some_keys(seed):
+    pick = random.Random(seed)
+    near = [("HOT", pick.randrange(-70_000, 70_000)) for _ in range(1500)]
+    far = [(pick.choice("AB"), pick.randrange(-(2**63), 2**63)) for _ in range(500)]
+    return near + far + [("A", n) for n in EDGES] + [("HOT", 7)] * 900
 
-def test_a_larger_cap_is_pruned_before_the_shuffles(spark):
-    try:
-        keys = spark.range(100_000).selectExpr("string(id % 3) AS secid", "id AS tradeno")
-        plan = dedup.bounded_seen_set(keys, 20_000)._jdf.queryExecution().executedPlan().toString()
-        pruned_before_every_shuffle(plan, 20_000)
-    finally:
-        tune(spark)
+
+@pytest.mark.parametrize("bins", [2, 1024])
+@pytest.mark.parametrize("cap", [1, 9, 400, 5000])
+def test_selection_over_all_numbers_there_are(spark, monkeypatch, bins, cap):
+    monkeypatch.setattr(dedup, "BINS", bins)
+    rows = some_keys(cap)
+    found = [tuple(r) for r in dedup.bounded_seen_set(spark.createDataFrame(rows, KEYS), cap).collect()]
+    numbers = {s: sorted({n for q, n in rows if q == s}, reverse=True)[:cap] for s in ("HOT", "A", "B")}
+    assert sorted(found) == sorted((s, n) for s, held in numbers.items() for n in held)
 
 
 def test_no_cap_keeps_all(spark):
     keys = spark.range(50).selectExpr("'A' AS secid", "id % 30 AS tradeno")
     assert dedup.bounded_seen_set(keys, None).count() == 30
+
+
+def test_an_empty_seen_set(spark):
+    none = spark.createDataFrame([], KEYS)
+    assert dedup.bounded_seen_set(none, 5).count() == 0
+    assert dedup.bitmap_keys(dedup.seen_bitmaps(none)).count() == 0
+    trades = spark.createDataFrame([("A", 1), ("A", 1)], KEYS)
+    assert dedup.filter_unseen(trades, dedup.seen_bitmaps(none)).count() == 2
+
+
+def test_bitmaps_answer_as_rows_do(spark):
+    rows = some_keys(3)
+    held, batch = rows[::2], rows[1::3] + [("A", 1 << 40), (None, 4), ("C", 0)]
+    seen = spark.createDataFrame(held, KEYS)
+    trades = spark.createDataFrame([(*r, i) for i, r in enumerate(batch)], KEYS + ", _cell int")
+    bits = dedup.seen_bitmaps(seen)
+    by_bits = sorted(r._cell for r in dedup.filter_unseen(trades, bits).collect())
+    assert by_bits == sorted(r._cell for r in dedup.filter_new_trades(trades, seen).collect())
+    marked = dedup.mark_batch(bits, spark.createDataFrame(batch, KEYS), None)
+    both = set(held) | set(batch)
+    assert {tuple(r) for r in dedup.bitmap_keys(marked).collect()} == both
+    counts = {r.secid: r.held for r in dedup.seen_counts(marked).collect()}
+    assert counts == {s: sum(q == s for q, _ in both) for s in {q for q, _ in both}}
+
+
+def test_bitmaps_are_a_twentieth_of_the_rows(spark, tmp_path):
+    """Numbers as an exchange gives them: one after another, to instruments in turn."""
+    keys = spark.range(3_000_000).select(
+        F.concat(F.lit("S"), F.col("id") % 3).alias("secid"), (F.col("id").cast("bigint") + 7_000_000_000).alias("tradeno")
+    )
+    keys = keys.filter("tradeno % 10 < 9")
+    sizes = []
+    for name, table in (("rows", keys), ("bits", dedup.seen_bitmaps(keys))):
+        table.write.option("compression", "zstd").parquet(str(tmp_path / name))
+        sizes.append(sum(f.stat().st_size for f in (tmp_path / name).glob("*.parquet")))
+    held = spark.read.parquet(str(tmp_path / "bits"))
+    assert held.count() < 300 and dedup.bitmap_counts(held).agg(F.sum("held")).first()[0] == 2_700_000
+    raw = held.agg(F.sum(F.octet_length("bits"))).first()[0]
+    assert raw * 20 < 2_700_000 * 10  # a number and its instrument as they are, 8 and 2 bytes
+    assert sizes[1] < sizes[0] / 5  # and even after the rows were sorted and compressed

@@ -22,7 +22,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.operators.cursor import collector_status
-from tickweave.plans.loads import load_instruments, run_cycle
+from tickweave.plans.archive import TradeArchive
+from tickweave.plans.loads import Landed, load_instruments, run_cycle
 from tickweave.plans.state import CollectorState
 from tickweave.settings import (
     ALL,
@@ -61,6 +62,9 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--on-fault", choices=[FAIL, QUARANTINE], default=FAIL)
     parser.add_argument("--disabled", action="store_true", help="collect nothing")
     parser.add_argument("--cycle", action="store_true", help="cycles driven by the cursor")
+    parser.add_argument(
+        "--windows", type=int, default=501, help="of a gap that one cycle may catch up on"
+    )
     parser.add_argument("--status", action="store_true", help="print the state and end")
     parser.add_argument("--max-files", default="1000", help="files per micro-batch")
     parser.add_argument("--once", action="store_true", help="take what is there and stop")
@@ -114,9 +118,15 @@ def main(argv: Sequence[str] | None = None) -> None:
     decoding = {"trade_date": given.trade_date, "faults": True}
     if given.cycle:
         failures = 0
+        pace = {"maxFilesPerTrigger": given.max_files}
+        landed = Landed(
+            spark,
+            TradeArchive(f"{given.state}/archive"),
+            lambda: list_trades(*place, streaming=True, **decoding, **pace),
+        )
         while True:
             try:
-                run_cycle(list_trades(*place, **decoding), state, sink, settings)
+                run_cycle(landed, state, sink, settings, most_windows=given.windows)
                 failures = 0
             except Exception:
                 failures += 1

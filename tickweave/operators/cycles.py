@@ -74,6 +74,31 @@ def next_till(start: datetime, now: datetime, minutes: int = CATCH_UP_MINUTES) -
     return now
 
 
+def in_windows(trades: DataFrame, start: datetime, last: int, minutes: int) -> DataFrame:
+    """Trades since ``start`` with ``window_ids``: the window they fall in, or both of a
+    border, earlier first. ``last`` is the number of the last window, which has no end."""
+    width = F.lit(minutes * 60 * SECOND).cast("bigint")
+    border = F.col("_border")
+    on_border = F.col("_on_border") & border.between(1, last)
+    number = F.least(border, F.lit(last).cast("bigint"))
+    passed = micros_between(ntz(whole_second(start)), F.col("trade_ts"))
+    return (
+        trades.withColumn("_passed", passed)
+        .withColumns(
+            {
+                "_border": F.call_function("div", F.col("_passed"), width),
+                "_on_border": F.pmod("_passed", width) == 0,
+            }
+        )
+        .select(
+            *trades.columns,
+            F.when(on_border, F.array(border - 1, border))
+            .otherwise(F.array(number))
+            .alias("window_ids"),
+        )
+    )
+
+
 def cycle_log(
     trades: DataFrame,
     seen: DataFrame,
@@ -96,24 +121,9 @@ def cycle_log(
     """
     first, last = whole_second(start), whole_second(now)
     whole = whole_windows(start, now, minutes)
-    width = F.lit(minutes * 60 * SECOND).cast("bigint")
-    border = F.col("_border")
-    on_border = F.col("_on_border") & border.between(1, whole)
-    number = F.least(border, F.lit(whole).cast("bigint"))
-    placed = (
-        trades.filter(F.col("trade_ts").between(ntz(first), ntz(last)))
-        .select(*TRADE_KEY, micros_between(ntz(first), F.col("trade_ts")).alias("_passed"))
-        .select(
-            *TRADE_KEY,
-            F.call_function("div", F.col("_passed"), width).alias("_border"),
-            (F.pmod("_passed", width) == 0).alias("_on_border"),
-        )
-        .select(
-            *TRADE_KEY,
-            F.explode(
-                F.when(on_border, F.array(border - 1, border)).otherwise(F.array(number))
-            ).alias("window_id"),
-        )
+    inside = trades.filter(F.col("trade_ts").between(ntz(first), ntz(last))).select(*TRADE_KEY, "trade_ts")
+    placed = in_windows(inside, start, whole, minutes).select(
+        *TRADE_KEY, F.explode("window_ids").alias("window_id")
     )
     per_key = placed.groupBy(*TRADE_KEY, "window_id").agg(F.count(F.lit(1)).alias("n"))
     before = F.lit(-1).cast("bigint")

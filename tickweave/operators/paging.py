@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -35,7 +35,7 @@ EPOCH = datetime(1970, 1, 1)
 SLOTS = (3_600_000_000, 1_000_000, 1)
 
 
-def _total_order(names: list[str], reverse: bool = False) -> list[Column]:
+def total_order(names: list[str], reverse: bool = False) -> list[Column]:
     lead = ["trade_ts", "tradeno"]
     rest = sorted(c for c in names if c not in lead and c != "secid")
     ties = ["secid", *rest] if "secid" in names else rest
@@ -73,7 +73,7 @@ def trades_page(
     single moments. Where one moment holds more rows than should be sorted in
     one place, its rows get positions. The page comes in order in any case.
     """
-    order = _total_order(trades.columns, reverse)
+    order = total_order(trades.columns, reverse)
     if start + limit <= top_k_rows:
         return trades.orderBy(*order).offset(start).limit(limit)
     near, ahead = trades, start
@@ -112,24 +112,19 @@ def _moment(micros: int) -> datetime | None:
         return None
 
 
-def _narrow(
-    trades: DataFrame, limit: int, start: int, reverse: bool, width: int
-) -> tuple[DataFrame, int, int]:
-    """The trades of the time slots a page touches, how many of them stand
-    ahead of the page, and how many there are.
+def located(slots: DataFrame, limit: int, start: int, reverse: bool) -> Row:
+    """Which slots a page touches, from (slot, n) with one row per slot: the ``first`` and
+    ``last`` of them, whether ``timeless`` rows are among them, how many rows stand
+    ``ahead`` of these slots, and how many ``rows`` they hold, NULL if none is touched.
 
-    Only times are read for the counts, one row per slot is ordered, and a
-    single row with the bounds comes back to the driver.
+    One row per slot is ordered, and a single row comes back to the driver.
     """
-    slot = floor_div(micros_between(ntz(EPOCH), F.col("trade_ts")), width)
     along = F.col("slot").desc_nulls_last() if reverse else F.col("slot").asc_nulls_last()
     running = Window.orderBy(along).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    touched = (
-        trades.groupBy(slot.alias("slot"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("after", F.sum("n").over(running))
+    return (
+        slots.withColumn("after", F.sum("n").over(running))
         .withColumn("before", F.col("after") - F.col("n"))
         .filter((F.col("after") > start) & (F.col("before") < start + limit))
         .agg(
@@ -141,8 +136,24 @@ def _narrow(
         )
         .first()
     )
+
+
+def _narrow(
+    trades: DataFrame, limit: int, start: int, reverse: bool, width: int
+) -> tuple[DataFrame, int, int]:
+    """The trades of the time slots a page touches, how many of them stand
+    ahead of the page, and how many there are. Only times are read for the counts.
+    """
+    slot = floor_div(micros_between(ntz(EPOCH), F.col("trade_ts")), width)
+    slots = trades.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    touched = located(slots, limit, start, reverse)
     if touched["rows"] is None:
         return trades.limit(0), 0, 0
+    return trades.filter(inside_slots(touched, width)), start - touched["ahead"], touched["rows"]
+
+
+def inside_slots(touched: Row, width: int) -> Column:
+    """Whether a trade lies in the slots that were located."""
     inside = F.lit(False)
     if touched["first"] is not None:
         first, after = _moment(touched["first"] * width), _moment((touched["last"] + 1) * width)
@@ -153,7 +164,7 @@ def _narrow(
             inside = inside & (F.col("trade_ts") < ntz(after))
     if touched["timeless"]:
         inside = inside | F.col("trade_ts").isNull()
-    return trades.filter(inside), start - touched["ahead"], touched["rows"]
+    return inside
 
 
 def with_positions(
@@ -205,7 +216,7 @@ def page_assignment(
     # A missing instrument is "" in the data model.
     secid = F.coalesce("secid", F.lit("")).alias("secid")
     keys = trades.select(secid, "trade_ts", "tradeno")
-    order = _total_order([c for c in keys.columns if c not in group])
+    order = total_order([c for c in keys.columns if c not in group])
     return with_positions(keys, order, group).select(
         *keys.columns,
         F.call_function("div", F.col("position"), F.lit(size)).alias("page"),

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from tickweave.functions import scalars as fn
 from tickweave.operators import cursor, cycles, dedup, paging, selection
 from tickweave.plans import loads, views
+from tickweave.plans.archive import TradeArchive
 from tickweave.plans.state import CollectorState
 from tickweave.settings import (
     ALL,
@@ -445,6 +446,27 @@ def mark_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.mark_batch(seen, batch)
 
 
+@query
+def filter_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``filter_new_trades`` against bitmaps of the numbers seen."""
+    trades = _lines(spark, sf_dir)
+    return dedup.filter_unseen(trades, dedup.seen_bitmaps(views.seen_before(trades, LINE_RESTART)))
+
+
+@query
+def mark_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bitmaps after a batch was added, as rows again."""
+    trades = _lines(spark, sf_dir)
+    seen = dedup.seen_bitmaps(views.seen_before(trades, LINE_RESTART))
+    batch = trades.filter(F.col("trade_ts") > fn.ntz(LINE_RESTART))
+    return dedup.bitmap_keys(dedup.mark_bitmaps(seen, batch))
+
+
+@query
+def bitmap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.bitmap_counts(dedup.seen_bitmaps(_lines(spark, sf_dir)))
+
+
 @query
 def cursor_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cursor.cursor_state(_cycles(spark, sf_dir), NOW)
@@ -489,16 +511,19 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(loads.incremental_load(trades, seen, START, TILL, SYMBOLS))
 
 
-@query
-def collector_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The job itself over the whole table: an initial load at the first midnight,
-    then cycles of five days. The log it keeps, and what it sent in each cycle."""
+def _collected(spark: SparkSession, trades: DataFrame | loads.Landed, most_windows: int = 1) -> DataFrame:
     state = CollectorState(scratch(spark, "collector"))
     sink = FileSink(f"{state.root}/topic")
     job = Settings(mode=ALL, seen_cap=None, catch_up_minutes=CYCLE_MINUTES)
-    trades = _trades(spark, sf_dir)
-    for moment in (CYCLES_START, *[CYCLES_NOW] * 6):
-        loads.run_cycle(trades, state, sink, job, clock=lambda moment=moment: moment)
+    moment, row = CYCLES_START, {"till": None}
+    while row["till"] != CYCLES_NOW:
+        row = loads.run_cycle(trades, state, sink, job, clock=lambda: moment, most_windows=most_windows)
+        moment = CYCLES_NOW
+    return _logged(spark, state, sink)
+
+
+def _logged(spark: SparkSession, state: CollectorState, sink: FileSink) -> DataFrame:
+    """The log of a collector, and what it sent in each cycle."""
     key = F.split("key", ":")
     sent = (
         topic.read_topic(spark, sink.path, TRADES_TOPIC)
@@ -516,6 +541,59 @@ def collector_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def collector_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job itself over the whole table: an initial load at the first midnight,
+    then cycles of five days. The log it keeps, and what it sent in each cycle."""
+    return _collected(spark, _trades(spark, sf_dir))
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> loads.Landed:
+    """All trades landed as responses of 500 rows in eight files, three per micro-batch."""
+    landing = scratch(spark, "landing")
+    responses = views.trade_responses(_trades(spark, sf_dir), 500)
+    responses.repartition(8).write.text(f"{landing}/stock/shares/trades")
+    stream = {"layout": "line", "streaming": True, "faults": True, "maxFilesPerTrigger": "3"}
+    return loads.Landed(
+        spark,
+        TradeArchive(scratch(spark, "archive"), width=24),
+        lambda: envelope.list_trades(spark, landing, **stream),
+    )
+
+
+def _archived(spark: SparkSession, sf_dir: str) -> TradeArchive:
+    landed = _landed(spark, sf_dir)
+    landed.archive.absorb(landed.stream(), Settings())
+    return landed.archive
+
+
+@query
+def archive_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trades of a range from the hours of the archive."""
+    found = _archived(spark, sf_dir).window(spark, START, TILL)
+    return _shown(found).drop("is_defaulted")
+
+
+@query
+def archive_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _archived(spark, sf_dir).latest(spark)
+    return _shown(found).drop("is_defaulted")
+
+
+@query
+def archive_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page located by the counts that were kept."""
+    found = _archived(spark, sf_dir).page(spark, limit=2000, start=3000)
+    return _shown(found).drop("is_defaulted")
+
+
+@query
+def archive_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``collector_cycles`` from landed responses, each decoded once; the windows are taken
+    together where that can be, and what is read are the folders that they touch."""
+    return _collected(spark, _landed(spark, sf_dir), most_windows=501)
+
+
 @query
 def collector_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A loaded topic after a second start with a state of its own: how often each

@@ -5,20 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import suppress
-from dataclasses import replace
-from datetime import datetime
+from dataclasses import dataclass, replace
+from datetime import datetime, timedelta
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.operators.cycles import next_till
+from tickweave.operators.cycles import in_windows, next_till, whole_windows
 from tickweave.operators.dedup import dedup_trades, filter_new_trades, mark_batch
 from tickweave.operators.selection import (
     distinct_securities,
     filter_symbols,
     filter_time_range,
 )
+from tickweave.plans.archive import TradeArchive, refuse
 from tickweave.plans.state import CollectorState
 from tickweave.settings import FAIL, Settings
 from tickweave.sinks.messages import FileSink, KafkaSink, sink_securities, sink_trades
@@ -83,7 +84,7 @@ def commit_cycle(
         accepted = state.write_accepted(fresh, version)
         sent = side.submit(here(sink_trades), accepted, sink, cycle["started"], version)
         buckets = state.buckets(accepted)
-        held = state.read_seen(spark, version - 1, buckets)
+        held = state.read_seen(spark, version - 1, buckets, settings.seen_cap is None)
         marked = mark_batch(held, accepted, settings.seen_cap)
         kept = side.submit(here(state.write_seen), marked, version, buckets)
         collected = accepted.count()
@@ -103,10 +104,6 @@ def commit_cycle(
     return row
 
 
-class UnreadableInput(RuntimeError):
-    """Responses, or numbers in them, that a cycle must not pass over."""
-
-
 def set_faults_aside(
     state: CollectorState, decoded: DataFrame, version: int, settings: Settings
 ) -> DataFrame:
@@ -118,15 +115,32 @@ def set_faults_aside(
     if "fault" not in decoded.columns:
         return decoded
     faults = decoded.filter(F.col("fault").isNotNull()).select("file", "fault", "sent")
-    first = faults.limit(5).collect()
-    if first and settings.on_fault == FAIL:
-        named = "; ".join(f"{row.fault} in {row.file}" for row in first)
-        raise UnreadableInput(f"{faults.count()} unreadable, such as: {named}")
-    if first:
+    if settings.on_fault == FAIL:
+        refuse(faults)
+    elif not faults.isEmpty():
         state.write_quarantine(faults, version)
     return sound(decoded)
 
 
+@dataclass(frozen=True)
+class Landed:
+    """What a cycle fetches from: landed responses, of which those that are new go to an
+    archive first, and the window is read from there."""
+
+    spark: SparkSession
+    archive: TradeArchive
+    stream: Callable[[], DataFrame]  # rows of ``decode_all_trades``, as a stream
+
+    def window(
+        self, state: CollectorState, version: int, start: datetime, till: datetime, settings: Settings
+    ) -> DataFrame:
+        taken = self.archive.absorb(self.stream(), settings)
+        faults = self.archive.faults(self.spark, taken).drop("batch")
+        if taken and not faults.isEmpty():
+            state.write_quarantine(faults, version)
+        return self.archive.window(self.spark, start, till)
+
+
 def failed(state: CollectorState, spark: SparkSession, cycle: dict) -> None:
     """Log a failed cycle. Called while its error is on its way, which must not be
     hidden by the log's own."""
@@ -135,34 +149,48 @@ def failed(state: CollectorState, spark: SparkSession, cycle: dict) -> None:
 
 
 def run_cycle(
-    trades: DataFrame,
+    trades: DataFrame | Landed,
     state: CollectorState,
     sink: FileSink | KafkaSink,
     settings: Settings,
     clock: Callable[[], datetime] = datetime.now,
     dedupe: bool = True,
+    most_windows: int = 1,
 ) -> dict | None:
-    """One tick of the collector over a table of trades.
+    """One tick of the collector over a table of trades, or over landed responses.
+
+    After a gap a tick may take up to ``most_windows`` windows as one job, which sends
+    and logs what as many ticks would; with ``dedupe=False`` it takes one.
 
-    Returns the row it added to the cycle log, or None when it is switched
+    Of landed responses only new ones are decoded, and only the hours of the window are
+    read; of the seen-set only the buckets of the instruments that traded in it. So what
+    a tick reads does not grow with the history.
+
+    Returns the last row it added to the cycle log, or None when it is switched
     off. A failure is logged and raised; the cursor stays where it was, and the
     next tick does the same window again.
     """
     if not settings.enabled:
         return None
-    spark = trades.sparkSession
+    spark = trades.spark if isinstance(trades, Landed) else trades.sparkSession
     started = clock()
     cursor = state.read_cursor(spark, started)
     initial = not cursor["initial_load_complete"]
-    till = started
+    till, windows = started, 1
     if not initial:
-        till = next_till(cursor["last_trade_time"], started, settings.catch_up_minutes)
+        start, minutes = cursor["last_trade_time"], settings.catch_up_minutes
+        till = next_till(start, started, minutes)
+        behind = min(whole_windows(start, started, minutes), most_windows if dedupe else 1)
+        if behind > 1 and (windows := state.most_windows(cursor["version"] + 1, behind)) > 1:
+            till = start + timedelta(minutes=windows * minutes)
     own, plan = state.begin(
         spark,
         cursor["version"] + 1,
         "initial" if initial else "incremental",
         cursor["last_trade_time"],
         till,
+        windows,
+        settings.catch_up_minutes,
     )
     start, till = plan["start"], plan["till"]
     cycle = {
@@ -172,30 +200,97 @@ def run_cycle(
         "till": till,
     }
     try:
-        seen = own.read_seen(spark, cursor["version"])
         symbols = settings.selection()
-        fetched = set_faults_aside(own, trades, plan["version"], settings)
+        if isinstance(trades, Landed):
+            fetched = trades.window(own, plan["version"], start, till, settings)
+        else:
+            fetched = set_faults_aside(own, trades, plan["version"], settings)
         wanted = filter_time_range(filter_symbols(fetched, symbols), start, till)
         fresh = dedup_trades(wanted) if dedupe else wanted
         if not initial:
+            bits = settings.seen_cap is None
+            seen = own.read_seen(spark, cursor["version"], own.buckets(wanted), bits)
             fresh = filter_new_trades(fresh, seen)
-        row = commit_cycle(own, sink, wanted.count, fresh, cycle, settings, clock)
+        if (plan["windows"] or 1) > 1:
+            rows = _commit_windows(own, sink, wanted, fresh, cycle, plan, settings, clock)
+        else:
+            rows = [commit_cycle(own, sink, wanted.count, fresh, cycle, settings, clock)]
     except Exception:
         failed(own, spark, {**cycle, "run_id": settings.run_id, "ended": clock()})
         raise
-    gained = initial or row["collected"] > 0
     own.write_cursor(
         spark,
         {
-            "version": cycle["cycle"],
+            "version": rows[-1]["cycle"],
             "last_trade_time": till,
             "initial_load_complete": True,
-            "total_trades_collected": cursor["total_trades_collected"] + row["collected"],
-            "total_cycles_completed": cursor["total_cycles_completed"] + int(gained),
-            "last_update_time": row["ended"],
+            "total_trades_collected": cursor["total_trades_collected"] + sum(r["collected"] for r in rows),
+            "total_cycles_completed": cursor["total_cycles_completed"]
+            + sum(initial or r["collected"] > 0 for r in rows),
+            "last_update_time": rows[-1]["ended"],
         },
     )
-    return row
+    return rows[-1]
+
+
+def _commit_windows(
+    state: CollectorState,
+    sink: FileSink | KafkaSink,
+    wanted: DataFrame,
+    fresh: DataFrame,
+    cycle: dict,
+    plan: dict,
+    settings: Settings,
+    clock: Callable[[], datetime],
+) -> list[dict]:
+    """Several windows as one job and one commit: the rows they add to the cycle log.
+
+    ``fresh`` holds one row per new key, its earliest; the earliest window it lies in
+    collects it, as it would if the windows came one by one. Every window has its own
+    messages and its own row in the log. The seen-set takes the numbers of all windows at
+    once, so a number pushed out by the cap between two of them is not sent again.
+    """
+    spark, first, n = fresh.sparkSession, plan["version"], plan["windows"]
+    version = first + n - 1
+    sink = replace(sink, generation=state.generation or sink.generation)
+    here = inheritable_thread_target(spark)
+
+    def per_window(trades: DataFrame, ids: Column) -> dict[int, int]:
+        counted = trades.select(F.explode(ids).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+        return {row.w: row.n for row in counted.collect()}  # as many as windows
+
+    with ThreadPoolExecutor(2) as side:
+        placed = in_windows(wanted.select("trade_ts"), plan["start"], n - 1, plan["minutes"])
+        counted = side.submit(here(per_window), placed, F.col("window_ids"))
+        placed = in_windows(fresh, plan["start"], n - 1, plan["minutes"])
+        accepted = state.write_accepted(placed, version)
+        number = F.col("window_ids")[0]
+        sent = side.submit(here(sink_trades), accepted, sink, cycle["started"], number + first)
+        buckets = state.buckets(accepted)
+        held = state.read_seen(spark, first - 1, buckets, settings.seen_cap is None)
+        marked = mark_batch(held, accepted, settings.seen_cap)
+        kept = side.submit(here(state.write_seen), marked, version, buckets, first - 1)
+        collected = per_window(accepted, F.array(number))
+        for step in (sent, kept):
+            step.result()
+        fetched = counted.result()
+    ended = clock()
+    rows = [
+        {
+            **cycle,
+            "cycle": first + i,
+            "till": plan["start"] + timedelta(minutes=(i + 1) * plan["minutes"]),
+            "run_id": settings.run_id,
+            "ended": ended,
+            "collected": collected.get(i, 0),
+            "duplicates": fetched.get(i, 0) - collected.get(i, 0),
+            "api_calls": fetched.get(i, 0) // settings.page_size + 1,
+            "status": "ok",
+        }
+        for i in range(n)
+    ]
+    state.write_cycle(spark, *rows)
+    return rows
 
 
 def load_instruments(securities: DataFrame, sink: FileSink | KafkaSink) -> DataFrame:

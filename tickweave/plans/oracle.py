@@ -157,7 +157,28 @@ UPTIME = """CAST(floor((epoch_us(TIMESTAMP '2024-02-01 08:15:30.25')
   - epoch_us(min(started))) / 1000000.0) AS BIGINT) AS uptime_seconds"""
 
 
+# Trades as responses bring them, with times of whole seconds.
+LANDED = (
+    TRADES.replace("trades AS", "exact AS", 1)
+    + """, trades AS (
+  SELECT * REPLACE (date_trunc('second', trade_ts) AS trade_ts) FROM exact)"""
+)
+
+
 def oracle_sql() -> dict[str, str]:
+    named = _plain_sql()
+    for landed, plain in {
+        "archive_window": "filter_time_range",
+        "archive_latest": "latest_trades",
+        "archive_page": "trades_page",
+        "archive_cycles": "collector_cycles",
+    }.items():
+        named[landed] = named[plain].replace(TRADES, LANDED, 1)
+    named["filter_unseen"] = named["filter_new_trades"]
+    return named
+
+
+def _plain_sql() -> dict[str, str]:
     shown_range = f"WITH {TRADES} SELECT {SHOWN} FROM trades WHERE {RANGE}"
     return {
         "read_envelope": """
@@ -370,6 +391,9 @@ def oracle_sql() -> dict[str, str]:
               SELECT *, row_number() OVER (PARTITION BY secid ORDER BY tradeno DESC) AS r
               FROM merged)
             WHERE r <= 10000""",
+        "mark_bitmaps": f"WITH {LINES} SELECT DISTINCT secid, tradeno FROM lines",
+        "bitmap_counts": f"""WITH {LINES}
+            SELECT secid, count(DISTINCT tradeno) AS held FROM lines GROUP BY secid""",
         "cursor_state": f"""WITH {TRADES}, {CYCLES}
             SELECT run_id, {CURSOR_COLUMNS} FROM cycles GROUP BY run_id""",
         "cursor_advance": f"""WITH {TRADES}, {CYCLES}, state AS (

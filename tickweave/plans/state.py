@@ -31,7 +31,8 @@ from pyspark.sql import types as T
 
 from tickweave.functions.scalars import ntz
 from tickweave.operators.cursor import default_cursor
-from tickweave.schemas import CURSOR, CYCLE, SEEN
+from tickweave.operators.dedup import bitmap_keys, seen_bitmaps
+from tickweave.schemas import CURSOR, CYCLE, SEEN, SEEN_BITS
 
 VERSIONED = {
     name: T.StructType([*table.fields, T.StructField("version", T.LongType())])
@@ -47,6 +48,8 @@ PLAN = T.StructType(
         T.StructField("kind", T.StringType()),
         T.StructField("start", T.TimestampNTZType()),
         T.StructField("till", T.TimestampNTZType()),
+        T.StructField("windows", T.LongType()),  # that it covers, one cycle each
+        T.StructField("minutes", T.LongType()),  # of each, where there are several
     ]
 )
 
@@ -57,8 +60,10 @@ PLACES = T.StructType(
         T.StructField("bucket", T.IntegerType()),
         T.StructField("slot", T.IntegerType()),
         T.StructField("version", T.LongType()),
+        T.StructField("form", T.StringType()),  # rows, also where it is missing, or bits
     ]
 )
+FOLDERS = {"rows": "seen", "bits": "seen-bits"}
 
 CURSOR_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -135,7 +140,7 @@ class CollectorState:
 
     def read_plan(self, spark: SparkSession) -> dict | None:
         """The plan of the newest cycle that was begun."""
-        found = self._rows(spark, f"{self.root}/plan", PLAN, may_lack=("start", "till"))
+        found = self._rows(spark, f"{self.root}/plan", PLAN, may_lack=("start", "till", "windows", "minutes"))
         return max(found, key=lambda row: row["seq"], default=None)
 
     def begin(
@@ -145,9 +150,12 @@ class CollectorState:
         kind: str,
         start: datetime | None = None,
         till: datetime | None = None,
+        windows: int = 1,
+        minutes: int | None = None,
     ) -> tuple[CollectorState, dict]:
-        """Write the plan of a cycle down, or find the one its first attempt left;
-        return the state of its generation, and the plan."""
+        """Write the plan of a cycle, or of several from ``version`` on, down, or find
+        the one its first attempt left; return the state of its generation, and the
+        plan."""
         last = self.read_plan(spark)
         fresh = last is None or (version == 0 and last["version"] > 0)
         if not fresh and last["version"] == version:
@@ -159,6 +167,8 @@ class CollectorState:
             "kind": kind,
             "start": start,
             "till": till,
+            "windows": windows,
+            "minutes": minutes,
         }
         (
             one_row(spark, PLAN, plan)
@@ -168,62 +178,83 @@ class CollectorState:
         )
         return replace(self, generation=plan["generation"]), plan
 
-    def _places(self, spark: SparkSession, version: int) -> dict[int, int]:
-        """In which slot each bucket of the seen-set lies after cycle ``version``."""
+    def _places(self, spark: SparkSession, version: int) -> dict[int, tuple[int, str]]:
+        """In which slot, and which form, each bucket of the seen-set lies after cycle
+        ``version``."""
         if version < 0:
             return {}
         held = spark.read.schema(PLACES).json(self._slot(spark, "seen-places", version))
         rows = held.collect()  # one row per bucket, and one for the version
         if any(row.version != version for row in rows) or not rows:
             raise RuntimeError(f"seen below {self.root} is not of cycle {version}")
-        return {row.bucket: row.slot for row in rows if row.bucket >= 0}
+        return {row.bucket: (row.slot, row.form or "rows") for row in rows if row.bucket >= 0}
 
     def read_seen(
-        self, spark: SparkSession, version: int, buckets: Collection[int] | None = None
+        self,
+        spark: SparkSession,
+        version: int,
+        buckets: Collection[int] | None = None,
+        bits: bool = False,
     ) -> DataFrame:
-        """The seen-set as cycle ``version`` left it, or some buckets of it; before
-        cycle 0 it is empty."""
-        paths = [
-            f"{self._home(spark)}/seen/bucket={bucket}/slot={slot}"
-            for bucket, slot in self._places(spark, version).items()
-            if buckets is None or bucket in buckets
-        ]
-        if not paths:
-            return spark.createDataFrame([], SEEN)
-        return spark.read.schema(SEEN).parquet(*paths)
+        """The seen-set as cycle ``version`` left it, or some buckets of it, as rows or as
+        bitmaps; before cycle 0 it is empty."""
+        paths: dict[str, list[str]] = {form: [] for form in FOLDERS}
+        for bucket, (slot, form) in self._places(spark, version).items():
+            if buckets is None or bucket in buckets:
+                place = f"{FOLDERS[form]}/bucket={bucket}/slot={slot}"
+                paths[form].append(f"{self._home(spark)}/{place}")
+        rows = spark.createDataFrame([], SEEN)
+        if paths["rows"]:
+            rows = spark.read.schema(SEEN).parquet(*paths["rows"])
+        held = spark.createDataFrame([], SEEN_BITS)
+        if paths["bits"]:
+            held = spark.read.schema(SEEN_BITS).parquet(*paths["bits"])
+        if bits:
+            return held if not paths["rows"] else held.unionByName(seen_bitmaps(rows))
+        return rows if not paths["bits"] else rows.unionByName(bitmap_keys(held))
 
     def buckets(self, keys: DataFrame) -> list[int]:
         """The buckets that hold the instruments of ``keys``."""
         return [row.bucket for row in keys.select(_bucket()).distinct().collect()]
 
     def write_seen(
-        self, seen: DataFrame, version: int, buckets: Collection[int] | None = None
+        self,
+        seen: DataFrame,
+        version: int,
+        buckets: Collection[int] | None = None,
+        before: int | None = None,
     ) -> None:
-        """Replace the seen-set, or the named buckets of it and no others.
+        """Replace the seen-set, rows or bitmaps, or the named buckets of it and no others,
+        as it was after cycle ``before``, the one before this version unless several are
+        done at once.
 
         Each goes to the slot it does not lie in, so the set of the cycle before
         stays readable until this one is done.
         """
         spark = seen.sparkSession
-        places = {} if buckets is None else self._places(spark, version - 1)
+        form = "bits" if "bits" in seen.columns else "rows"
+        before = version - 1 if before is None else before
+        places = {} if buckets is None else self._places(spark, before)
         if buckets is None:
             buckets = self.buckets(seen)
             with suppress(RuntimeError, AnalysisException):
-                old = self._places(spark, version - 1)
-                places = {bucket: slot for bucket, slot in old.items() if bucket in buckets}
-        places |= {bucket: 1 - places.get(bucket, 1) for bucket in buckets}
-        slots = F.array(*(F.lit(places.get(bucket, 0)) for bucket in range(BUCKETS)))
+                old = self._places(spark, before)
+                places = {bucket: place for bucket, place in old.items() if bucket in buckets}
+        places |= {bucket: (1 - places.get(bucket, (1, form))[0], form) for bucket in buckets}
+        slots = F.array(*(F.lit(places.get(bucket, (0, form))[0]) for bucket in range(BUCKETS)))
         if buckets:
             (
-                seen.select("secid", "tradeno", _bucket())
+                seen.withColumn("bucket", _bucket())
                 .withColumn("slot", slots[F.col("bucket")])
                 .hint("rebalance", "bucket")
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
+                .option("compression", "zstd")
                 .partitionBy("bucket", "slot")
-                .parquet(f"{self._home(spark)}/seen")
+                .parquet(f"{self._home(spark)}/{FOLDERS[form]}")
             )
-        rows = [(bucket, slot, version) for bucket, slot in [(-1, 0), *places.items()]]
+        rows = [(-1, 0, version, form)]
+        rows += [(bucket, slot, version, kind) for bucket, (slot, kind) in places.items()]
         (
             spark.createDataFrame(rows, PLACES)
             .coalesce(1)
@@ -279,17 +310,26 @@ class CollectorState:
             .json(path)
         )
 
-    def write_cycle(self, spark: SparkSession, cycle: dict) -> None:
-        """Add a cycle to the open block of the log; a full block is closed."""
-        version = cycle["cycle"]
-        block, place = divmod(version, self.log_block)
-        rows = one_row(spark, CYCLE, cycle)
+    def most_windows(self, version: int, windows: int) -> int:
+        """How many cycles from ``version`` on can be committed as one: an odd number, as
+        tables change slots with every commit, within one block of the log."""
+        left = min(windows, self.log_block - version % self.log_block)
+        return max(left - (left + 1) % 2, 1)
+
+    def write_cycle(self, spark: SparkSession, *cycles: dict) -> None:
+        """Add a cycle, or several of one commit, to the open block of the log; a full
+        block is closed."""
+        first, version = cycles[0]["cycle"], cycles[-1]["cycle"]
+        block, place = divmod(first, self.log_block)
+        rows = one_row(spark, CYCLE, cycles[0])
+        if len(cycles) > 1:
+            rows = spark.createDataFrame([[c.get(n) for n in CYCLE.names] for c in cycles], CYCLE)
         if place:
-            rows = self._read(spark, "log", version - 1).unionByName(rows)
-        if version == 0:  # the other slot may be left from before a lost cursor
+            rows = self._read(spark, "log", first - 1).unionByName(rows)
+        if first == 0:  # the other slot may be left from before a lost cursor
             self._write(rows.limit(0), "log", 1)
         self._write(rows.coalesce(1), "log", version)
-        if place == self.log_block - 1:
+        if version % self.log_block == self.log_block - 1:
             closed = self._read(spark, "log", version).coalesce(1)
             closed.write.mode("overwrite").parquet(f"{self._home(spark)}/cycles/block={block}")
 

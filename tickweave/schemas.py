@@ -64,6 +64,15 @@ SEEN = T.StructType(
     ]
 )
 
+# The same without a cap: a bitmap for each run of 32,768 numbers.
+SEEN_BITS = T.StructType(
+    [
+        T.StructField("secid", T.StringType()),
+        T.StructField("cell", T.LongType()),
+        T.StructField("bits", T.BinaryType()),
+    ]
+)
+
 CURSOR = T.StructType(
     [
         T.StructField("last_trade_time", T.TimestampNTZType()),

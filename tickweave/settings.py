@@ -41,15 +41,18 @@ class Settings:
         return None if self.mode == ALL else list(self.symbols)
 
 
-# The group-limit threshold lets the bounded seen-set prune rows before its
-# shuffles, and skew handling splits one hot (secid, tradeno) key of the
-# anti-join over several tasks. A repeated field name in a response counts
-# where it stands last, instead of making the text unreadable.
+# Skew handling splits one hot (secid, tradeno) key of the anti-join over several
+# tasks. A repeated field name in a response counts where it stands last, instead
+# of making the text unreadable. Streams keep their state in RocksDB, outside of
+# the heap, and write down what changed and not the whole of it.
 TUNING = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.optimizer.windowGroupLimitThreshold": str(SEEN_CAP),
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

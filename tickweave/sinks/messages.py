@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
@@ -13,12 +14,16 @@ from tickweave.settings import INSTRUMENTS_TOPIC, TOPIC_PARTITIONS, TRADES_TOPIC
 
 
 def trade_messages(
-    trades: DataFrame, ingest_ts: datetime | None = None, topic: str = TRADES_TOPIC
+    trades: DataFrame,
+    ingest_ts: datetime | None = None,
+    topic: str = TRADES_TOPIC,
+    extra: Sequence[Column] = (),
 ) -> DataFrame:
     return trades.select(
         F.lit(topic).alias("topic"),
         message_key().alias("key"),
         trade_json(ingest_ts).alias("value"),
+        *extra,
     )
 
 
@@ -61,11 +66,21 @@ class FileSink:
 
     def write(self, messages: DataFrame, batch_id: int = 0) -> None:
         """Without a single ``topic`` the folders of all topics that the messages
-        name are replaced."""
+        name are replaced. Messages with a ``batch_id`` of their own replace the
+        folders of the batches that they name."""
         count = F.lit(1)
         for topic, n in self.partitions.items():
             count = F.when(F.col("topic") == topic, F.lit(n)).otherwise(count)
         dealt = messages.withColumn("partition", key_partition(F.col("key"), count))
+        if "batch_id" in messages.columns:
+            (
+                dealt.withColumn("generation", F.lit(self.generation))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("topic", "generation", "batch_id")
+                .parquet(self.path)
+            )
+            return
         if self.topic is not None:
             place = f"topic={self.topic}/generation={self.generation}/batch_id={batch_id}"
             (
@@ -116,8 +131,13 @@ def sink_trades(
     trades: DataFrame,
     sink: FileSink | KafkaSink,
     ingest_ts: datetime | None = None,
-    batch_id: int = 0,
+    batch_id: int | Column = 0,
 ) -> None:
+    """Send trades as one batch, or each with the batch that a column names."""
+    if isinstance(batch_id, Column):
+        named = batch_id.cast("bigint").alias("batch_id")
+        sink.to(TRADES_TOPIC).write(trade_messages(trades, ingest_ts, extra=(named,)))
+        return
     sink.to(TRADES_TOPIC).write(trade_messages(trades, ingest_ts), batch_id)
 
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import datetime
 
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,7 +61,8 @@ def _collect(
     spark, batch_id = batch.sparkSession, cycle["cycle"]
     staged = state.stage_fetched(batch, batch_id)
     fetched = set_faults_aside(state, staged, batch_id, settings)
-    seen = state.read_seen(spark, batch_id - 1, state.buckets(fetched))
+    bits = settings.seen_cap is None
+    seen = state.read_seen(spark, batch_id - 1, state.buckets(fetched), bits)
     fresh = dedup_trades(fetched) if dedupe else fetched
     summary = fetched.agg(
         F.count(F.lit(1)).alias("n"), F.max("trade_ts").alias("newest")
@@ -146,8 +149,16 @@ def keep_collecting(
         time.sleep(pause)
 
 
+def _once_a_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of each key in every batch of rows, without any state."""
+    for batch in batches:
+        keys = pa.table({"s": batch.column("secid"), "n": batch.column("tradeno"), "at": np.arange(batch.num_rows)})
+        first = keys.group_by(["s", "n"], use_threads=False).aggregate([("at", "min")])["at_min"]
+        yield batch.take(np.sort(first.to_numpy()))
+
+
 def dedup_stream(
-    trades: DataFrame, delay: str = "30 days", slices: int = 16
+    trades: DataFrame, delay: str = "30 days", slices: int | None = None
 ) -> DataFrame:
     """First arrival per key; a key is forgotten ``delay`` after it arrived.
 
@@ -157,13 +168,17 @@ def dedup_stream(
     is delivered again.
 
     A streaming de-duplication moves every row to the task of its key. So that
-    a key which repeats without end does not meet one task, its copies are
-    first reduced per slice of the input, then per key. ``slices=1`` saves the
-    first step and its state where keys repeat little.
+    a key which repeats without end does not meet one task, its copies are first
+    reduced inside each task, a batch of rows at a time, which needs no state: each key
+    is kept once, in RocksDB with the settings of ``tune``. With ``slices`` copies are
+    reduced per slice of the input as well, across batches, and each slice keeps the
+    keys that it saw; ``slices=1`` reduces nothing before the shuffle.
     """
+    if slices is None:
+        trades = trades.mapInArrow(_once_a_batch, trades.schema)
     timed = trades.withColumn("_arrived", F.current_timestamp())
     first = timed.withWatermark("_arrived", delay)
-    if slices > 1:
+    if slices is not None and slices > 1:
         part = F.pmod(F.spark_partition_id(), F.lit(slices))
         first = (
             first.withColumn("_slice", part)
