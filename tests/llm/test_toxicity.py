@@ -1,6 +1,7 @@
 """Held-out accuracy, segments against all segments, odd rows."""
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -70,3 +71,17 @@ def test_passages(spark):
     rows = {r.row.doc_id: r for r in toxicity.judge(docs, model).collect()}
     assert [p.passage for p in rows[1].passages] == ["idiot and moronic idiot"] and rows[2].passages == []
     assert rows[1].score > 0.99 and rows[2].score < 0.01
+
+
+def test_segments_of_many_hits_take_linear_time():
+    """Separated hits, each starting lower than the one before, and hits that all join."""
+
+    def seconds(pattern, n):
+        began = time.perf_counter()
+        found = toxicity.segments(np.tile(pattern, n))
+        return time.perf_counter() - began, len(found)
+
+    for pattern, segments in (([1.0] + [-0.1] * 20, 1), ([1.0, -0.5], 0), ([0.5, -0.1, 0.7, -3.0], 1)):
+        took, found = seconds(pattern, 100_000)
+        assert found == (100_000 if segments else 1) and took < 5
+        assert took < 40 * max(seconds(pattern, 10_000)[0], 0.01)

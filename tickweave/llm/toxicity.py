@@ -80,20 +80,23 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
     Words between two positive ones are one step, as no segment ends among them.
     """
-    found: list[list] = []  # first, last, sum before first, sum up to last
+    found: list[list] = []  # first, last, sum before first, sum up to last, lower
     sums = np.cumsum(scores)
     for at in np.flatnonzero(scores > 0).tolist():
-        new = [at, at, sums[at - 1] if at else 0.0, sums[at]]
+        first, before, upto = at, sums[at - 1] if at else 0.0, sums[at]
+        lower = len(found) - 1
         while True:
-            j = len(found) - 1
-            while j >= 0 and found[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or found[j][3] >= new[3]:
-                found.append(new)
+            # The nearest segment that starts from a lower sum. Each one knows its own,
+            # and all between the two start higher, so none is looked at twice.
+            while lower >= 0 and found[lower][2] >= before:
+                lower = found[lower][4]
+            if lower < 0 or found[lower][3] >= upto:
+                found.append([first, at, before, upto, lower])
                 break
-            new = [found[j][0], new[1], found[j][2], new[3]]
-            del found[j:]
-    return [(first, last, float(upto - before)) for first, last, before, upto in found]
+            first, _, before, _, next_lower = found[lower]
+            del found[lower:]
+            lower = next_lower
+    return [(first, last, float(upto - before)) for first, last, before, upto, _ in found]
 
 
 def evidence(model: Model, found: list[tuple[int, int, float]], n: int) -> float:
