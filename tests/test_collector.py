@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tickweave import job
 from tickweave.operators import cycles
 from tickweave.plans import loads, views
-from tickweave.plans.state import CollectorState
+from tickweave.plans.state import CollectorState, Superseded
 from tickweave.settings import ALL, SPECIFIC, TRADES_TOPIC, Settings
 from tickweave.sinks.messages import (
     FileSink,
@@ -698,3 +698,37 @@ def test_a_stream_keeps_each_key_once_in_rocksdb(spark, tmp_path):
     assert all(p["stateOperators"][0]["customMetrics"]["numDroppedDuplicateRows"] < 21_000 for p in query.recentProgress)
     delta = list((tmp_path / "checkpoint" / "state").rglob("*.changelog"))
     assert delta
+
+
+def test_a_second_collector_takes_the_state_over(spark, tmp_path):
+    trades = spark.createDataFrame(day_of_trades(2, 60), SCHEMA)
+    root, job = str(tmp_path / "state"), Settings(mode=ALL)
+    sink = FileSink(str(tmp_path / "topic"))
+    first = CollectorState(root).claim(spark)
+    loads.run_cycle(trades, first, sink, job, Clock(60))
+    second = CollectorState(root).claim(spark)
+    assert second.epoch == first.epoch + 1
+    with pytest.raises(Superseded):
+        loads.run_cycle(trades, first, sink, job, Clock(300))
+    assert first.read_cursor(spark, OPEN)["version"] == 0
+    assert loads.run_cycle(trades, second, sink, job, Clock(300))["cycle"] == 1
+    assert cycles.error_count(second.read_cycles(spark)).first().total_errors == 0
+
+
+def test_a_cycle_under_way_does_not_commit_once_superseded(spark, tmp_path):
+    trades = spark.createDataFrame(day_of_trades(2, 60), SCHEMA)
+    root, job = str(tmp_path / "state"), Settings(mode=ALL)
+    claims = []
+
+    class Overtaken(FileSink):
+        def write(self, messages, batch_id=0):
+            super().write(messages, batch_id)
+            claims.append(CollectorState(root).claim(spark))
+
+    first = CollectorState(root).claim(spark)
+    with pytest.raises(Superseded):
+        loads.run_cycle(trades, first, Overtaken(str(tmp_path / "topic")), job, Clock(60))
+    assert first.read_cursor(spark, OPEN)["version"] == -1
+    row = loads.run_cycle(trades, claims[0], FileSink(str(tmp_path / "topic")), job, Clock(900))
+    assert row["cycle"] == 0 and row["till"] == OPEN + timedelta(seconds=60)
+    assert max(sent_keys(spark, tmp_path / "topic").values()) == 1

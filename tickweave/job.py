@@ -106,6 +106,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         return
     if not settings.enabled:
         return
+    state = state.claim(spark)
     sink = FileSink(given.topics) if given.topics else KafkaSink(given.servers)
     place = (spark, given.landing, given.engine, given.market, given.layout)
     if settings.mode == ALL:

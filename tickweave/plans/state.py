@@ -82,6 +82,10 @@ def _bucket() -> Column:
     return F.pmod(F.hash("secid"), F.lit(BUCKETS)).alias("bucket")
 
 
+class Superseded(RuntimeError):
+    """Another collector has claimed the state since."""
+
+
 @dataclass(frozen=True)
 class CollectorState:
     """The tables below ``root``: those of one ``generation``, or of the newest."""
@@ -89,6 +93,36 @@ class CollectorState:
     root: str
     log_block: int = 1000  # cycles per file of the closed log
     generation: str | None = None
+    epoch: int | None = None  # of the claim; None is neither fenced nor fences
+
+    def _epochs(self, spark: SparkSession):
+        """The claims made so far, their folder, and its file system."""
+        home = spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/owners")
+        files = home.getFileSystem(spark._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in files.listStatus(home)] if files.exists(home) else []
+        return [int(name[len("epoch=") :]) for name in names if name.startswith("epoch=")], home, files
+
+    def claim(self, spark: SparkSession) -> CollectorState:
+        """This state for one collector alone: whoever claimed it before can begin and
+        commit no cycle any more.
+
+        A claim is a file that the file system creates for one of several at once; the
+        others take the next number, and the highest holds. A cycle that the one before
+        had begun is done again by its plan, as after any failure.
+        """
+        while True:
+            epochs, home, files = self._epochs(spark)
+            epoch = max(epochs, default=-1) + 1
+            path = spark._jvm.org.apache.hadoop.fs.Path(home, f"epoch={epoch}")
+            if files.createNewFile(path):
+                return replace(self, epoch=epoch)
+
+    def hold(self, spark: SparkSession) -> None:
+        """Raise if another collector has claimed the state since."""
+        if self.epoch is not None:
+            newest = max(self._epochs(spark)[0], default=self.epoch)
+            if newest > self.epoch:
+                raise Superseded(f"{self.root} was claimed again: {newest} after {self.epoch}")
 
     def _home(self, spark: SparkSession) -> str:
         generation = self.generation
@@ -156,6 +190,7 @@ class CollectorState:
         """Write the plan of a cycle, or of several from ``version`` on, down, or find
         the one its first attempt left; return the state of its generation, and the
         plan."""
+        self.hold(spark)
         last = self.read_plan(spark)
         fresh = last is None or (version == 0 and last["version"] > 0)
         if not fresh and last["version"] == version:
@@ -264,6 +299,7 @@ class CollectorState:
 
     def write_accepted(self, fresh: DataFrame, version: int) -> DataFrame:
         """The new trades of a cycle written down, so they are computed once."""
+        self.hold(fresh.sparkSession)
         return self._keep(fresh, "accepted", version)
 
     def stage_fetched(self, fetched: DataFrame, version: int) -> DataFrame:
@@ -302,6 +338,7 @@ class CollectorState:
         return {"version": -1, **spark.range(1).select(*columns).first().asDict()}
 
     def write_cursor(self, spark: SparkSession, cursor: dict) -> None:
+        self.hold(spark)
         path = f"{self._cursors(spark)}/slot={cursor['version'] % 2}"
         (
             one_row(spark, VERSIONED_CURSOR, cursor)
@@ -319,6 +356,7 @@ class CollectorState:
     def write_cycle(self, spark: SparkSession, *cycles: dict) -> None:
         """Add a cycle, or several of one commit, to the open block of the log; a full
         block is closed."""
+        self.hold(spark)
         first, version = cycles[0]["cycle"], cycles[-1]["cycle"]
         block, place = divmod(first, self.log_block)
         rows = one_row(spark, CYCLE, cycles[0])
