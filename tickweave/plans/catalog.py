@@ -123,6 +123,14 @@ def decode_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(envelope.decode_trades(_envelopes(responses)))
 
 
+@query
+def decode_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long responses, a file each, read by byte ranges."""
+    landing = scratch(spark, "landing")
+    views.trade_responses(_trades(spark, sf_dir), 50_000).write.option("lineSep", " ").text(landing)
+    return _shown(envelope.decode_trades(envelope.read_envelope(spark, landing, layout="split")))
+
+
 @query
 def decode_securities(spark: SparkSession, sf_dir: str) -> DataFrame:
     responses = views.security_responses(_securities(spark, sf_dir))

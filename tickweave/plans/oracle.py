@@ -175,6 +175,7 @@ def oracle_sql() -> dict[str, str]:
     }.items():
         named[landed] = named[plain].replace(TRADES, LANDED, 1)
     named["filter_unseen"] = named["filter_new_trades"]
+    named["decode_split"] = named["decode_trades"]
     return named
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.schemas import PRICE, TRADE, VALUE
+from tickweave.sources.split import split_envelope
 
 # Where a column is read when the header does not name it.
 TRADE_POSITIONS = {
@@ -51,10 +52,15 @@ def read_envelope(
     """Landed responses, one per row: the ``file`` and the text, ``value``.
 
     ``layout="file"`` takes each file as one response, ``layout="line"`` each
-    line, which lets Spark split large landing files. ``options`` go to the
-    reader, such as ``maxFilesPerTrigger`` for a stream that has much to catch
-    up on.
+    line, which lets Spark split large landing files. ``layout="split"`` reads each
+    file as one response, by byte ranges, and gives its rows as several responses; not
+    for streams. ``options`` go to the reader, such as ``maxFilesPerTrigger`` for a
+    stream that has much to catch up on.
     """
+    if layout == "split":
+        if streaming:
+            raise ValueError("a stream takes responses as files or lines")
+        return split_envelope(spark, path)
     reader = spark.readStream if streaming else spark.read
     text = reader.format("text").option("wholetext", layout == "file")
     raw = text.options(**options).load(path)
