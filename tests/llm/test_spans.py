@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import re
 
 import pytest
@@ -121,3 +122,43 @@ def test_ledger_scans_unseen_pairs_only(spark):
     secrets.scan_secrets(again, path, rules=secrets.RULES[:1]).collect()
     assert [r["count"] for r in blobs()] == [3, 3]  # other rules scan all blobs
     assert secrets.read_ledger(spark, path).filter(F.size("spans") > 0).count() == 3
+
+
+def test_masks_against_plain_replacement(spark, monkeypatch):
+    """Texts of many spans, gaps across blocks, spans inside others."""
+    monkeypatch.setattr(pii, "BLOCK", 7)
+    rng = random.Random(3)
+    rows = [(i, "".join(rng.choice(PARTS + ["é\n", "x" * 20]) for _ in range(rng.randint(0, 60)))) for i in range(300)]
+    docs = spark.createDataFrame(rows + [(900, None), (901, "")], "doc_id long, text string")
+    found = {r.row.doc_id: (r.text, sorted(r.pii, key=lambda s: (s.start, s.rank))) for r in pii.find_pii(docs).collect()}
+    for row in pii.mask_pii(docs).collect():
+        text, spans = found[row.doc_id]
+        out, at = "", 0
+        for span in spans:
+            assert text[span.start : span.end] == span.value
+            if span.start >= at:
+                out += text[at : span.start] + f"[{span.kind.upper()}]"
+            at = max(at, span.end)
+        assert row.text == (None if row.doc_id == 900 else out + text[at:])
+
+
+def test_many_spans_in_one_text_take_little_more_than_their_number(spark):
+    def seconds(n, work):
+        text = " ".join(f"10.{i % 256}.{i // 256 % 256}.7 token=abcdef{i}" for i in range(n))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string").coalesce(1).cache()
+        docs.count()
+        began = time.perf_counter()
+        row = work(docs).collect()[0]
+        return time.perf_counter() - began, row
+
+    for work in (pii.pii_spans, secrets.secret_spans, pii.mask_pii):
+        seconds(2_000, work)
+        few, _ = seconds(4_000, work)
+        took, row = seconds(40_000, work)
+        assert took < 25 * max(few, 0.4)
+        if "n_ip" in row:
+            assert row.n_ip == 40_000
+        elif "n_assign" in row:
+            assert row.n_assign == 40_000
+        else:
+            assert row.text.count("[IP]") == 40_000 and row.text.endswith("[IP] token=abcdef39999")

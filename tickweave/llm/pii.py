@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.llm.common import carried, whole
-from tickweave.llm.spans import Rule, digest, propose
+from tickweave.llm.spans import Rule, bound, digest, in_chunks, propose
 
 # A run of characters is tried once, at its start or where the last match ended,
 # and never given back; so the time stays linear in a text of any shape.
@@ -30,6 +30,7 @@ SCORES = {
 }
 NEAR = 40  # code points before a span that count as its context
 RAISE = 0.3
+BLOCK = 2048  # code points of the blocks that a masked text is put together from
 LEAST = 0.5  # what the rules beyond the base ones must reach
 
 
@@ -75,9 +76,8 @@ def _confirmed(span: Column) -> Column:
     )
 
 
-def _score(text: Column, span: Column) -> Column:
-    begin = F.greatest(span["start"] - NEAR, F.lit(0))
-    before = F.lower(F.substring(text, begin + 1, span["start"] - begin))
+def _score(span: Column) -> Column:
+    before = F.lower(span["before"])
     score = F.lit(0.0)
     for kind, (plain, words) in SCORES.items():
         raised = F.when(before.rlike(rf"(?:^|[^a-z])(?:{words})"), F.lit(min(1.0, plain + RAISE))).otherwise(F.lit(plain))
@@ -93,9 +93,9 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     ``iban`` and ``ssn`` need a score of 0.5 as well. Null and empty texts have no
     spans. Repeated rows and null ids are kept as they are.
     """
-    rows = propose(carried(docs, whole(text).alias("text")), "text", RULES, "proposed")
+    rows = propose(carried(docs, whole(text).alias("text")), "text", RULES, "proposed", NEAR)
     confirmed = rows.withColumn("proposed", F.filter("proposed", _confirmed))
-    scored = F.transform("proposed", lambda s: s.withField("score", _score(F.col("text"), s)))
+    scored = F.transform("proposed", lambda s: s.withField("score", _score(s)).dropFields("before"))
     n_base = sum(r.base for r in RULES)
     return confirmed.select(
         "row",
@@ -105,23 +105,39 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def masked(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by its kind; overlapping spans become one."""
+    """The text with every span replaced by its kind; overlapping spans become one.
 
-    def step(state: Column, span: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, span["start"] - state["at"])
-        out = F.when(
-            span["start"] >= state["at"], F.concat(state["out"], gap, F.lit("["), F.upper(span["kind"]), F.lit("]"))
-        ).otherwise(state["out"])
-        return F.struct(F.greatest(span["end"], state["at"]).alias("at"), out.alias("out"))
+    What stands between two spans is taken from blocks of the text, so that no step
+    walks through the text from its beginning.
+    """
 
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = F.aggregate(
+    def step(held: Column, span: Column) -> Column:
+        part = F.struct(held["at"].alias("first"), span["start"].alias("upto"), span["kind"].alias("kind"))
+        parts = F.when(span["start"] >= held["at"], F.array_append(held["parts"], part)).otherwise(held["parts"])
+        return F.struct(F.greatest(span["end"], held["at"]).alias("at"), parts.alias("parts"))
+
+    none = F.array().cast("array<struct<first:int,upto:int,kind:string>>")
+    parts = in_chunks(
         F.array_sort(spans),
-        begin,
-        step,
-        lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))),
+        F.lit(0),
+        lambda chunk, at: F.aggregate(chunk, F.struct(at.alias("at"), none.alias("parts")), step, lambda h: h["parts"]),
+        lambda at, chunk: F.aggregate(chunk, at, lambda a, span: F.greatest(a, span["end"])),
     )
-    return F.when(F.size(spans) > 0, rest).otherwise(text)
+
+    def between(blocks: Column, first: Column, upto: Column) -> Column:
+        low, high = (F.call_function("div", at, F.lit(BLOCK)).cast("int") for at in (first, upto))
+        held = F.when(low == high, F.get(blocks, low)).otherwise(F.array_join(F.slice(blocks, low + 1, high - low + 1), ""))
+        return F.coalesce(F.substring(held, first - low * BLOCK + 1, upto - first), F.lit(""))
+
+    def told(blocks: Column) -> Column:
+        tagged = F.transform(
+            parts, lambda p: F.concat(between(blocks, p["first"], p["upto"]), F.lit("["), F.upper(p["kind"]), F.lit("]"))
+        )
+        end = F.array_max(F.transform(spans, lambda s: s["end"]))
+        return F.concat(F.array_join(tagged, ""), between(blocks, end, F.length(text)))
+
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    return F.when(F.size(spans) > 0, bound(blocks, told)).otherwise(text)
 
 
 def mask_pii(docs: DataFrame) -> DataFrame:
