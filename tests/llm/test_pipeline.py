@@ -6,21 +6,13 @@ import public_tokenizers
 from test_decontam import NUMBERS
 from test_decontam import plain as plain_decontam
 from test_packing import check as check_packing
+from test_simhash import plain_components
 
 import corpus_pipeline
 from tickweave.llm import toxicity
 from tickweave.llm.common import scratch, table
 
 
-def shingles(text):
-    words = (text or "").lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-
-def similarity(a, b):
-    return len(a & b) / len(a | b) if a | b else 1.0
-
-
 def written(spark, df):
     path = scratch(spark, "stage")
     df.write.parquet(path)
@@ -40,12 +32,9 @@ def test_stages_over_a_table(spark, sf_dir):
     assert set(rows[1]) == {r.doc_id for r in toxic if not r.predicted}
     assert all(rows[1][i] == rows[0][i] for i in rows[1])
 
-    sets = {i: shingles(r.text) for i, r in rows[1].items()}
-    for i in set(rows[1]) - set(rows[2]):  # each that went is like one that stays or went
-        assert any(j != i and similarity(sets[i], sets[j]) >= 0.6 for j in sets)
-    stay = sorted(rows[2])
-    pairs = [(i, j) for n, i in enumerate(stay) for j in stay[:n] if abs(len(sets[i]) - len(sets[j])) <= 0.3 * len(sets[i])]
-    assert sum(similarity(sets[i], sets[j]) >= 0.85 for i, j in pairs) <= 0.01 * len(stay)
+    components = plain_components([(i, r.text) for i, r in rows[1].items()])
+    assert set(rows[2]) == {c for _, _, c in components}
+    assert all(rows[2][i] == rows[1][i] for i in rows[2])
 
     items = [(r.item_id, r.text) for r in table(spark, sf_dir, "benchmark").collect()]
     bad = {d[0] for d in plain_decontam([(i, r.text) for i, r in rows[2].items()], items) if d[-1]}

@@ -1,19 +1,14 @@
 """Near duplicates by SimHash fingerprints and a binary trie self-join.
 
-The trie is walked inside cells. With a budget of a few bits a cell is a value of one
-of budget + 1 blocks of the fingerprint: two fingerprints within the budget agree in
-one block, which is then the top of a trie of turned fingerprints, so no link is lost.
-For a looser similarity blocks would be too short to tell anything apart; there a
-cell is a band of min-wise hashes of the shingles, and the trie only proposes pairs: a
-pair is linked if the sets of shingles themselves are similar enough. It is missed with
-the small, stated probability that it agrees in no band or exceeds the budget.
+The trie is walked inside cells. A cell is a value of one of budget + 1 blocks of the
+fingerprint: two fingerprints within the budget agree in one block, which is then the
+top of a trie of turned fingerprints, so no link is lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,34 +23,18 @@ from tickweave.llm.components import components
 SEED = 42
 CELL_ROWS = 40_000  # fingerprints of one cell that one task compares
 BATCH_ROWS = 200_000  # fingerprints a task holds at once, cells kept whole
-CELL_BYTES = 1 << 25  # texts of one cell that one task compares
-BATCH_BYTES = 1 << 25  # texts a task holds at once, cells kept whole
 
 
 @dataclass(frozen=True)
 class Method:
-    """``words``: 64-bit words of a fingerprint. ``repeats``: a shingle counts as often
-    as it occurs. ``bands`` and ``rows``: cells from min-wise hashes; none: from blocks.
-    ``percent``: least Jaccard similarity of the sets of shingles of a link; none: links
-    go by fingerprints alone. With it a fingerprint ends in a digest of the set."""
+    """``shingle``: words of a shingle. ``budget``: most bits in which linked
+    fingerprints differ."""
 
     shingle: int = 3
     budget: int = 3
-    words: int = 1
-    repeats: bool = True
-    bands: int = 0
-    rows: int = 0
-    percent: int = 0
 
 
 EXACT = Method()
-# Shingles of five words with a Jaccard similarity of 0.8 or more, counted out for every
-# pair that is proposed. Two such sets agree in none of 9 bands of 3 hashes with a
-# probability of 0.002. Large sets differ in 15.2 % of 256 bits, 39, small ones in up to
-# 18.8 %, 48 (4 against 5 shingles): more than 72 with a probability of 0.0001 at most.
-SIMILAR = Method(shingle=5, budget=72, words=4, repeats=False, bands=9, rows=3, percent=80)
-
-_ODD, _WORD = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 
 def shingle_hashes(text: bytes, size: int) -> np.ndarray:
@@ -68,27 +47,6 @@ def shingle_hashes(text: bytes, size: int) -> np.ndarray:
     return np.array([digest(s, SEED) for s in joined], np.uint64)
 
 
-def _shingles(text: bytes, method: Method) -> np.ndarray:
-    hashes = shingle_hashes(text, method.shingle)
-    return hashes if method.repeats else np.unique(hashes)
-
-
-def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Whether two sets, sorted, have that Jaccard similarity or more; two empty ones have."""
-    both, least = len(a) + len(b), 100 + percent
-    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-        return False
-    return least * len(np.intersect1d(a, b, assume_unique=True)) >= percent * both
-
-
-def mixed(values: np.ndarray, seed: int) -> np.ndarray:
-    """Further hashes of hashes."""
-    x = values + np.uint64(seed * _ODD & _WORD)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def majority(hashes: np.ndarray) -> np.uint64:
     """A bit is set where more than half of the hashes have it."""
     if not len(hashes):
@@ -99,60 +57,27 @@ def majority(hashes: np.ndarray) -> np.uint64:
     return np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.uint64)[0]
 
 
-@lru_cache(4)
-def multipliers(method: Method) -> list[np.uint64]:
-    """One odd number for each row of the bands. They are mixed ones: with multiples of
-    one number a hash that is small would be the least in many rows at once."""
-    return list(mixed(np.arange(method.bands * method.rows, dtype=np.uint64), 1) | np.uint64(1))
-
-
-def _bands(hashes: np.ndarray, method: Method) -> list[int]:
-    found, hashes = [], mixed(hashes, 0)
-    times = multipliers(method)
-    for band in range(method.bands):
-        least = [
-            (hashes * times[band * method.rows + row]).min()
-            if len(hashes)
-            else np.uint64(0)
-            for row in range(method.rows)
-        ]
-        key = xxhash.xxh64_intdigest(np.array(least, np.uint64).tobytes(), band)
-        found.append(key - (1 << 64) if key >> 63 else key)
-    return found
-
-
 def _printed(method: Method):
     def work(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            prints, bands = [], []
-            for text in texts.cast(pa.binary()):
-                hashes = _shingles(text.as_py() or b"", method)
-                words = [hashes] + [mixed(hashes, w) for w in range(1, method.words)]
-                digest = xxhash.xxh3_128_digest(hashes.tobytes()) if method.percent else b""
-                prints.append(np.array([majority(w) for w in words], ">u8").tobytes() + digest)
-                bands.append(_bands(hashes, method))
-            yield pa.StructArray.from_arrays(
-                [pa.array(prints, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], ["fingerprint", "bands"]
-            )
+            prints = [majority(shingle_hashes(text.as_py() or b"", method.shingle)) for text in texts.cast(pa.binary())]
+            yield pa.array([int(p).to_bytes(8, "big") for p in prints], pa.binary())
 
-    return F.arrow_udf(work, "struct<fingerprint:binary,bands:array<bigint>>")
+    return F.arrow_udf(work, "binary")
 
 
 def with_fingerprints(docs: DataFrame, method: Method, text: str = "text") -> DataFrame:
     """``docs`` as ``row`` (a struct of all its columns) with ``fingerprint``, big-endian
-    bytes, and ``bands``. Null and empty texts have the fingerprint zero."""
+    bytes. Null and empty texts have the fingerprint zero."""
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    found = docs.select(row.alias("row"), _printed(method)(whole(text)).alias("found"))
-    return found.select("row", "found.fingerprint", "found.bands")
+    return docs.select(row.alias("row"), _printed(method)(whole(text)).alias("fingerprint"))
 
 
 def _cells(prints: DataFrame, method: Method) -> DataFrame:
     """Distinct fingerprints in their cells: (cell, fingerprint, key). ``key`` has the
     block that makes the cell in front."""
-    if method.words != 1:
-        raise ValueError("blocks are for fingerprints of one word")
     block = 64 // (method.budget + 1)
-    number = _word("fingerprint", 0)
+    number = _number("fingerprint")
 
     def turned(i: int) -> Column:
         left, right = F.shiftleft(number, i * block), F.shiftrightunsigned(number, 64 - i * block)
@@ -168,13 +93,12 @@ def _cells(prints: DataFrame, method: Method) -> DataFrame:
     )
 
 
-def _word(column: str, word: int) -> Column:
-    return F.conv(F.hex(F.substring(column, 8 * word + 1, 8)), 16, -10).cast("long")
+def _number(column: str) -> Column:
+    return F.conv(F.hex(column), 16, -10).cast("long")
 
 
-def _apart(a: str, b: str, words: int) -> Column:
-    bits = [F.bit_count(_word(a, w).bitwiseXOR(_word(b, w))) for w in range(words)]
-    return sum(bits[1:], bits[0])
+def _apart(a: str, b: str) -> Column:
+    return F.bit_count(_number(a).bitwiseXOR(_number(b)))
 
 
 def _split(cells: DataFrame, method: Method, limit: int) -> tuple[DataFrame, DataFrame | None]:
@@ -194,7 +118,7 @@ def _split(cells: DataFrame, method: Method, limit: int) -> tuple[DataFrame, Dat
     if large.isEmpty():
         return cells.select("cell", "key", "fingerprint", alone), None
     small = cells.join(large, "cell", "left_anti").select("cell", "key", "fingerprint", alone)
-    hot = cells.join(large, "cell").withColumn("near", _apart("key", "hub.key", method.words) <= method.budget)
+    hot = cells.join(large, "cell").withColumn("near", _apart("key", "hub.key") <= method.budget)
     hot = stage(hot, "hot")
     links = hot.filter("near").select(F.col("fingerprint").alias("a"), F.col("hub.fingerprint").alias("b"))
     n = F.ceil(F.col("rows") * 2 / F.lit(limit)).cast("int")
@@ -212,94 +136,12 @@ def _split(cells: DataFrame, method: Method, limit: int) -> tuple[DataFrame, Dat
     return small.union(grid), links
 
 
-def _texts(prints: DataFrame, method: Method, limit: int) -> tuple[DataFrame, DataFrame | None]:
-    """As ``_split``, for links that are checked: rows have ``text`` too. ``prints``: a row
-    has ``tw row number`` and ``text``.
-
-    Only cells with several members count, and of cells with the same members one. In a
-    cell beyond ``limit`` rows or ``CELL_BYTES`` what is similar to the hub is linked to it;
-    the others, the odd ones, meet each row of the cell in tiles: part of the odd ones
-    by part of all.
-    """
-    number = F.col("row.`tw row number`").alias("number")
-    nodes = prints.groupBy("fingerprint").agg(
-        F.min(F.struct(number, F.octet_length(whole("row.text")).alias("bytes"))).alias("of"), F.first("bands").alias("bands")
-    )
-    members = stage(nodes, "nodes").select("fingerprint", "of.*", F.posexplode("bands").alias("band", "value"))
-    members = members.select(F.xxhash64("band", "value").alias("cell"), "fingerprint", "number", "bytes")
-    marks = [F.bit_xor(F.xxhash64(F.lit(i), "fingerprint")).alias(f"mark{i}") for i in range(2)]
-    sizes = members.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("bytes").alias("bytes"), F.min("fingerprint").alias("hub"), *marks
-    )
-    one = sizes.filter("rows > 1").groupBy("rows", "bytes", "hub", "mark0", "mark1").agg(F.min("cell").alias("cell"))
-    one = stage(one.select("cell", "rows", "bytes", "hub"), "cells")
-    wanted = members.select("cell", "fingerprint", "number").join(one.select("cell"), "cell")
-    texts = prints.select(number, whole("row.text").alias("text"))
-    rows = stage(texts.join(wanted, "number").select("cell", "fingerprint", "text"), "cell-texts")
-
-    key = F.substring("fingerprint", 1, 8 * method.words).alias("key")
-    alone = F.lit(-1).cast("long").alias("group")
-    large = one.filter((F.col("rows") > limit) | (F.col("bytes") > CELL_BYTES))
-    if large.isEmpty():
-        return rows.select("cell", key, "fingerprint", alone, "text"), None
-    small = rows.join(large, "cell", "left_anti").select("cell", key, "fingerprint", alone, "text")
-    hubs = rows.join(large.select("cell", F.col("hub").alias("fingerprint")), ["cell", "fingerprint"])
-    hubs = stage(hubs.select("cell", F.col("fingerprint").alias("hub"), F.col("text").alias("hub_text")), "hubs")
-    hot = rows.join(hubs, "cell").withColumn("near", _similar_to(method)("text", "hub_text")).drop("hub_text")
-    hot = stage(hot, "hot")
-    links = hot.filter("near").select(F.col("fingerprint").alias("a"), F.col("hub").alias("b"))
-
-    def parts(rows: Column, size: Column) -> Column:
-        return F.ceil(F.greatest(rows * 2 / F.lit(limit), size * 2 / F.lit(CELL_BYTES))).cast("int")
-
-    odd = hot.filter(~F.col("near")).groupBy("cell")
-    odd = odd.agg(F.count(F.lit(1)).alias("odd"), F.sum(F.octet_length("text")).alias("odd_bytes"))
-    cut = stage(
-        odd.join(large, "cell").select(
-            "cell", parts(F.col("rows"), F.col("bytes")).alias("n"), parts(F.col("odd"), F.col("odd_bytes")).alias("m")
-        ),
-        "cut",
-    )
-    mine = F.pmod(F.xxhash64(F.lit(0), "fingerprint"), "n").cast("int")
-    own = F.pmod(F.xxhash64(F.lit(1), "fingerprint"), "m").cast("int")
-    down = F.transform(F.sequence(F.lit(0), F.col("m") - 1), lambda i: i * F.col("n") + F.col("mine"))
-    across = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda j: F.col("own") * F.col("n") + j)
-    tiles = F.when(F.col("near"), down).otherwise(F.array_union(down, across))
-    grid = (
-        hot.join(cut, "cell")
-        .withColumns({"mine": mine, "own": own})
-        .withColumn("tile", F.explode(tiles))
-        .select(
-            F.xxhash64("cell", "tile").alias("cell"),
-            key,
-            "fingerprint",
-            F.when(F.col("near"), F.shiftrightunsigned("cell", 1)).otherwise(F.lit(-1)).alias("group"),
-            "text",
-        )
-    )
-    return small.union(grid), links
-
-
-def _similar_to(method: Method):
-    def work(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        hub, last = None, None
-        for texts, hubs in batches:
-            found = []
-            for text, other in zip(texts.cast(pa.binary()), hubs.cast(pa.binary())):
-                if (other := other.as_py()) != last:
-                    hub, last = _shingles(other, method), other
-                found.append(similar(_shingles(text.as_py(), method), hub, method.percent))
-            yield pa.array(found, pa.bool_())
-
-    return F.arrow_udf(work, "boolean")
-
-
 def _compare(method: Method):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             held.append(batch)
-            if sum(b.nbytes for b in held) < BATCH_BYTES if method.percent else sum(map(len, held)) < BATCH_ROWS:
+            if sum(map(len, held)) < BATCH_ROWS:
                 continue
             rows = pa.Table.from_batches(held).combine_chunks()
             cell = rows["cell"].to_numpy()
@@ -313,35 +155,16 @@ def _compare(method: Method):
 
 
 def _forest(rows: pa.Table, method: Method) -> pa.RecordBatch:
-    keys = b"".join(rows["key"].to_pylist())
-    keys = np.frombuffer(keys, ">u8").astype(np.uint64).reshape(len(rows), method.words)
-    check = _checked(rows["text"], method) if method.percent else None
-    a, b = trie.forest(rows["cell"].to_numpy(), keys, rows["group"].to_numpy(), method.budget, check=check)
+    keys = np.frombuffer(b"".join(rows["key"].to_pylist()), ">u8").astype(np.uint64).reshape(len(rows), 1)
+    a, b = trie.forest(rows["cell"].to_numpy(), keys, rows["group"].to_numpy(), method.budget)
     prints = rows["fingerprint"].combine_chunks()
     return pa.record_batch({"a": prints.take(pa.array(a)), "b": prints.take(pa.array(b))})
 
 
-def _checked(texts: pa.ChunkedArray, method: Method):
-    sets: dict[int, np.ndarray] = {}
-
-    def of(row: int) -> np.ndarray:
-        if row not in sets:
-            sets[row] = _shingles(texts[row].as_py().encode(), method)
-        return sets[row]
-
-    def work(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.array([similar(of(i), of(j), method.percent) for i, j in zip(a.tolist(), b.tolist())], bool)
-
-    return work
-
-
 def links(prints: DataFrame, method: Method, limit: int = CELL_ROWS) -> DataFrame:
-    """Links (a, b) between distinct fingerprints within the budget, and if ``method`` says
-    so of similar sets: not every such pair, but enough to connect all that are connected."""
-    if method.percent:
-        cells, more = _texts(prints, method, limit)
-    else:
-        cells, more = _split(_cells(prints, method), method, limit)
+    """Links (a, b) between distinct fingerprints within the budget: not every such pair,
+    but enough to connect all that are connected."""
+    cells, more = _split(_cells(prints, method), method, limit)
     # A cell of one row has nothing to compare; the sort brings a cell's rows together.
     rows = cells.repartition("cell").sortWithinPartitions("cell")
     found = rows.mapInArrow(_compare(method), "a binary, b binary")
@@ -367,7 +190,7 @@ def near_duplicates(docs: DataFrame, limit: int = CELL_ROWS) -> DataFrame:
     are null. An empty table gives no rows.
     """
     found = with_fingerprints(docs.select("doc_id", "text"), EXACT)
-    prints = stage(found.select("row.doc_id", "fingerprint", "bands"), "fingerprints")
+    prints = stage(found.select("row.doc_id", "fingerprint"), "fingerprints")
     roots = stage(classes(prints, EXACT, limit), "classes")
     least = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     ids = roots.join(least, "fingerprint").groupBy("root").agg(F.min("least").alias("component_id"))
@@ -377,9 +200,10 @@ def near_duplicates(docs: DataFrame, limit: int = CELL_ROWS) -> DataFrame:
     )
 
 
-def drop_near_duplicates(docs: DataFrame, method: Method = SIMILAR, limit: int = CELL_ROWS) -> DataFrame:
-    """``docs`` with one row of each class of near duplicates: that with the smallest
-    doc_id, nulls last, and one of them if several have it."""
+def drop_near_duplicates(docs: DataFrame, method: Method = EXACT, limit: int = CELL_ROWS) -> DataFrame:
+    """``docs`` with one row of each component of ``near_duplicates``: that with the smallest
+    doc_id, nulls last, and one of them if several have it. Texts without a word are one
+    component; extra columns are kept, an empty table gives no rows."""
     numbered = docs.withColumn("tw row number", F.monotonically_increasing_id())
     prints = stage(with_fingerprints(numbered, method), "fingerprints")
     rank = F.struct(F.col("row.doc_id").isNull(), "row.doc_id", "row.`tw row number`")

@@ -16,13 +16,12 @@ LEAF = 32  # pairs of fingerprints below which two nodes are compared outright
 CHUNK = 1 << 17  # node pairs in hand at once
 
 
-def forest(cell: np.ndarray, keys: np.ndarray, group: np.ndarray, budget: int, depth: int = 0, check=None):
+def forest(cell: np.ndarray, keys: np.ndarray, group: np.ndarray, budget: int, depth: int = 0):
     """Edges (two arrays of row numbers) that span the components of each cell.
 
     ``cell``: rows of different cells are never compared. ``keys``: uint64, one row of
     words per fingerprint; inside a cell all share the first ``depth`` bits. ``group``:
-    rows of one cell with one group other than -1 are known to be connected. ``check``:
-    says of pairs within the budget (two arrays of row numbers) which are links; none: all.
+    rows of one cell with one group other than -1 are known to be connected.
     """
     n, width = keys.shape
     if n < 2:
@@ -35,13 +34,7 @@ def forest(cell: np.ndarray, keys: np.ndarray, group: np.ndarray, budget: int, d
 
     def linked(root, a, b):
         close = _apart(keys, a, b) <= budget
-        a, b = a[close], b[close]
-        if check is not None:
-            open_ = root[a] != root[b]
-            a, b = a[open_], b[open_]
-            good = check(order[a], order[b])
-            a, b = a[good], b[good]
-        return _merged(root, a, b)
+        return _merged(root, a[close], b[close])
 
     root = _known(root, cell, group)
     same = np.flatnonzero((cell[1:] == cell[:-1]) & (keys[1:] == keys[:-1]).all(1))
