@@ -28,8 +28,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest doc_id, of each class of texts whose sets of
-    five-word shingles have a similarity of 0.8 or more."""
+    """One document, that with the smallest doc_id, of each component of SimHash fingerprints
+    of three-word shingles that differ in 3 or fewer bits."""
     return drop_near_duplicates(docs)
 
 
