@@ -48,3 +48,34 @@ def test_links_stay_whole_under_the_quotas(spark):
     assert whole >= 0.95 * len(groups)
     # A third of the rows, where a shard holds a sixteenth: a few shards hold nearly all.
     assert sum(n for _, n in where["hot"].most_common(8)) >= 0.95 * sum(where["hot"].values())
+
+
+def cuts(spark, keys):
+    """Keys on more than one shard, as {key: shards}."""
+    rows = spark.createDataFrame(list(enumerate(keys)), "id long, key string")
+    got, where = sharding.shard_rows(rows).collect(), defaultdict(set)
+    counts = Counter(r.shard for r in got)
+    assert len(got) == len(keys) and max(counts.values()) - min(counts.values()) <= 1
+    for r in got:
+        if keys[r.id] is not None:
+            where[keys[r.id]].add(r.shard)
+    return {key: held for key, held in where.items() if len(held) > 1}
+
+
+@pytest.mark.parametrize("size,rows", [(8, 3200), (5, 1600), (5, 3000), (2, 20_000)])
+def test_every_row_is_linked(spark, size, rows):
+    assert len(cuts(spark, [f"k{i // size}" for i in range(rows)])) < 16
+
+
+def test_large_keys_that_fit_stay_whole(spark):
+    shard = 400
+    keys = [f"large{i // 180}" for i in range(16 * 180)]  # 16 of 0.45 shard
+    keys += [f"k{i // 5}" for i in range(16 * shard - len(keys) - 160)] + [None] * 160
+    found = cuts(spark, keys)
+    assert not any(k.startswith("large") for k in found) and len(found) < 16
+
+
+def test_a_key_of_a_third_among_links(spark):
+    keys = ["hot"] * 2000 + [f"k{i // 4}" for i in range(4000)]
+    found = cuts(spark, keys)
+    assert len(found["hot"]) <= 7 and len(found) <= 16

@@ -1,11 +1,12 @@
 """Balanced label propagation: documents move to the shards of those they are linked to.
 
-Documents that share a key are linked. In each round a document asks to move to the
-shard that holds most of its key's documents. What moves from one shard to another is
-held to a quota, so no shard grows beyond its capacity, and documents of one key that
-ask for the same move go or stay together. Keys too large
-for that are poured into the room that is left. At the end the few rows above a shard's
-exact size fill the places left in the others.
+Documents that share a key are linked, each with all others of the key, so in a round all
+of them see the same neighbours and ask for the same shard: that which holds most of the
+key's documents. What a shard holds beyond its capacity is passed on, key by key, by quotas
+from shard to shard; the capacity tightens from round to round. Keys of more than an eighth
+of a shard get their places first, each in one shard while one has the room. At the end the
+rows above a shard's exact size fill the places left in the others, in order, so apart from
+keys that had to be split fewer keys are cut than there are shards.
 
 Rows are numbered from counts per partition, so no task sorts or ranks a whole shard.
 """
@@ -21,7 +22,6 @@ from tickweave.llm.common import stage, whole
 SHARDS = 16
 ROUNDS = 6
 LARGE = 8  # keys with more than this part of a shard's rows are large
-SLACK = 1.02  # rows a shard may hold between rounds, in shares of an even one
 
 
 def _begin(rows: DataFrame, shards: int) -> DataFrame:
@@ -29,88 +29,99 @@ def _begin(rows: DataFrame, shards: int) -> DataFrame:
     return rows.withColumn("shard", F.pmod(F.xxhash64("id"), shards).cast("int"))
 
 
+def _sizes(total: int, shards: int) -> np.ndarray:
+    return np.array([total // shards + (s < total % shards) for s in range(shards)])
+
+
+def _share(*of) -> Column:
+    """A number from 0 to 1 by the hash of ``of``."""
+    return (F.xxhash64(*of) / F.lit(2.0**64)) + 0.5
+
+
 def _wishes(linked: DataFrame) -> DataFrame:
-    """For each key the shard that holds most of its rows, the lower one of equals."""
+    """For each key its rows ``n`` and the shard that holds most of them; a hash decides
+    between equals, so that no shard is preferred."""
     held = linked.groupBy("key", "shard").agg(F.count(F.lit(1)).alias("n"))
-    best = held.groupBy("key").agg(F.max(F.struct("n", (-F.col("shard")).alias("low"))).alias("best"))
-    return best.select("key", (-F.col("best.low")).alias("wish"))
+    best = F.max(F.struct("n", F.xxhash64("key", "shard").alias("tie"), "shard")).alias("best")
+    return held.groupBy("key").agg(F.sum("n").alias("n"), best).select("key", "n", F.col("best.shard").alias("shard"))
 
 
-def _quotas(asked: np.ndarray, sizes: np.ndarray, capacity: float) -> np.ndarray:
-    """How many rows may move from shard i to shard j: as many as come back, and a share
-    of the free room of j."""
-    swapped = np.minimum(asked, asked.T)
-    rest = asked - swapped
-    room = np.maximum(capacity - sizes, 0)
-    wanted = rest.sum(0)
-    share = np.minimum(1, np.divide(room, wanted, out=np.zeros(len(room)), where=wanted > 0))
-    return swapped + rest * share
+def _quotas(held: np.ndarray, capacity: np.ndarray) -> np.ndarray:
+    """How many rows are to move from shard i to shard j: what i holds beyond its capacity,
+    over the shards with room, by their room."""
+    room = np.maximum(capacity - held, 0)
+    return np.outer(np.maximum(held - capacity, 0), room / max(room.sum(), 1))
 
 
-def _share(*of) -> Column:
-    """A number from 0 to 1 by the hash of ``of``."""
-    return (F.xxhash64(*of) / F.lit(2.0**64)) + 0.5
+def _moved(keys: DataFrame, quotas: np.ndarray, held: np.ndarray, turn: int) -> DataFrame:
+    """``keys`` (key, n, shard) after keys moved by the quotas, all rows of a key together."""
+    shards = len(held)
+    chances = np.cumsum(quotas / np.maximum(held, 1)[:, None], axis=1)
+    upto = F.array(*(F.array(*(F.lit(float(c)) for c in row)) for row in chances))[F.col("shard")]
+    to = F.size(F.filter(upto, lambda c: c <= _share("key", F.lit(turn))))
+    return keys.select("key", "n", F.when(to < shards, to).otherwise(F.col("shard")).cast("int").alias("shard"))
 
 
-def _moved(linked: DataFrame, shards: int, capacity: float, turn: int) -> DataFrame | None:
-    """``linked`` after one round; None if no row asks to move."""
-    sizes, asked = np.zeros(shards), np.zeros((shards, shards))
-    asking = stage(linked.join(_wishes(linked), "key"), "wishes")
-    for row in asking.groupBy("shard", "wish").agg(F.count(F.lit(1)).alias("n")).collect():
-        sizes[row.shard] += row.n
-        asked[row.shard, row.wish] = row.n if row.shard != row.wish else 0
-    if not asked.any():
-        return None
-    chances = np.divide(_quotas(asked, sizes, capacity), asked, out=np.zeros_like(asked), where=asked > 0)
-    chance = F.array(*(F.lit(float(c)) for c in chances.ravel()))[F.col("shard") * shards + F.col("wish")]
-    goes = _share("key", F.lit(turn), "shard") < chance  # rows of a key that leave one shard go or stay together
-    return stage(asking.select("id", "key", F.when(goes, F.col("wish")).otherwise(F.col("shard")).alias("shard")), "linked")
-
-
-def _poured(large: DataFrame, sizes: np.ndarray, even: float, shards: int) -> DataFrame:
-    """Rows of keys too large to move as one, over the shards with most room, as few
-    shards for each key as its rows need."""
-    room, plans = np.maximum(even - sizes, 0), []
-    counts = large.groupBy("key").agg(F.count(F.lit(1)).alias("n")).collect()  # no more than ``LARGE`` a shard
+def _propagated(linked: DataFrame, capacity: np.ndarray, rounds: int) -> DataFrame:
+    """(key, n, shard) of all keys of ``linked``: the shard their rows ask for, moved on while
+    a shard holds more than it may. ``capacity``: rows of each shard in the end; before, the
+    rounds allow half as much again, a quarter, and so on."""
+    keys = stage(_wishes(linked), "keys")
+    for turn in range(rounds):
+        held = np.zeros(len(capacity))
+        for row in keys.groupBy("shard").agg(F.sum("n").alias("n")).collect():  # one row per shard
+            held[row.shard] = row.n
+        slack = 1 + 0.5 ** (turn + 1) if turn < rounds - 1 else 1
+        quotas = _quotas(held, capacity * slack)
+        if quotas.any():
+            keys = stage(_moved(keys, quotas, held, turn), "keys")
+    return keys
+
+
+def _placed(large: DataFrame, room: np.ndarray) -> DataFrame:
+    """(key, to, upto) for large keys: the shard where least room is left beyond a key's rows,
+    largest keys first; where none has room for all, the shards with most room, as few as the
+    rows need. ``room`` is lowered by what was placed."""
+    plans = []
+    counts = large.groupBy("key").agg(F.first("n").alias("n")).collect()  # no more than ``LARGE`` a shard
     for row in sorted(counts, key=lambda r: (-r.n, r.key)):
+        fits = np.flatnonzero(room >= row.n)
+        if len(fits):
+            shards = [fits[np.argmin(room[fits])]]
+        else:
+            shards = np.argsort(-room, kind="stable")
         left, to, upto = row.n, [], []
-        for shard in np.argsort(-room, kind="stable"):
-            part = min(left, room[shard])
+        for shard in shards:
+            part = min(left, int(room[shard]))
             room[shard] -= part
             left -= part
             to.append(int(shard))
-            upto.append(float(1 - left / row.n))
-            if left <= 0:
+            upto.append(1 - left / row.n)
+            if not left:
                 break
         plans.append((row.key, to, upto))
-    plan = large.sparkSession.createDataFrame(plans, "key string, to array<int>, upto array<double>")
-    at = F.least(F.size(F.filter("upto", lambda u: u <= _share("id"))), F.size("to") - 1)
-    return large.join(F.broadcast(plan), "key").select("id", "key", F.col("to")[at].alias("shard"))
+    return large.sparkSession.createDataFrame(plans, "key string, to array<int>, upto array<double>")
 
 
 def propagate(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
-    """``rows`` (id, key) with ``shard``, nearly even with few links cut, and ``rank``: 0 for
-    rows that moved by their links, 1 for those of large keys, 2 for rows without links.
-    Null keys link nothing."""
+    """``rows`` (id, key) with ``shard``, nearly even and no key cut that fits a shard with
+    room, and ``rank``: 0 for rows of large keys, 1 for other linked rows, 2 for rows without
+    links. Null keys link nothing."""
     rows = stage(_begin(rows, shards), "labels")
     total = rows.count()
-    capacity = SLACK * total / shards
     shared = rows.filter(F.col("key").isNotNull()).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     shared = stage(shared.filter(F.col("n") > 1).withColumn("large", F.col("n") * LARGE > total / shards), "shared-keys")
-    named = stage(rows.join(shared.drop("n"), "key", "left"), "links")
+    room = _sizes(total, shards)
+    plan = _placed(shared.filter("large"), room)
+    named = stage(rows.join(shared, "key", "left"), "links")
+    at = F.least(F.size(F.filter("upto", lambda u: u <= _share("id"))), F.size("to") - 1)
+    large = named.filter("large").select("id", "key").join(F.broadcast(plan), "key")
     linked = named.filter(~F.col("large")).select("id", "key", "shard")
-    for turn in range(rounds):
-        after = _moved(linked, shards, capacity, turn)
-        if after is None:
-            break
-        linked = after
-    sizes = np.zeros(shards)
-    for row in linked.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect():
-        sizes[row.shard] = row.n
-    large = _poured(named.filter("large").select("id", "key"), sizes, total / shards, shards)
+    keys = _propagated(linked, room, rounds).select("key", "shard")
     alone = named.filter(F.col("large").isNull()).select("id", "key", "shard")
-    ranked = [df.withColumn("rank", F.lit(rank)) for rank, df in enumerate((linked, large, alone))]
-    return ranked[0].union(ranked[1]).union(ranked[2])
+    ranked = large.select("id", "key", F.col("to")[at].alias("shard"), F.lit(0).alias("rank"))
+    moved = linked.drop("shard").join(keys, "key").select("id", "key", "shard", F.lit(1).alias("rank"))
+    return ranked.union(moved).union(alone.withColumn("rank", F.lit(2)))
 
 
 def settle(labelled: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -132,7 +143,7 @@ def settle(labelled: DataFrame, shards: int = SHARDS) -> DataFrame:
         before.append((row["part"], row["shard"], sizes[row["shard"]] - row["first"]))
         sizes[row["shard"]] += row["n"]
     total = sum(sizes)
-    wanted = [total // shards + (s < total % shards) for s in range(shards)]
+    wanted = _sizes(total, shards).tolist()
     over = np.cumsum([0] + [max(n - w, 0) for n, w in zip(sizes, wanted)])
     free = np.cumsum([0] + [max(w - n, 0) for n, w in zip(sizes, wanted)])
 
