@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -106,3 +107,39 @@ def test_pieces_of_texts_with_added_tokens(spark):
     ids = [*LIBRARY.encode(text, add_special_tokens=False).ids, packing.END]
     assert ids.count(50256) == 3 and piece.doc_tokens == len(ids)
     assert piece.ids_crc32 == zlib.crc32(np.array(ids[: piece.length], "<u4").tobytes())
+
+
+def test_neighbours_against_plain_bm25(spark):
+    """Ranked by the terms of whole documents, also where only their end is to be placed."""
+    rng = np.random.default_rng(4)
+    texts = [rng.zipf(1.3, n) % 400 for n in rng.integers(20, 900, 60)]
+    holders = np.array([sum((x == t).any() for x in texts) for t in range(400)])
+    idf = np.log((len(texts) - holders + 0.5) / (holders + 0.5))
+    mean = float(np.mean([len(x) for x in texts]))
+    docs = [packing.Doc(i, x[-10:], len(x) - 10, len(x), *np.unique(x, return_counts=True)) for i, x in enumerate(texts)]
+    index = packing.Index(docs, packing.Corpus(idf, mean))
+    index.unused[7] = False
+
+    def score(seed, other):
+        total = 0.0
+        for t in set(seed.tolist()) & set(other.tolist()):
+            if idf[t] >= packing.LEAST_IDF:
+                n = (other == t).sum()
+                total += idf[t] * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(other) / mean))
+        return total
+
+    for seed in range(len(texts)):
+        scores = {i: score(texts[seed], x) for i, x in enumerate(texts) if i != 7}
+        got = index.neighbours(seed).tolist()
+        assert set(got) == {i for i, s in scores.items() if s > 0}
+        assert np.allclose([scores[i] for i in got], sorted((s for s in scores.values() if s > 0), reverse=True))
+
+
+def test_long_documents_carry_the_terms_of_all_their_windows():
+    work = packing._coded(PATH, 16)
+    text = " alpha" * 20 + " beta" * 3
+    batch = pa.record_batch({"doc_id": pa.array([1], pa.int64()), "text": pa.array([text])})
+    row = next(work(iter([batch]))).to_pylist()[0]
+    kind, ids = encoder(PATH).kind, numbers(text)
+    terms, counts = np.frombuffer(row["terms"], kind), np.frombuffer(row["counts"], "<i8")
+    assert row["start"] == 16 and dict(zip(terms.tolist(), counts.tolist())) == {t: ids.count(t) for t in set(ids)}

@@ -3,8 +3,8 @@
 Every document is cut into token numbers once. A long one fills whole windows by itself,
 which need no neighbours; what it has beyond them, and short documents, are dealt to
 shards by the min-wise hashes of the document's terms, so that texts with common terms
-meet. Each shard has an inverted index with BM25 weights, whose counts come from the
-whole corpus. A window starts with a seed document and is filled with the seed's best
+meet. Each shard has an inverted index with BM25 weights over the whole documents, whose
+counts come from the whole corpus. A window starts with a seed document and is filled with the seed's best
 unused neighbours; the last one is cut where the window is full, and its rest starts the
 next window.
 """
@@ -37,13 +37,16 @@ PIECES = (
 )
 
 
-CODED = "doc_id long, n long, start long, route long, ids binary, crcs array<bigint>"
+CODED = (
+    "doc_id long, n long, start long, route long, ids binary, terms binary, counts binary, crcs array<bigint>"
+)
 
 
 def _coded(path: str, window: int):
     """Documents to ``CODED``: all tokens ``n``, the CRC-32 of each whole window, and the
-    ``ids`` from ``start`` on, after these windows. The last row of a task has in ``ids``
-    how many of its documents hold each term, and n -1."""
+    ``ids`` from ``start`` on, after these windows. ``terms`` and ``counts`` are those of the
+    whole document, where ``ids`` is only the end of it. The last row of a task has in
+    ``ids`` how many of its documents hold each term, and n -1."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(path)
@@ -60,9 +63,12 @@ def _coded(path: str, window: int):
                 holders[terms] += 1
                 start = len(ids) - len(ids) % window
                 crcs = [_crc32(ids[at : at + window]) for at in range(0, start, window)]
-                rows.append((len(ids), start, _route(terms, mix), ids[start:].tobytes(), crcs))
+                more = (b"", b"")
+                if 0 < start < len(ids):
+                    more = (terms.astype(code.kind).tobytes(), np.bincount(ids)[terms].astype("<i8").tobytes())
+                rows.append((len(ids), start, _route(terms, mix), ids[start:].tobytes(), *more, crcs))
             yield _code_batch(batch.column("doc_id"), rows)
-        yield _code_batch(pa.array([None], pa.int64()), [(-1, 0, 0, holders.astype("<i8").tobytes(), [])])
+        yield _code_batch(pa.array([None], pa.int64()), [(-1, 0, 0, holders.astype("<i8").tobytes(), b"", b"", [])])
 
     return work
 
@@ -81,7 +87,7 @@ def _route(terms: np.ndarray, mix: np.ndarray) -> int:
 
 
 def _code_batch(doc_id: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
-    n, start, route, ids, crcs = list(zip(*rows)) or [()] * 5
+    n, start, route, ids, terms, counts, crcs = list(zip(*rows)) or [()] * 7
     return pa.record_batch(
         {
             "doc_id": doc_id.cast(pa.int64()),
@@ -89,6 +95,8 @@ def _code_batch(doc_id: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
             "start": pa.array(start, pa.int64()),
             "route": pa.array(route, pa.int64()),
             "ids": pa.array(ids, pa.binary()),
+            "terms": pa.array(terms, pa.binary()),
+            "counts": pa.array(counts, pa.binary()),
             "crcs": pa.array(crcs, pa.list_(pa.int64())),
         }
     )
@@ -118,8 +126,14 @@ class Doc:
     ids: np.ndarray  # the document's tokens from ``start`` on
     start: int
     tokens: int  # of the whole document
+    terms: np.ndarray | None = None  # of the whole document; none: those of ``ids``
+    counts: np.ndarray | None = None  # how often each occurs
     at: int = 0  # tokens that are already placed
 
+    def __post_init__(self):
+        if self.terms is None:
+            self.terms, self.counts = np.unique(self.ids, return_counts=True)
+
 
 class Index:
     """BM25 inverted index of one shard."""
@@ -127,7 +141,7 @@ class Index:
     def __init__(self, docs: list[Doc], corpus: Corpus):
         self.terms, all_terms, of, weights = [], [], [], []
         for i, doc in enumerate(docs):
-            terms, n = np.unique(doc.ids, return_counts=True)
+            terms, n = doc.terms, doc.counts
             idf = corpus.idf[terms]
             keep = idf >= LEAST_IDF
             terms, n, idf = terms[keep], n[keep], idf[keep]
@@ -235,8 +249,13 @@ def _packed(path: str, corpus, window: int):
         shard, tokens = [], 0
         for batch in batches:
             numbers = (batch.column(c).to_pylist() for c in ("doc_id", "start", "n"))
-            for ids, doc_id, start, n in zip(batch.column("ids"), *numbers):
-                shard.append(Doc(doc_id, np.frombuffer(ids.as_py(), kind), start, n))
+            of = (batch.column(c) for c in ("ids", "terms", "counts"))
+            for ids, terms, counts, doc_id, start, n in zip(*of, *numbers):
+                ids = np.frombuffer(ids.as_py(), kind)
+                more = ()
+                if start:
+                    more = np.frombuffer(terms.as_py(), kind), np.frombuffer(counts.as_py(), "<i8")
+                shard.append(Doc(doc_id, ids, start, n, *more))
                 tokens += len(shard[-1].ids)
                 if tokens >= SHARD_TOKENS:
                     packer.pack(shard, corpus.value)
@@ -273,7 +292,9 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
 
     order = ["route", F.crc32("ids"), "doc_id", "start"]
     tasks = max(1, -(-(n_rest or 0) // TASK_TOKENS))
-    rest = rows.filter(F.col("start") < F.col("n")).select("doc_id", "n", "start", "route", "ids")
+    rest = rows.filter(F.col("start") < F.col("n")).select(
+        "doc_id", "n", "start", "route", "ids", "terms", "counts"
+    )
     dealt = rest.repartitionByRange(tasks, *order).sortWithinPartitions(*order).drop("route")
     pieces = dealt.mapInArrow(_packed(path, corpus, window), PIECES)
     size = F.lit(window).cast("long")
