@@ -98,13 +98,18 @@ def usable(table: DataFrame, key: str, vector: str) -> DataFrame:
     return rows.filter(F.size("vector") == (usual.length if usual else 0))
 
 
-def _sample(rows: DataFrame, count: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    taken = rows.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(count).collect()
+def _sample(rows: DataFrame, total: int, count: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``count`` rows of ``total`` with the least hashes of their ids. Hashes far above
+    the ``count``-th are left out first, so a task sends its share of the sample alone."""
+    place = F.xxhash64(F.lit(seed), "id")
+    least = (count + 6 * count**0.5) / max(total, 1)
+    near = rows.filter(place / F.lit(2.0**64) + 0.5 <= least)
+    taken = near.orderBy(place, "id").limit(count).collect()
     return np.array([r.id for r in taken], np.int64), np.array([r.vector for r in taken], np.float64)
 
 
-def fit(rows: DataFrame) -> Cells:
-    _, sample = _sample(rows, FIT_ROWS, 1)
+def fit(rows: DataFrame, total: int) -> Cells:
+    _, sample = _sample(rows, total, FIT_ROWS, 1)
     half = sample.shape[1] // 2
     return Cells(_centroids(sample[:, :half], CENTROIDS), _centroids(sample[:, half:], CENTROIDS))
 
@@ -167,7 +172,7 @@ def _top(found: DataFrame, nearest: int) -> DataFrame:
 
 def entries_wanted(entries: DataFrame, cells: Cells, sizes: np.ndarray, nearest: int) -> int:
     """How many entries a query must rank to cover the stated share of its neighbours."""
-    names, queries = probes = _sample(entries, PROBE_ROWS, 2)
+    names, queries = probes = _sample(entries, int(sizes.sum()), PROBE_ROWS, 2)
     found = entries.mapInPandas(
         _probed(entries.sparkSession.sparkContext.broadcast(probes), nearest),
         "query long, id long, score double, cell long",
@@ -243,9 +248,10 @@ def search(rows: DataFrame, queries: DataFrame, nearest: int = NEAREST) -> DataF
     """
     spark = rows.sparkSession
     queries = queries.groupBy("id").agg(F.min("vector").alias("vector"))
-    if rows.isEmpty():
+    total = rows.count()
+    if not total:
         return spark.createDataFrame([], "query long, rank int, id long, score double")
-    cells = fit(rows)
+    cells = fit(rows, total)
     entries = stage(rows.mapInPandas(_celled(spark.sparkContext.broadcast(cells)), f"{VECTOR}, cell long"), "entries")
     sizes = np.zeros(len(cells.left) * len(cells.right), np.int64)
     for row in entries.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():  # one row per cell
@@ -263,7 +269,8 @@ def search(rows: DataFrame, queries: DataFrame, nearest: int = NEAREST) -> DataF
         "vector",
         "cell",
     )
-    aimed = queries.mapInPandas(_aimed(model), f"block long, {VECTOR}, cells array<long>")
+    spread_out = queries.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
+    aimed = spread_out.mapInPandas(_aimed(model), f"block long, {VECTOR}, cells array<long>")
     aimed = aimed.withColumn("part", F.pmod(F.xxhash64("id"), parts).cast("int"))
     found = (
         held.groupBy("block", "part")
