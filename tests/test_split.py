@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 
+from tickweave.plans import catalog
 from tickweave.sources import envelope, split
 
 HEADER = ["TRADENO", "TRADETIME", "SECID", "BOARDID", "PRICE", "QUANTITY", "VALUE", "BUYSELL"]
@@ -82,3 +83,19 @@ def test_a_stream_cannot_be_split(spark, landing):
 def test_escapes_and_quotes():
     assert split._ends_inside('["a', False) and not split._ends_inside('b"', True)
     assert not split._ends_inside(r'["a\\"', False) and split._ends_inside(r'["a\"', False)
+
+
+def test_each_long_response_is_a_file_of_its_own(spark, tmp_path):
+    """Two responses that meet in one task: neither is lost behind the other."""
+    events = spark.range(0, 50_100, 1, 1).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-15 10:00:00' AS ts", "id % 7 AS user_id",
+        "'click' AS event_type", "1.5D AS value", "'{\"k\": 2}' AS props",
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        found = catalog.queries()["decode_split"](spark, str(tmp_path)).select("tradeno").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted(r.tradeno for r in found) == list(range(50_100))

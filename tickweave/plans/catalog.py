@@ -127,7 +127,9 @@ def decode_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decode_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long responses, a file each, read by byte ranges."""
     landing = scratch(spark, "landing")
-    views.trade_responses(_trades(spark, sf_dir), 50_000).write.option("lineSep", " ").text(landing)
+    responses = views.trade_responses(_trades(spark, sf_dir), 50_000)
+    # Several responses may meet in one task, and a file is read as one response.
+    responses.write.option("lineSep", " ").option("maxRecordsPerFile", 1).text(landing)
     return _shown(envelope.decode_trades(envelope.read_envelope(spark, landing, layout="split")))
 
 
