@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tickweave import job
 from tickweave.operators import cycles
 from tickweave.plans import loads, views
+from tickweave.plans import state as state_module
 from tickweave.plans.state import CollectorState, Superseded
 from tickweave.settings import ALL, SPECIFIC, TRADES_TOPIC, Settings
 from tickweave.sinks.messages import (
@@ -732,3 +733,39 @@ def test_a_cycle_under_way_does_not_commit_once_superseded(spark, tmp_path):
     row = loads.run_cycle(trades, claims[0], FileSink(str(tmp_path / "topic")), job, Clock(900))
     assert row["cycle"] == 0 and row["till"] == OPEN + timedelta(seconds=60)
     assert max(sent_keys(spark, tmp_path / "topic").values()) == 1
+
+
+def test_a_landed_folder_has_more_files_the_more_trades_there_are(spark, tmp_path, monkeypatch):
+    """And is still one micro-batch."""
+    monkeypatch.setattr(views, "FILE_ROWS", 100)
+    trades = spark.range(1500).selectExpr("'A' AS secid", "id AS tradeno")
+    parts = views.overlapping_files(trades, f"{tmp_path}/landing")
+    sizes = []
+    (
+        views.landed_stream(spark, trades.schema, f"{tmp_path}/landing", parts)
+        .writeStream.foreachBatch(lambda batch, _: sizes.append(batch.count()))
+        .option("checkpointLocation", f"{tmp_path}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    assert parts == 10 and len(sizes) == 3
+    assert sum(sizes) == 3000 and all(spark.read.parquet(f"{tmp_path}/landing/{i}").count() == n for i, n in enumerate(sizes))
+    assert len(spark.read.parquet(f"{tmp_path}/landing/0").inputFiles()) == 10
+
+
+def test_kept_trades_lie_in_files_of_bounded_length(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(state_module, "KEPT_ROWS", 100)
+    kept = CollectorState(str(tmp_path)).stage_fetched(spark.range(0, 1000, 1, 1), 0)
+    assert len(kept.inputFiles()) == 10 and kept.count() == 1000
+
+
+def test_tasks_of_a_batch_take_little_unless_the_session_says_so(spark):
+    mine, theirs = collector.SHORT
+    spark.conf.set(theirs, "32m")
+    try:
+        with collector._short_tasks(spark):
+            assert spark.conf.get(mine) == collector.SHORT[mine] and spark.conf.get(theirs) == "32m"
+        assert spark.conf.get(mine, None) is None and spark.conf.get(theirs) == "32m"
+    finally:
+        spark.conf.unset(theirs)

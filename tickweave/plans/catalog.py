@@ -660,8 +660,8 @@ def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = FileSink(f"{state.root}/topic")
     landing = scratch(spark, "landing")
     trades = views.full_trades(_lines(spark, sf_dir))
-    views.overlapping_files(trades, landing)
-    stream = views.landed_stream(spark, trades.schema, landing)
+    parts = views.overlapping_files(trades, landing)
+    stream = views.landed_stream(spark, trades.schema, landing, parts)
     job = Settings(mode=ALL, seen_cap=None)
     collector.stream_trades(stream, state, sink, job, once=True).awaitTermination()
     sent = topic.read_topic(spark, sink.path, TRADES_TOPIC)
@@ -675,8 +675,8 @@ def stream_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark, "watermark")
     timeless = F.col("tradeno") % 7 != 0
     trades = _lines(spark, sf_dir).withColumn("trade_ts", F.when(timeless, F.col("trade_ts")))
-    views.overlapping_files(trades, f"{root}/landing")
-    stream = views.landed_stream(spark, trades.schema, f"{root}/landing")
+    parts = views.overlapping_files(trades, f"{root}/landing")
+    stream = views.landed_stream(spark, trades.schema, f"{root}/landing", parts)
     (
         collector.dedup_stream(stream)
         .writeStream.format("parquet")

@@ -65,6 +65,8 @@ PLACES = T.StructType(
 )
 FOLDERS = {"rows": "seen", "bits": "seen-bits"}
 
+KEPT_ROWS = 500_000  # of a file: one row group is read by one task, however small the splits
+
 CURSOR_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -308,9 +310,12 @@ class CollectorState:
 
     def _keep(self, table: DataFrame, name: str, version: int) -> DataFrame:
         path = self._slot(table.sparkSession, name, version)
-        table.write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).parquet(path)
+        (
+            table.write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .option("maxRecordsPerFile", KEPT_ROWS)
+            .parquet(path)
+        )
         return table.sparkSession.read.schema(table.schema).parquet(path)
 
     def write_quarantine(self, faults: DataFrame, version: int) -> None:

@@ -15,6 +15,7 @@ from tickweave.settings import PAGE_SIZE
 # When the collector of the example restarts: trades up to here were seen.
 RESTART = datetime(2024, 1, 12, 6, 0, 0)
 EPOCH_DAY = "2024-01-01"
+FILE_ROWS = 500_000  # of a landed file, on average
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -233,17 +234,20 @@ def outsized_responses(trades: DataFrame, rows: int = PAGE_SIZE) -> DataFrame:
     return _blocks(trades.select(cells.alias("cells")), "trades", names, rows)
 
 
-def overlapping_files(trades: DataFrame, folder: str, parts: int = 4) -> None:
-    """Trades landed three times over: each of three folders of ``parts`` files has
-    two thirds of the keys, in no order of time. All copies of a key lie together."""
+def overlapping_files(trades: DataFrame, folder: str) -> int:
+    """Trades landed three times over: each of three folders has two thirds of the keys,
+    in no order of time. All copies of a key lie together. Returns the number of files of
+    a folder, of which there are more the more trades there are."""
+    parts = max(4, -(-trades.count() * 2 // (3 * FILE_ROWS)))
     third = F.pmod(F.xxhash64("secid", "tradeno"), F.lit(3))
     for i in range(3):
         part = trades.filter((third == i) | (third == (i + 1) % 3))
         part.repartition(parts, "secid", "tradeno").write.parquet(f"{folder}/{i}")
+    return parts
 
 
-def landed_stream(spark: SparkSession, schema: StructType, folder: str, parts: int = 4) -> DataFrame:
-    """What ``overlapping_files`` landed, a folder per micro-batch."""
+def landed_stream(spark: SparkSession, schema: StructType, folder: str, parts: int) -> DataFrame:
+    """What ``overlapping_files`` landed, a folder of ``parts`` files per micro-batch."""
     return (
         spark.readStream.schema(schema)
         .option("recursiveFileLookup", "true")

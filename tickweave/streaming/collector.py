@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 import numpy as np
 import pyarrow as pa
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,6 +22,26 @@ from tickweave.settings import TRIGGER_SECONDS, Settings
 from tickweave.sinks.messages import FileSink, KafkaSink
 
 
+# Stored or shuffled trades take many times their bytes when a task sorts them.
+SHORT = {
+    "spark.sql.files.maxPartitionBytes": "8m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+}
+
+
+@contextmanager
+def _short_tasks(spark: SparkSession) -> Iterator[None]:
+    """Tasks take little each, where the session names no sizes of its own."""
+    ours = {key: size for key, size in SHORT.items() if spark.conf.get(key, None) is None}
+    for key, size in ours.items():
+        spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        for key in ours:
+            spark.conf.unset(key)
+
+
 def collect_batch(
     state: CollectorState,
     sink: FileSink | KafkaSink,
@@ -41,7 +62,8 @@ def collect_batch(
         cycle = {"cycle": batch_id, "kind": kind, "started": clock()}
         own, _ = state.begin(spark, batch_id, kind)
         try:
-            _collect(own, sink, settings, clock, dedupe, batch, cycle)
+            with _short_tasks(spark):
+                _collect(own, sink, settings, clock, dedupe, batch, cycle)
         except Exception:
             failed(own, spark, {**cycle, "run_id": settings.run_id, "ended": clock()})
             raise
