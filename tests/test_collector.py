@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tickweave import job
 from tickweave.operators import cycles
-from tickweave.plans import loads, views
+from tickweave.plans import catalog, loads, views
 from tickweave.plans import state as state_module
 from tickweave.plans.state import CollectorState, Superseded
 from tickweave.settings import ALL, SPECIFIC, TRADES_TOPIC, Settings
@@ -769,3 +769,18 @@ def test_tasks_of_a_batch_take_little_unless_the_session_says_so(spark):
         assert spark.conf.get(mine, None) is None and spark.conf.get(theirs) == "32m"
     finally:
         spark.conf.unset(theirs)
+
+
+def test_the_keys_of_the_watermark_stream_are_not_counted(spark, tmp_path, monkeypatch):
+    """While the query runs, and the session is left as it was."""
+    key = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+    lines = spark.range(0, 60, 1, 1).selectExpr(
+        "id % 30 AS l_orderkey", "1 AS l_linenumber", "2.0D AS l_quantity", "3.0D AS l_extendedprice",
+        "'A' AS l_returnflag", "'O' AS l_linestatus", "timestamp_ntz'1996-01-01 00:00:00' AS l_shipdate",
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    dedup, held = collector.dedup_stream, []
+    monkeypatch.setattr(collector, "dedup_stream", lambda s: held.append(spark.conf.get(key)) or dedup(s))
+    found = catalog.queries()["stream_watermark"](spark, str(tmp_path)).collect()
+    assert sorted(r.tradeno for r in found) == [10 * i + 1 for i in range(30)]
+    assert held == ["false"] and spark.conf.get(key, None) is None

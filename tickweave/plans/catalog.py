@@ -24,7 +24,9 @@ from tickweave.settings import (
     INSTRUMENTS_TOPIC,
     SPECIFIC,
     TRADES_TOPIC,
+    UNCOUNTED,
     Settings,
+    defaults,
     tune,
 )
 from tickweave.sinks.messages import FileSink, sink_securities, sink_trades
@@ -677,14 +679,15 @@ def stream_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     trades = _lines(spark, sf_dir).withColumn("trade_ts", F.when(timeless, F.col("trade_ts")))
     parts = views.overlapping_files(trades, f"{root}/landing")
     stream = views.landed_stream(spark, trades.schema, f"{root}/landing", parts)
-    (
-        collector.dedup_stream(stream)
-        .writeStream.format("parquet")
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True)
-        .start(f"{root}/trades")
-        .awaitTermination()
-    )
+    with defaults(spark, UNCOUNTED):
+        (
+            collector.dedup_stream(stream)
+            .writeStream.format("parquet")
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(availableNow=True)
+            .start(f"{root}/trades")
+            .awaitTermination()
+        )
     return spark.read.parquet(f"{root}/trades").select("secid", "tradeno")
 
 

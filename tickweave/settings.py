@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -56,6 +58,23 @@ TUNING = {
 }
 
 
+# Counting the keys of a stream's state takes one more lookup for each key written.
+UNCOUNTED = {"spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false"}
+
+
+@contextmanager
+def defaults(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """Settings that hold inside, but for those the session names itself."""
+    ours = {key: value for key, value in conf.items() if spark.conf.get(key, None) is None}
+    for key, value in ours.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key in ours:
+            spark.conf.unset(key)
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Give a session that is already there the settings the plans expect."""
     for key, value in TUNING.items():

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager
 from datetime import datetime
 
 import numpy as np
@@ -18,7 +18,7 @@ from tickweave.operators.dedup import dedup_trades, filter_new_trades
 from tickweave.operators.selection import filter_symbols
 from tickweave.plans.loads import commit_cycle, failed, set_faults_aside
 from tickweave.plans.state import CollectorState
-from tickweave.settings import TRIGGER_SECONDS, Settings
+from tickweave.settings import TRIGGER_SECONDS, Settings, defaults
 from tickweave.sinks.messages import FileSink, KafkaSink
 
 
@@ -29,17 +29,9 @@ SHORT = {
 }
 
 
-@contextmanager
-def _short_tasks(spark: SparkSession) -> Iterator[None]:
+def _short_tasks(spark: SparkSession) -> AbstractContextManager[None]:
     """Tasks take little each, where the session names no sizes of its own."""
-    ours = {key: size for key, size in SHORT.items() if spark.conf.get(key, None) is None}
-    for key, size in ours.items():
-        spark.conf.set(key, size)
-    try:
-        yield
-    finally:
-        for key in ours:
-            spark.conf.unset(key)
+    return defaults(spark, SHORT)
 
 
 def collect_batch(
